@@ -1,0 +1,231 @@
+"""Rollups behind the dashboard and the reports.
+
+(A7, A10-A15, A18, J3-J6, W6-W8, S19, T3, T4, U2, S13, P22)
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import bands as B
+from ..functions.calendar import calendar_fields
+from . import halo as H
+from .clean import union_all
+from .features import region_window
+
+PRED_COLS = {"xgb": "temperature_xgb_pred", "nn": "temperature_nn_pred"}
+
+
+# --------------------------------------------------------------------------- predictions
+def naive_predictions(df: DataFrame, method: str = "halo", unit: str = "day",
+                      value: str = "temperature", mean_rows: int = 6) -> DataFrame:
+    """Predictions frame from two deterministic forecasters over ``value``:
+    "xgb" = previous row, "nn" = mean of the previous ``mean_rows`` rows.
+    Rows without a previous row are dropped."""
+    def cols(w):
+        return {
+            "temperature_actual": F.col(value),
+            "temperature_xgb_pred": F.lag(value, 1).over(w),
+            "temperature_nn_pred": F.avg(value).over(w.rowsBetween(-mean_rows, -1)),
+        }
+    keep = ["datetime", "region", "temperature_actual", "temperature_xgb_pred", "temperature_nn_pred"]
+    if method == "window":
+        out = df.withColumns(cols(region_window()))
+    else:
+        idx, buckets = H.index_rows(df, "region", "datetime", unit)
+        out = H.with_halo(idx, buckets, "region", mean_rows).withColumns(cols(H.bucket_window("region")))
+        out = out.where(~F.col(H.HALO))
+    return out.select(*keep).where(F.col("temperature_xgb_pred").isNotNull())
+
+
+# --------------------------------------------------------------------------- KPIs, extents
+def kpis(df: DataFrame, region_count: int | None = None) -> DataFrame:
+    """total_records, last_update, region_count (A7, S14 payload)."""
+    rc = F.lit(region_count) if region_count is not None else F.count_distinct("region")
+    return df.agg(F.count(F.lit(1)).alias("total_records"),
+                  F.max("datetime").alias("last_update"),
+                  rc.alias("region_count"))
+
+
+def region_extent(df: DataFrame) -> DataFrame:
+    """Distinct regions with first / last date and row count."""
+    return df.groupBy("region").agg(F.to_date(F.min("datetime")).alias("first_date"),
+                                    F.to_date(F.max("datetime")).alias("last_date"),
+                                    F.count(F.lit(1)).alias("n_rows"))
+
+
+def climatology(df: DataFrame, value: str = "temperature") -> DataFrame:
+    """Mean by region, month and day of month over all years.
+
+    Missing values are skipped (D9), not counted as 0.
+    """
+    return (df.groupBy("region", F.month("datetime").alias("month"),
+                       F.dayofmonth("datetime").alias("day"))
+            .agg(F.avg(value).alias("actual_climatology_avg")))
+
+
+# --------------------------------------------------------------------------- latest / heads
+def latest_per_region(df: DataFrame, order: str = "datetime", key: str = "region") -> DataFrame:
+    """The latest row of each region (W6) as an aggregate with map-side combine."""
+    rest = [c for c in df.columns if c != key]
+    return (df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
+            .select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+
+
+def head_per_group(df: DataFrame, n: int = 2000, groups: int = 3, key: str = "region",
+                   order: str = "datetime") -> DataFrame:
+    """First ``n`` rows of each of the first ``groups`` regions.
+
+    ``row_number() <= n`` lets Spark insert a partial group limit before the
+    shuffle, so at most ``n`` rows per region per task move.
+    """
+    first = df.select(key).distinct().orderBy(key).limit(groups)
+    w = Window.partitionBy(key).orderBy(order)
+    return (df.join(first, key, "left_semi").withColumn("rn", F.row_number().over(w))
+            .where(F.col("rn") <= n))
+
+
+def preview(df: DataFrame, n: int = 50, order: tuple[str, ...] = ("region", "datetime")) -> DataFrame:
+    """Top-``n`` preview rows (S19): a distributed top-k, not a sort + collect."""
+    return df.orderBy(*order).limit(n)
+
+
+# --------------------------------------------------------------------------- forecasts
+def forecast_value(ecmwf: str = "ecmwf", gfs: str = "gfs"):
+    """Row-level fallback ``coalesce(ecmwf, gfs, 0)``."""
+    return F.coalesce(F.col(ecmwf), F.col(gfs), F.lit(0.0))
+
+
+def daily_minmax(fc: DataFrame, cold: float = B.COLD) -> DataFrame:
+    """Daily min / max of the hourly forecast and the thermal band of the max."""
+    v = forecast_value()
+    return (fc.groupBy("region", F.to_date("time").alias("date"))
+            .agg(F.min(v).alias("t_min"), F.max(v).alias("t_max"))
+            .withColumn("band", B.thermal_band(F.col("t_max"), cold)))
+
+
+def horizon_days(fc: DataFrame, now=None, days: int = 13, key: str = "region",
+                 order: str = "time") -> DataFrame:
+    """24-row slices from the current hour: day = (row - offset) div 24.
+
+    Rows before ``now`` are the offset; without ``now`` the offset is 0.
+    ``rn <= days * 24`` bounds each region's slice (partial group limit).
+    """
+    src = fc if now is None else fc.where(F.col(order) >= F.lit(now).cast("timestamp_ntz"))
+    w = Window.partitionBy(key).orderBy(order)
+    return (src.withColumn("_rn", F.row_number().over(w))
+            .where(F.col("_rn") <= days * 24)
+            .withColumn("day", ((F.col("_rn") - 1) / 24).cast("int"))
+            .drop("_rn"))
+
+
+def daily_mean(fc: DataFrame, value: str = "ecmwf", now=None, days: int = 13) -> DataFrame:
+    """Mean per horizon day, missing counted as 0."""
+    h = horizon_days(fc, now, days)
+    return (h.groupBy("region", "day")
+            .agg((F.sum(F.coalesce(F.col(value), F.lit(0.0))) / F.count(F.lit(1))).alias("day_mean")))
+
+
+def forecast_diff(fc: DataFrame, base: DataFrame) -> DataFrame:
+    """Forecast vs baseline aligned by (region, hour); baseline = ecmwf else gfs."""
+    return (fc.join(base, ["region", "time"])
+            .withColumn("baseline", F.coalesce(F.col("ecmwf"), F.col("gfs")))
+            .withColumn("diff", F.col("forecast") - F.col("baseline")))
+
+
+def diff_summary(diffs: DataFrame) -> DataFrame:
+    """Mean and max absolute forecast difference."""
+    return diffs.agg(F.avg(F.abs("diff")).alias("mean_abs_diff"),
+                     F.max(F.abs("diff")).alias("max_abs_diff"))
+
+
+# --------------------------------------------------------------------------- drift
+def drift_summary(drift: DataFrame) -> DataFrame:
+    """First / last date, days tracked, latest row, champion, health."""
+    latest = F.max_by(F.struct("xgb_mae", "nn_mae"), F.col("date"))
+    return (drift.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+                      F.count(F.lit(1)).alias("days_tracked"), latest.alias("_l"))
+            .select("first_date", "last_date", "days_tracked",
+                    F.col("_l.xgb_mae").alias("latest_xgb_mae"), F.col("_l.nn_mae").alias("latest_nn_mae"))
+            .withColumn("champion", B.champion(F.col("latest_xgb_mae"), F.col("latest_nn_mae")))
+            .withColumn("health", B.health_status(F.col("last_date"))))
+
+
+def live_error(obs: DataFrame, preds: DataFrame, summary: DataFrame) -> DataFrame:
+    """Latest observation per region -> champion prediction and its error.
+
+    ``summary`` is the one-row drift summary (a global aggregate), so it is
+    broadcast; the observation/prediction join is an equi-join on the key.
+    """
+    latest = latest_per_region(obs.select("region", "datetime", F.col("temperature").alias("actual")))
+    j = (latest.join(preds.select("region", "datetime", *PRED_COLS.values()), ["region", "datetime"])
+         .crossJoin(F.broadcast(summary.select("champion"))))
+    pred = F.when(F.col("champion") == B.MODEL_NETWORK, F.col(PRED_COLS["nn"])).otherwise(F.col(PRED_COLS["xgb"]))
+    return (j.select("region", "datetime", "actual", "champion", pred.alias("prediction"))
+            .withColumn("error", F.abs(F.col("prediction") - F.col("actual")))
+            .withColumn("error_band", B.error_band(F.col("error"))))
+
+
+# --------------------------------------------------------------------------- requests
+def lookup_actual(req: DataFrame, archive: DataFrame) -> DataFrame:
+    """(region, date) requests -> first archive row of that date, NULL if none.
+
+    The archive is reduced to one row per (region, date) with ``min_by``
+    before the join, so the join input is the size of the calendar.
+    """
+    first = (archive.groupBy("region", F.to_date("datetime").alias("date"))
+             .agg(F.min_by(F.struct("temperature_actual", *PRED_COLS.values()), F.col("datetime")).alias("_f"))
+             .select("region", "date", F.col("_f.temperature_actual").alias("actual"),
+                     *[F.col(f"_f.{c}").alias(c) for c in PRED_COLS.values()]))
+    return req.join(first, ["region", "date"], "left")
+
+
+def attach_latest(req: DataFrame, feat: DataFrame) -> DataFrame:
+    """Each request gets its region's latest feature row; unknown regions drop."""
+    latest = latest_per_region(feat).withColumnRenamed("datetime", "latest_datetime")
+    return req.join(latest, "region")
+
+
+def inject_datetime(df: DataFrame, target: str = "target_datetime") -> DataFrame:
+    """Overwrite datetime, day_of_year, month, hour with the requested time.
+
+    season_class is left as it is (it is not a model input).
+    """
+    df = df.withColumn("datetime", F.col(target))
+    return calendar_fields(df, "datetime", season=False)
+
+
+# --------------------------------------------------------------------------- leaderboards
+def leaderboard(results: DataFrame, baseline_mae: float | None = None,
+                best_other_mae: float | None = None) -> DataFrame:
+    """Configs ordered by MAE with rank and pass flag vs thresholds.
+
+    Flag: ``beats_best`` (< best_other_mae), ``beats_baseline`` (< baseline_mae),
+    else ``none``.  Thresholds may also be columns of ``results``.
+    """
+    base = F.col("baseline_mae") if baseline_mae is None else F.lit(baseline_mae)
+    other = F.lit(best_other_mae) if best_other_mae is not None else F.lit(None).cast("double")
+    flag = (F.when(F.col("mae") < other, "beats_best").when(F.col("mae") < base, "beats_baseline")
+            .otherwise("none"))
+    # One row per config: the ranking window runs on the (small) results table.
+    w = Window.orderBy("mae", "name")
+    return results.withColumn("flag", flag).withColumn("rank", F.row_number().over(w))
+
+
+def best(results: DataFrame) -> DataFrame:
+    """Best config by MAE (T4); ties -> smallest name."""
+    return results.agg(F.min_by(F.col("name"), F.struct("mae", "name")).alias("name"),
+                       F.min("mae").alias("mae"))
+
+
+def metrics_table(parts: list[DataFrame]) -> DataFrame:
+    """Union of long metric tables (stage, model, mae, rmse, r2)."""
+    return union_all(parts)
+
+
+def summary_wide(metrics: DataFrame) -> DataFrame:
+    """Long (stage, model, metric, value) -> wide (model label, MAE, RMSE, R2)."""
+    long = metrics.selectExpr("concat_ws(' ', stage, model) AS label",
+                              "stack(3, 'MAE', mae, 'RMSE', rmse, 'R2', r2) AS (metric, value)")
+    return long.groupBy("label").pivot("metric", ["MAE", "RMSE", "R2"]).agg(F.first("value"))

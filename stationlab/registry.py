@@ -22,9 +22,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """DATE columns leave as ISO ``yyyy-MM-dd`` text (one representation in
+    every client, as the drift table stores them)."""
+    from pyspark.sql import types as T
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    return df.withColumns({c: F.date_format(F.col(c), "yyyy-MM-dd") for c in dates}) if dates else df
+
+
 def register(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return dates_as_text(fn(spark, sf_dir))
+        run.__doc__, run.__name__ = fn.__doc__, fn.__name__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -46,3 +57,470 @@ def q_feature_table(spark, sf_dir):
 def q_feature_table_window(spark, sf_dir):
     """Same rows with plain per-region windows."""
     return present(FE.feature_table(TB.hourly_from_events(spark, sf_dir), method="window"), ROLL_NAMES)
+
+
+# ------------------------------------------------------------------ imports used below
+from .functions import bands as B  # noqa: E402
+from .functions.calendar import calendar_fields, lookback_days  # noqa: E402
+from .functions.numeric import coerce_numeric, narrow, null_if_zero  # noqa: E402
+from .operators import clean as CL  # noqa: E402
+from .operators import report as RP  # noqa: E402
+from .operators import stats as ST  # noqa: E402
+from .plans import fetch_plan as PL  # noqa: E402
+from .sources import hourly as HR  # noqa: E402
+from .sources import payload as PY  # noqa: E402
+
+MEASURES = ["temperature", "precipitation", "wind_speed", "humidity", "pressure"]
+PREDS = {"xgb": "temperature_xgb_pred", "nn": "temperature_nn_pred"}
+TODAY = "2024-02-05"          # fixed "today" so labels and plans are deterministic
+FOLD_DAY = "2024-01-15"       # day-fold / recent-window anchor on the events month
+ORDERS_TRAIN_END, ORDERS_TEST_START = 1998, 1999
+
+
+def drift_frame(spark, sf_dir):
+    return ST.daily_mae(TB.predictions_from_events(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ windows and fills
+@register("fill_forward_back")
+def q_fill(spark, sf_dir):
+    """P14 + P15: forward then back fill within region."""
+    return FE.fill(TB.hourly_from_events(spark, sf_dir), MEASURES)
+
+
+@register("fill_forward")
+def q_ffill(spark, sf_dir):
+    """P14 alone: leading gaps stay missing."""
+    return FE.ffill(TB.hourly_from_events(spark, sf_dir), MEASURES)
+
+
+@register("lags")
+def q_lags(spark, sf_dir):
+    """15 lag columns on the unfilled frame."""
+    return FE.lags(TB.hourly_from_events(spark, sf_dir), S.LAG_COLUMNS, S.LAGS)
+
+
+@register("rolling")
+def q_rolling(spark, sf_dir):
+    """W2, W3 on the unfilled frame (NULLs skipped, all-NULL frame -> NULL)."""
+    h = TB.hourly_from_events(spark, sf_dir)
+    return present(h.withColumns(FE.rolling_columns(FE.region_window())), ROLL_NAMES)
+
+
+@register("latest_per_region")
+def q_latest(spark, sf_dir):
+    """Latest row of each region."""
+    return RP.latest_per_region(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("head_per_group")
+def q_head(spark, sf_dir):
+    """First 2000 rows of each of the first 3 regions."""
+    return RP.head_per_group(TB.hourly_from_events(spark, sf_dir), 2000, 3)
+
+
+@register("upsert_latest_arrival")
+def q_upsert(spark, sf_dir):
+    """One row per (l_orderkey, l_linenumber), latest (l_shipdate, l_partkey) wins."""
+    return CL.dedupe_latest(TB.arrivals_from_lineitem(spark, sf_dir),
+                            ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
+
+
+@register("horizon_days")
+def q_horizon(spark, sf_dir):
+    """24-row day slices of the hourly forecast from a given hour."""
+    fc = TB.forecast_from_events(spark, sf_dir).select("region", "time", "ecmwf")
+    return RP.horizon_days(fc, now="2024-01-10 00:00:00", days=13)
+
+
+# ------------------------------------------------------------------ projections / predicates
+@register("calendar_fields")
+def q_calendar(spark, sf_dir):
+    """P7, P8 over the multi-year orders dates."""
+    d = TB.daily_from_orders(spark, sf_dir).select("seq", "datetime")
+    return calendar_fields(d)
+
+
+@register("split_by_year")
+def q_split(spark, sf_dir):
+    """Train <= 1998, test >= 1999 over the orders years."""
+    d = TB.daily_from_orders(spark, sf_dir)
+    y = F.year("datetime")
+    split = F.when(y <= ORDERS_TRAIN_END, "train").when(y >= ORDERS_TEST_START, "test")
+    return (d.withColumn("split", split).where(F.col("split").isNotNull())
+            .groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("datetime").alias("first_datetime"),
+                                  F.max("datetime").alias("last_datetime")))
+
+
+@register("day_fold")
+def q_day_fold(spark, sf_dir):
+    """P10: train strictly before day D, test in [D, D + 1)."""
+    h = TB.hourly_from_events(spark, sf_dir)
+    d = F.lit(FOLD_DAY).cast("timestamp_ntz")
+    fold = (F.when(F.col("datetime") < d, "train")
+            .when((F.col("datetime") >= d) & (F.col("datetime") < d + F.expr("INTERVAL 1 DAY")), "test"))
+    return (h.withColumn("fold", fold).where(F.col("fold").isNotNull())
+            .groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("drop_any")
+def q_drop_any(spark, sf_dir):
+    """P11."""
+    return CL.drop_any(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("drop_all_null")
+def q_drop_all(spark, sf_dir):
+    """Rows with temperature and humidity both missing are dropped."""
+    return CL.drop_all_null(TB.hourly_from_events(spark, sf_dir), ["temperature", "humidity"])
+
+
+@register("all_null_count")
+def q_all_null_count(spark, sf_dir):
+    """P12 report: how many rows the all-missing drop removes."""
+    return CL.all_null_count(TB.hourly_from_events(spark, sf_dir), ["temperature", "humidity"])
+
+
+@register("coerce_numeric")
+def q_coerce(spark, sf_dir):
+    """Strings to DOUBLE, unparseable -> NULL."""
+    e = TB.table(spark, sf_dir, "events").select(
+        "event_id", "props", F.col("user_id").cast("string").alias("user_id"),
+        F.regexp_extract("props", r":\s*([0-9]+)", 1).alias("k"))
+    return coerce_numeric(e, except_=("event_id",))
+
+
+@register("narrow_float32")
+def q_narrow(spark, sf_dir):
+    """Double -> float."""
+    return narrow(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("null_if_zero")
+def q_null_if_zero(spark, sf_dir):
+    """P25: zero or NaN predictions -> missing (differences of the two forecasters)."""
+    p = TB.predictions_from_events(spark, sf_dir)
+    return p.select("datetime", "region",
+                    null_if_zero(F.floor(F.col("temperature_xgb_pred") / 100.0).cast("double")).alias("bucket"))
+
+
+@register("residuals")
+def q_residuals(spark, sf_dir):
+    """Residual and absolute error of the tree-model column."""
+    p = TB.predictions_from_events(spark, sf_dir)
+    return ST.residuals(p, "temperature_actual", "temperature_xgb_pred").select(
+        "datetime", "region", "residual", "abs_residual")
+
+
+@register("error_bands")
+def q_error_bands(spark, sf_dir):
+    """Rows per error band of the network-model absolute error."""
+    p = TB.predictions_from_events(spark, sf_dir)
+    err = F.abs(F.col("temperature_actual") - F.col("temperature_nn_pred"))
+    return p.groupBy(B.error_band(err).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("request_labels")
+def q_request_labels(spark, sf_dir):
+    """P17 + P20: valid requests with the label of their actual value."""
+    req = TB.request_rows(spark, sf_dir).withColumn("region", F.coalesce("region", F.lit(S.DEFAULT_REGION)))
+    req = req.withColumn("date", F.to_date("date"))
+    today = F.lit(TODAY).cast("date")
+    look = RP.lookup_actual(req, TB.predictions_from_events(spark, sf_dir))
+    return (look.where(B.valid_request(F.col("date"), today))
+            .select("event_id", "region", "date",
+                    B.actual_label(F.col("date"), today, F.col("actual")).alias("label")))
+
+
+@register("lookback_days")
+def q_lookback(spark, sf_dir):
+    """Re-read window per region from its last date to 'today'."""
+    h = TB.hourly_from_events(spark, sf_dir)
+    return (h.groupBy("region").agg(F.to_date(F.max("datetime")).alias("last_date"))
+            .withColumn("days", lookback_days(F.col("last_date"), F.lit(TODAY).cast("date"))))
+
+
+@register("recent_rows")
+def q_recent(spark, sf_dir):
+    """Rows of the 10 days before the anchor."""
+    return HR.recent(TB.hourly_from_events(spark, sf_dir), "2024-01-25 00:00:00", days=10)
+
+
+@register("preview")
+def q_preview(spark, sf_dir):
+    """Top-50 rows by (region, datetime)."""
+    return RP.preview(TB.hourly_from_events(spark, sf_dir), 50)
+
+
+@register("one_column_scan")
+def q_one_column(spark, sf_dir):
+    """A single pruned column."""
+    return TB.hourly_from_events(spark, sf_dir).select("datetime")
+
+
+# ------------------------------------------------------------------ payloads
+@register("hourly_payload_rows")
+def q_payload(spark, sf_dir):
+    """S6 + P1 + P2: API payloads (built from events) -> canonical rows."""
+    return PY.explode_hourly(TB.hourly_payloads(spark, sf_dir))
+
+
+@register("current_observation")
+def q_current(spark, sf_dir):
+    """Current-observation payload -> row; absent key -> NULL."""
+    return PY.project_current(TB.current_payloads(spark, sf_dir))
+
+
+@register("request_rows")
+def q_requests(spark, sf_dir):
+    """Request documents -> (region, date), missing region -> default."""
+    return PY.read_requests(TB.request_payloads(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ aggregates
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    """A1 per column."""
+    return CL.null_counts(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("null_total")
+def q_null_total(spark, sf_dir):
+    """A1 total."""
+    return CL.null_total(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("null_pct")
+def q_null_pct(spark, sf_dir):
+    """A2: columns with more than 5 % missing."""
+    return present(CL.null_pct(TB.hourly_from_events(spark, sf_dir), 5.0), ["pct_missing"])
+
+
+@register("corr_matrix")
+def q_corr(spark, sf_dir):
+    """A3: Pearson correlation of the measures, pairwise complete."""
+    return present(ST.corr_matrix(TB.hourly_from_events(spark, sf_dir), MEASURES), ["corr"])
+
+
+@register("region_stats")
+def q_region_stats(spark, sf_dir):
+    """A5."""
+    return present(ST.region_stats(TB.hourly_from_events(spark, sf_dir)), ["mean", "std"])
+
+
+@register("anomalies")
+def q_anomalies(spark, sf_dir):
+    """Per-region z-score and |z| > 3 flag."""
+    a = ST.anomalies(TB.values_from_events(spark, sf_dir))
+    return present(a, ["temp_zscore"])
+
+
+@register("anomaly_counts")
+def q_anomaly_counts(spark, sf_dir):
+    """A19 per region."""
+    return ST.anomaly_counts(ST.anomalies(TB.values_from_events(spark, sf_dir)))
+
+
+@register("high_water")
+def q_high_water(spark, sf_dir):
+    """Highest datetime and next fetch start."""
+    return PL.high_water(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("kpis")
+def q_kpis(spark, sf_dir):
+    """A7."""
+    return RP.kpis(TB.hourly_from_events(spark, sf_dir))
+
+
+@register("regression_metrics")
+def q_metrics(spark, sf_dir):
+    """MAE, RMSE, R^2 of both forecasters."""
+    m = ST.regression_metrics(TB.predictions_from_events(spark, sf_dir), "temperature_actual", PREDS)
+    return present(m, ["mae", "rmse", "r2"])
+
+
+@register("band_accuracy")
+def q_accuracy(spark, sf_dir):
+    """Accuracy of the thermal band predicted from the network forecast."""
+    p = TB.predictions_from_events(spark, sf_dir).select(
+        B.thermal_band(F.col("temperature_actual") / 10.0).alias("y"),
+        B.thermal_band(F.col("temperature_nn_pred") / 10.0).alias("yhat"))
+    return present(ST.accuracy(p, "y", "yhat"), ["accuracy"])
+
+
+@register("daily_minmax")
+def q_daily_minmax(spark, sf_dir):
+    """A10 + P18: daily min / max of coalesce(ecmwf, gfs, 0) and band of the max (scaled /10)."""
+    fc = TB.forecast_from_events(spark, sf_dir)
+    fc = fc.withColumns({"ecmwf": F.col("ecmwf") / 10.0, "gfs": F.col("gfs") / 10.0})
+    return present(RP.daily_minmax(fc), ["t_min", "t_max"])
+
+
+@register("daily_mean")
+def q_daily_mean(spark, sf_dir):
+    """24-row mean per horizon day, missing counted as 0."""
+    fc = TB.forecast_from_events(spark, sf_dir)
+    return present(RP.daily_mean(fc, "ecmwf", now="2024-01-10 00:00:00"), ["day_mean"])
+
+
+@register("climatology")
+def q_climatology(spark, sf_dir):
+    """A12 over the multi-year orders frame."""
+    return present(RP.climatology(TB.daily_from_orders(spark, sf_dir)), ["actual_climatology_avg"])
+
+
+@register("daily_mae")
+def q_daily_mae(spark, sf_dir):
+    """Per-day MAE of both forecasters (the drift table)."""
+    return present(drift_frame(spark, sf_dir), ["xgb_mae", "nn_mae"])
+
+
+@register("drift_summary")
+def q_drift_summary(spark, sf_dir):
+    """A13, A14, P21 on the drift table."""
+    return present(RP.drift_summary(drift_frame(spark, sf_dir)), ["latest_xgb_mae", "latest_nn_mae"])
+
+
+@register("forecast_diff")
+def q_forecast_diff(spark, sf_dir):
+    """Forecast vs baseline aligned by (region, hour)."""
+    fc, base = TB.forecast_tables(spark, sf_dir)
+    return present(RP.forecast_diff(fc, base).select("region", "time", "forecast", "baseline", "diff"),
+                   ["forecast", "baseline", "diff"])
+
+
+@register("diff_summary")
+def q_diff_summary(spark, sf_dir):
+    """A15."""
+    fc, base = TB.forecast_tables(spark, sf_dir)
+    return present(RP.diff_summary(RP.forecast_diff(fc, base)), ["mean_abs_diff", "max_abs_diff"])
+
+
+@register("residual_histogram")
+def q_resid_hist(spark, sf_dir):
+    """Residual bins of width 5 per model."""
+    return ST.residual_histogram(TB.predictions_from_events(spark, sf_dir), "temperature_actual", PREDS)
+
+
+@register("pred_density")
+def q_density(spark, sf_dir):
+    """2-D bins of actual vs tree-model prediction."""
+    return ST.pred_density(TB.predictions_from_events(spark, sf_dir), "temperature_actual",
+                           "temperature_xgb_pred", 0.0, 25.0)
+
+
+@register("region_extent")
+def q_extent(spark, sf_dir):
+    """A18 over the multi-year frame."""
+    return RP.region_extent(TB.daily_from_orders(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ plans and joins
+def _orders_bounds(spark, sf_dir):
+    d = TB.daily_from_orders(spark, sf_dir)
+    return d.agg(F.to_date(F.min("datetime")).alias("start"), F.to_date(F.max("datetime")).alias("end"))
+
+
+def _plan(spark, sf_dir):
+    regions = TB.region_names(spark, sf_dir).crossJoin(F.broadcast(_orders_bounds(spark, sf_dir)))
+    return PL.month_plan(regions, F.col("start"), F.col("end"))
+
+
+@register("completeness")
+def q_completeness(spark, sf_dir):
+    """J1 + A4: nation x year grid 1995-2001, missing below 8000 rows."""
+    return PL.completeness(TB.daily_from_orders(spark, sf_dir), TB.region_names(spark, sf_dir), 1995, 2001)
+
+
+@register("month_plan")
+def q_month_plan(spark, sf_dir):
+    """Month x nation chunks between the first and last order date."""
+    return _plan(spark, sf_dir)
+
+
+@register("pending_chunks")
+def q_pending(spark, sf_dir):
+    """Planned chunks without any order rows."""
+    return PL.pending(_plan(spark, sf_dir), PL.done_chunks(TB.daily_from_orders(spark, sf_dir)))
+
+
+@register("coverage")
+def q_coverage(spark, sf_dir):
+    """A21."""
+    return present(PL.coverage(_plan(spark, sf_dir), PL.done_chunks(TB.daily_from_orders(spark, sf_dir))),
+                   ["pct_done"])
+
+
+@register("day_plan")
+def q_day_plan(spark, sf_dir):
+    """Days after the last drift date up to yesterday."""
+    last = drift_frame(spark, sf_dir).agg(F.max(F.to_date("date")).alias("last"))
+    return last.select(F.explode(PL.day_plan(F.col("last"), TODAY)).alias("day"))
+
+
+@register("attach_latest")
+def q_attach(spark, sf_dir):
+    """J3 + P22: requests -> latest row of their region, time injected; unknown regions drop."""
+    req = (TB.request_rows(spark, sf_dir)
+           .withColumn("region", F.coalesce("region", F.lit(S.DEFAULT_REGION)))
+           .withColumn("target_datetime", F.to_timestamp("date").cast("timestamp_ntz")))
+    j = RP.attach_latest(req, TB.hourly_from_events(spark, sf_dir))
+    return RP.inject_datetime(j).select("event_id", "region", "date", "latest_datetime", "datetime",
+                                        "hour", "day_of_year", "month", "temperature", "pressure")
+
+
+@register("lookup_actual")
+def q_lookup(spark, sf_dir):
+    """Request -> first archive row of that date (left join)."""
+    req = TB.request_rows(spark, sf_dir).where(F.col("region").isNotNull()).withColumn("date", F.to_date("date"))
+    return RP.lookup_actual(req, TB.predictions_from_events(spark, sf_dir))
+
+
+@register("live_error")
+def q_live_error(spark, sf_dir):
+    """Latest observation per region vs the champion's prediction."""
+    preds = TB.predictions_from_events(spark, sf_dir)
+    summary = RP.drift_summary(ST.daily_mae(preds))
+    return present(RP.live_error(TB.values_from_events(spark, sf_dir), preds, summary), ["prediction", "error"])
+
+
+# ------------------------------------------------------------------ leaderboards, metric tables
+GRID = [1, 2, 3, 6, 12, 24]
+
+
+def grid_results(spark, sf_dir):
+    """Config grid: rolling means of the previous k rows, scored on the same
+    hold-out (rows with 24 predecessors)."""
+    v = TB.values_from_events(spark, sf_dir)
+    w = FE.region_window()
+    preds = {f"mean{k}": F.avg("temperature").over(w.rowsBetween(-k, -1)) for k in GRID}
+    scored = v.withColumns({**preds, "_n": F.row_number().over(w)}).where(F.col("_n") > 24)
+    m = ST.regression_metrics(scored, "temperature", {k: k for k in preds})
+    return m.withColumnRenamed("model", "name")
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    """Grid ordered by MAE, flag vs the persistence (k=1) MAE."""
+    res = grid_results(spark, sf_dir)
+    base = res.where(F.col("name") == "mean1").select(F.col("mae").alias("baseline_mae"))
+    lb = RP.leaderboard(res.crossJoin(F.broadcast(base)))
+    return present(lb.select("name", "mae", "rmse", "r2", "flag", "rank"), ["mae", "rmse", "r2"])
+
+
+@register("best_config")
+def q_best(spark, sf_dir):
+    """T4."""
+    return present(RP.best(grid_results(spark, sf_dir)), ["mae"])
+
+
+@register("performance_summary")
+def q_summary(spark, sf_dir):
+    """U2 + S13: base (all rows) and optimised (test days) metrics, pivoted wide."""
+    p = TB.predictions_from_events(spark, sf_dir)
+    base = ST.regression_metrics(p, "temperature_actual", PREDS).withColumn("stage", F.lit("base"))
+    test = p.where(F.col("datetime") >= F.lit(FOLD_DAY).cast("timestamp_ntz"))
+    opt = ST.regression_metrics(test, "temperature_actual", PREDS).withColumn("stage", F.lit("optimized"))
+    wide = RP.summary_wide(RP.metrics_table([base, opt]))
+    return present(wide, ["MAE", "RMSE", "R2"])

@@ -34,10 +34,11 @@ def props_number(props) -> F.Column:
     return F.regexp_extract(props, r"([0-9]+)", 1).try_cast("double")
 
 
-def hourly_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_from_events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     e = table(spark, sf_dir, "events")
     k = props_number(F.col("props"))
     return e.select(
+        *(["event_id"] if with_id else []),
         F.col("ts").alias("datetime"),
         F.col("event_type").alias("region"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
@@ -81,7 +82,7 @@ def predictions_from_events(spark: SparkSession, sf_dir: str, method: str = "hal
 def forecast_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly forecast per region: model = mean value in the hour, ecmwf =
     mean of the events whose ``props`` number exceeds 50 (missing when none),
-    gfs = median-free second baseline: mean of the others."""
+    gfs = mean of the others."""
     e = table(spark, sf_dir, "events")
     k = props_number(F.col("props"))
     return (e.groupBy(F.col("event_type").alias("region"),
@@ -89,3 +90,56 @@ def forecast_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.avg("value").alias("forecast"),
                  F.avg(F.when(k > 50, F.col("value"))).alias("ecmwf"),
                  F.avg(F.when(k <= 50, F.col("value"))).alias("gfs")))
+
+
+def values_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(datetime, region, temperature) with every value present (events.value)."""
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").alias("datetime"), F.col("event_type").alias("region"),
+        F.col("value").alias("temperature"))
+
+
+def forecast_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(model forecast per region-hour, baselines ecmwf / gfs per region-hour)."""
+    fc = forecast_from_events(spark, sf_dir)
+    return fc.select("region", "time", "forecast"), fc.select("region", "time", "ecmwf", "gfs")
+
+
+def hourly_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly API-style payloads: one JSON document per (region, block of 24
+    consecutive event ids), so each payload holds at most 24 hours."""
+    from .payload import hourly_payload
+    rows = hourly_from_events(spark, sf_dir, with_id=True)
+    return hourly_payload(rows, (F.col("event_id") / 24).cast("bigint"))
+
+
+def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One current-observation JSON per event (humidity absent where missing)."""
+    from .payload import current_payload
+    h = hourly_from_events(spark, sf_dir)
+    obs = h.select("region", F.col("datetime").cast("string").alias("timestamp"),
+                   F.col("temperature").alias("temperature_2m"),
+                   F.col("humidity").alias("relative_humidity_2m"),
+                   F.col("wind_speed").alias("wind_speed_10m"),
+                   F.col("pressure").alias("pressure_msl"))
+    return obs.select("region", current_payload(obs).alias("payload"))
+
+
+def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests: region = event_type (absent for every 10th user),
+    date = event day + user_id % 3 days."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.when(F.col("user_id") % 10 == 0, F.lit(None).cast("string")).otherwise(F.col("event_type")).alias("region"),
+        F.date_format(F.date_add(F.to_date("ts"), (F.col("user_id") % 3).cast("int")), "yyyy-MM-dd").alias("date"))
+
+
+def request_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{"requests": [...]}`` documents of at most 24 requests each."""
+    r = request_rows(spark, sf_dir)
+    return (r.groupBy((F.col("event_id") / 24).cast("bigint").alias("chunk"))
+            .agg(F.sort_array(F.collect_list(F.struct("event_id", "region", "date"))).alias("_a"))
+            .select("chunk", F.to_json(F.struct(F.transform(
+                "_a", lambda x: F.struct(x["region"].alias("region"), x["date"].alias("date"))).alias("requests")))
+                .alias("payload")))
