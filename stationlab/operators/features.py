@@ -30,19 +30,30 @@ def ffill(df: DataFrame, cols: list[str], key: str = "region", order: str = "dat
     return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
+def reverse_running(key: str = "region", order: str = "datetime") -> Window:
+    """Running frame over *descending* time.
+
+    ``first(ignorenulls)`` over ``currentRow..unboundedFollowing`` is
+    re-evaluated for every row (quadratic in the partition); the same value
+    is ``last(ignorenulls)`` over a running frame in reverse order, which is
+    linear.  Same partitioning, so it costs one more sort, no exchange.
+    """
+    return (Window.partitionBy(key).orderBy(F.col(order).desc())
+            .rowsBetween(Window.unboundedPreceding, 0))
+
+
 def bfill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime") -> DataFrame:
     """Back fill within each region by time."""
-    w = region_window(key, order).rowsBetween(0, Window.unboundedFollowing)
-    return df.withColumns({c: F.first(c, ignorenulls=True).over(w) for c in cols})
+    w = reverse_running(key, order)
+    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
 
 
 def fill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime") -> DataFrame:
     """Forward fill then back fill (the order the pipeline applies them)."""
-    w = region_window(key, order)
-    pre = w.rowsBetween(Window.unboundedPreceding, 0)
-    post = w.rowsBetween(0, Window.unboundedFollowing)
+    pre = region_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
+    post = reverse_running(key, order)
     return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(pre),
-                                         F.first(c, ignorenulls=True).over(post)) for c in cols})
+                                         F.last(c, ignorenulls=True).over(post)) for c in cols})
 
 
 def lag_columns(w: Window, cols: list[str], lags: list[int]) -> dict[str, Column]:
@@ -78,16 +89,29 @@ def _finish(df: DataFrame, drop_any: bool) -> DataFrame:
     return df.na.drop("any") if drop_any else df
 
 
-def feature_table(hourly: DataFrame, method: str = "halo", unit: str = "day",
-                  measures: list[str] | None = None, drop_any: bool = True) -> DataFrame:
+# Rows one window task may take before the bucketed form is used.
+MAX_ROWS_PER_KEY_TASK = 2_000_000
+
+
+def feature_table(hourly: DataFrame, method: str = "auto", unit: str = "day",
+                  measures: list[str] | None = None, drop_any: bool = True,
+                  max_rows_per_task: int = MAX_ROWS_PER_KEY_TASK) -> DataFrame:
     """Canonical hourly frame -> ML feature table.
 
     Fills every measure within its region (forward, then back), adds the 15
     lags and four rolling columns, calendar fields and season class, and drops
     rows with any missing value (the first 24 rows of each region).
+
+    ``method``: "window" (one exchange by region), "halo" (per region and
+    time bucket, see ``halo.py``) or "auto": one small aggregate measures the
+    largest region; up to ``max_rows_per_task`` rows the plain window is used,
+    beyond it the bucketed form.
     """
     measures = measures or [c for c in hourly.columns if c not in ("datetime", "region")]
     max_reach = max(max(S.LAGS), max(n for _, _, n, _ in S.ROLLING))
+    buckets = None
+    if method == "auto":
+        method = H.choose_method(hourly, "region", max_rows_per_task)
     if method == "window":
         w = region_window()
         df = fill(hourly, measures)
@@ -95,9 +119,8 @@ def feature_table(hourly: DataFrame, method: str = "halo", unit: str = "day",
         return _finish(df, drop_any)
     if method != "halo":
         raise ValueError(f"unknown method {method!r}")
-    indexed, buckets = H.index_rows(hourly, "region", "datetime", unit)
-    indexed = H.fill_bucketed(indexed, "region", measures)
-    ext = H.with_halo(indexed, buckets, "region", max_reach)
+    ext = H.index_rows(hourly, "region", "datetime", unit, fill=measures, halo=max_reach,
+                       buckets=buckets)
     w = H.bucket_window("region")
     df = (ext.withColumns({**lag_columns(w, S.LAG_COLUMNS, S.LAGS), **rolling_columns(w)})
           .where(~F.col(H.HALO)))

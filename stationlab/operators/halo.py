@@ -12,7 +12,8 @@ per-key window row for row.
 
 Unbounded reach (forward / backward fill) is two-phase: the last / first
 non-null per bucket is aggregated into the small bucket table, carried across
-buckets with a window over that table, and joined back.
+buckets with a window over that table, and joined back together with the
+bucket offsets (one aggregate, one join for numbering and fills together).
 
 Sizes: the bucket table has one row per (key, bucket), i.e. it grows with the
 time span, not with the rows per bucket.  Its joins are plain joins; AQE turns
@@ -31,83 +32,132 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def index_rows(df: DataFrame, key, order: str, unit: str = "day",
-               tie: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Give each row its 1-based position ``_idx`` inside its key, bucketed.
+def _bucket_table(d: DataFrame, k: list[str], ordering, fill: list[str]) -> DataFrame:
+    """(key, bucket) -> count, offsets, ordinal and fill carries.
 
-    Returns (rows with ``_bkt``, ``_idx``; bucket table with ``_n``,
-    ``_start``, ``_end``, ``_ord``).  Only the bucket table is windowed per
-    key; the rows are numbered per (key, bucket).
+    Aggregated straight from the input (partial aggregation before the
+    shuffle), then windowed per key over the small result.
     """
-    k = _keys(key)
-    d = df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
-    w = Window.partitionBy(*k, BKT).orderBy(F.col(order), *[F.col(t) for t in tie])
-    d = d.withColumn(RN, F.row_number().over(w))
+    # a bare timestamp keeps max_by / min_by in the hash aggregate (a struct
+    # ordering would force a sort-based aggregate over the whole input)
+    okey = ordering[0] if len(ordering) == 1 else F.struct(*ordering)
     wk = Window.partitionBy(*k).orderBy(BKT)
-    buckets = (d.groupBy(*k, BKT).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_end", F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
-               .withColumn("_start", F.col("_end") - F.col("_n"))
-               .withColumn("_ord", F.row_number().over(wk)))
-    d = (d.join(buckets.select(*k, BKT, "_start", "_end"), [*k, BKT])
-         .withColumn(IDX, F.col("_start") + F.col(RN)))
-    return d, buckets
+    wk_rev = Window.partitionBy(*k).orderBy(F.col(BKT).desc())
+    return (d.groupBy(*k, BKT).agg(
+                F.count(F.lit(1)).alias("_n"),
+                *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_last_{c}") for c in fill],
+                *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_first_{c}") for c in fill])
+            .withColumn("_end", F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_start", F.col("_end") - F.col("_n"))
+            .withColumn("_ord", F.row_number().over(wk))
+            # carries across buckets: running frames only (forward, and
+            # forward over descending buckets for the back fill)
+            .withColumns({f"_in_{c}": F.last(f"_last_{c}", ignorenulls=True)
+                          .over(wk.rowsBetween(Window.unboundedPreceding, -1)) for c in fill})
+            .withColumns({f"_out_{c}": F.last(f"_first_{c}", ignorenulls=True)
+                          .over(wk_rev.rowsBetween(Window.unboundedPreceding, -1)) for c in fill})
+            .drop(*[f"_last_{c}" for c in fill], *[f"_first_{c}" for c in fill]))
+
+
+def _halo_targets(buckets: DataFrame, k: list[str], halo: int) -> DataFrame:
+    """Per source bucket, the later buckets that need some of its last rows.
+
+    Each destination takes the ``halo`` rows before its start; they come from
+    at most ``halo`` earlier buckets (every bucket holds a row), so each list
+    has at most ``halo`` entries.
+    """
+    src = buckets.select(*k, BKT, F.col("_ord").alias("_src_ord"), F.col("_end").alias("_src_end"))
+    dst = buckets.select(*k, F.col(BKT).alias("_dst_bkt"), F.col("_ord").alias("_dst_ord"),
+                         F.col("_start").alias("_dst_start"))
+    return (src.withColumn("_dst_ord", F.explode(F.sequence(F.col("_src_ord") + 1, F.col("_src_ord") + halo)))
+            .join(dst, [*k, "_dst_ord"])
+            .where(F.col("_dst_start") - halo < F.col("_src_end"))
+            .groupBy(*k, BKT)
+            .agg(F.collect_list(F.struct(F.col("_dst_bkt").alias("b"), F.col("_dst_start").alias("s")))
+                 .alias("_targets")))
 
 
-def with_halo(indexed: DataFrame, buckets: DataFrame, key, halo: int) -> DataFrame:
-    """Add to each bucket copies of the ``halo`` rows preceding it (``_halo`` true).
+def bucket_table(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str, ...] = (),
+                 fill: list[str] | None = None) -> DataFrame:
+    """The (key, bucket) table ``index_rows`` needs, computed once.
 
-    Source buckets for a destination are found on the bucket table: at most
-    ``halo`` earlier buckets (each holds at least one row), kept when they end
-    within ``halo`` rows of the destination's start.
+    One row per (key, time bucket): small next to the data (it grows with the
+    time span, not the row count), so it is checkpointed and reused by the
+    offset join and the halo-target lists instead of being recomputed.
     """
+    from ..session import materialize
     k = _keys(key)
-    src = buckets.select(*k, F.col(BKT).alias("_src_bkt"), F.col("_ord").alias("_src_ord"),
-                         F.col("_end").alias("_src_end"))
-    dst = buckets.select(*k, F.col(BKT).alias("_dst_bkt"), F.col("_ord").alias("_dst_ord"),
-                         F.col("_start").alias("_dst_start"))
-    pairs = (src.withColumn("_dst_ord", F.explode(F.sequence(F.col("_src_ord") + 1,
-                                                             F.col("_src_ord") + halo)))
-             .join(dst, [*k, "_dst_ord"])
-             .where(F.col("_dst_start") - halo < F.col("_src_end"))
-             .select(*k, F.col("_src_bkt").alias(BKT), "_dst_bkt", "_dst_start"))
-    tail = (indexed.where(F.col(IDX) > F.col("_end") - halo)
-            .join(pairs, [*k, BKT])
-            .where(F.col(IDX) > F.col("_dst_start") - halo)
-            .withColumn(BKT, F.col("_dst_bkt"))
-            .drop("_dst_bkt", "_dst_start")
-            .withColumn(HALO, F.lit(True)))
-    return indexed.withColumn(HALO, F.lit(False)).unionByName(tail)
+    ordering = [F.col(order), *[F.col(t) for t in tie]]
+    d = df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
+    return materialize(_bucket_table(d, k, ordering, list(fill or [])))
 
 
-def bucket_window(key) -> Window:
-    return Window.partitionBy(*_keys(key), BKT).orderBy(IDX)
+def largest_key(df: DataFrame, key) -> int:
+    """Rows in the largest key: one aggregate (map-side combined), one number back."""
+    r = df.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(r or 0)
+
 
+def choose_method(df: DataFrame, key, max_rows_per_task: int) -> str:
+    """"window" while the largest key fits one task, else "halo"."""
+    return "window" if largest_key(df, key) <= max_rows_per_task else "halo"
 
-def fill_bucketed(indexed: DataFrame, key, cols: list[str]) -> DataFrame:
-    """Forward fill, then back fill, within key by ``_idx`` (P14 + P15), bucketed."""
+
+def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str, ...] = (),
+               fill: list[str] | None = None, halo: int = 0,
+               buckets: DataFrame | None = None) -> DataFrame:
+    """Number rows within their key without a per-key task, fill, add halo copies.
+
+    Output: the input columns plus ``_bkt`` (time bucket), ``_idx`` (1-based
+    row position inside the key) and ``_halo``.  Rows with ``_halo`` true are
+    copies of the ``halo`` rows preceding each bucket, filed under that
+    bucket, so ``bucket_window`` sees at least ``halo`` predecessors for every
+    original row.
+
+    ``fill`` columns are forward- then back-filled within the key (P14 +
+    P15): in-bucket values ride on the numbering window, values crossing
+    bucket borders ride on the bucket aggregate.
+
+    Shuffles: the input by (key, bucket) once; the small bucket table; the
+    final window shuffles rows (with their copies) by (key, bucket) again.
+    """
     k = _keys(key)
-    wb = bucket_window(key)
-    pre = wb.rowsBetween(Window.unboundedPreceding, 0)
-    post = wb.rowsBetween(0, Window.unboundedFollowing)
-    summary = indexed.groupBy(*k, BKT).agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_last_{c}") for c in cols],
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(IDX))).alias(f"_first_{c}") for c in cols],
-    )
-    wk = Window.partitionBy(*k).orderBy(BKT)
-    carry = summary.select(
-        *k, BKT,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
-          .alias(f"_in_{c}") for c in cols],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing))
-          .alias(f"_out_{c}") for c in cols],
-    )
-    d = indexed.join(carry, [*k, BKT])
-    d = d.withColumns({
-        c: F.coalesce(F.last(c, ignorenulls=True).over(pre), F.col(f"_in_{c}"),
-                      F.first(c, ignorenulls=True).over(post), F.col(f"_out_{c}"))
-        for c in cols
-    })
-    return d.drop(*[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
+    fill = list(fill or [])
+    ordering = [F.col(order), *[F.col(t) for t in tie]]
+    d = df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
+    if buckets is None:
+        buckets = bucket_table(df, key, order, unit, tie, fill)
+    side = buckets.select(*k, BKT, "_start", "_end", *[f"_in_{c}" for c in fill],
+                          *[f"_out_{c}" for c in fill])
+    if halo:
+        side = side.join(_halo_targets(buckets, k, halo), [*k, BKT], "left")
+    w = Window.partitionBy(*k, BKT).orderBy(*ordering)
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    # back fill = forward fill over descending order: a running frame, linear
+    # (an unbounded-following frame is re-evaluated for every row)
+    rev = (Window.partitionBy(*k, BKT).orderBy(*[c.desc() for c in ordering])
+           .rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumns({RN: F.row_number().over(w),
+                       **{f"_ff_{c}": F.last(c, ignorenulls=True).over(run) for c in fill},
+                       **{f"_bf_{c}": F.last(c, ignorenulls=True).over(rev) for c in fill}})
+    d = (d.join(side, [*k, BKT])
+         .withColumn(IDX, F.col("_start") + F.col(RN))
+         .withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_in_{c}"), F.col(f"_bf_{c}"),
+                                     F.col(f"_out_{c}")) for c in fill})
+         .drop(*[f"_{p}_{c}" for p in ("ff", "bf", "in", "out") for c in fill]))
+    if not halo:
+        return d.withColumn(HALO, F.lit(False))
+    own = F.array(F.struct(F.col(BKT).alias("b"), F.lit(False).alias("h")))
+    copies = F.transform(
+        F.filter(F.coalesce(F.col("_targets"), F.array()), lambda t: F.col(IDX) > t["s"] - halo),
+        lambda t: F.struct(t["b"].alias("b"), F.lit(True).alias("h")))
+    return (d.withColumn("_t", F.explode(F.concat(own, copies)))
+            .withColumn(BKT, F.col("_t.b")).withColumn(HALO, F.col("_t.h"))
+            .drop("_t", "_targets"))
+
+
+def bucket_window(key) -> Window:
+    return Window.partitionBy(*_keys(key), BKT).orderBy(IDX)
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:

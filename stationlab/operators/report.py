@@ -18,11 +18,13 @@ PRED_COLS = {"xgb": "temperature_xgb_pred", "nn": "temperature_nn_pred"}
 
 
 # --------------------------------------------------------------------------- predictions
-def naive_predictions(df: DataFrame, method: str = "halo", unit: str = "day",
-                      value: str = "temperature", mean_rows: int = 6) -> DataFrame:
+def naive_predictions(df: DataFrame, method: str = "auto", unit: str = "day",
+                      value: str = "temperature", mean_rows: int = 6,
+                      max_rows_per_task: int = 2_000_000) -> DataFrame:
     """Predictions frame from two deterministic forecasters over ``value``:
     "xgb" = previous row, "nn" = mean of the previous ``mean_rows`` rows.
-    Rows without a previous row are dropped."""
+    Rows without a previous row are dropped.  ``method`` as in
+    ``features.feature_table``."""
     def cols(w):
         return {
             "temperature_actual": F.col(value),
@@ -30,11 +32,14 @@ def naive_predictions(df: DataFrame, method: str = "halo", unit: str = "day",
             "temperature_nn_pred": F.avg(value).over(w.rowsBetween(-mean_rows, -1)),
         }
     keep = ["datetime", "region", "temperature_actual", "temperature_xgb_pred", "temperature_nn_pred"]
+    buckets = None
+    if method == "auto":
+        method = H.choose_method(df, "region", max_rows_per_task)
     if method == "window":
         out = df.withColumns(cols(region_window()))
     else:
-        idx, buckets = H.index_rows(df, "region", "datetime", unit)
-        out = H.with_halo(idx, buckets, "region", mean_rows).withColumns(cols(H.bucket_window("region")))
+        ext = H.index_rows(df, "region", "datetime", unit, halo=mean_rows, buckets=buckets)
+        out = ext.withColumns(cols(H.bucket_window("region")))
         out = out.where(~F.col(H.HALO))
     return out.select(*keep).where(F.col("temperature_xgb_pred").isNotNull())
 

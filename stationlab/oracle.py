@@ -81,6 +81,7 @@ SELECT {sel} FROM feat WHERE {notnull}"""
 SQL: dict[str, str] = {}
 SQL["feature_table"] = feature_sql()
 SQL["feature_table_window"] = SQL["feature_table"]
+SQL["feature_table_halo"] = SQL["feature_table"]
 
 FORECAST = f"""fc AS (
   SELECT event_type AS region, date_trunc('hour', ts) AS time, avg(value) AS forecast,
@@ -259,6 +260,7 @@ SQL["climatology"] = _w(DAILY, f"""SELECT region, CAST(month(datetime) AS INTEGE
   CAST(dayofmonth(datetime) AS INTEGER) AS day, {fx('avg(temperature)')} AS actual_climatology_avg
 FROM daily GROUP BY 1, 2, 3""")
 SQL["daily_mae"] = _w(f"{PREDICTIONS}, {DRIFT}", f"SELECT date, {fx('xgb_mae')} AS xgb_mae, {fx('nn_mae')} AS nn_mae FROM drift")
+SQL["daily_mae_halo"] = SQL["daily_mae"]
 SQL["drift_summary"] = _w(f"{PREDICTIONS}, {DRIFT}", f"""SELECT first_date, last_date, days_tracked,
   {fx('lx')} AS latest_xgb_mae, {fx('ln')} AS latest_nn_mae,
   CASE WHEN ln IS NOT NULL AND ln < lx THEN 'Neural Network' ELSE 'XGBoost' END AS champion,

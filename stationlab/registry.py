@@ -49,7 +49,13 @@ ROLL_NAMES = [r[0] for r in S.ROLLING]
 
 @register("feature_table")
 def q_feature_table(spark, sf_dir):
-    """W1-W3, P7, P8, P11, P14, P15 — halo-bucketed form (default)."""
+    """W1-W3, P7, P8, P11, P14, P15 — form chosen from the measured region sizes."""
+    return present(FE.feature_table(TB.hourly_from_events(spark, sf_dir), method="auto"), ROLL_NAMES)
+
+
+@register("feature_table_halo")
+def q_feature_table_halo(spark, sf_dir):
+    """Same rows, forced (region, day)-bucketed halo form."""
     return present(FE.feature_table(TB.hourly_from_events(spark, sf_dir), method="halo"), ROLL_NAMES)
 
 
@@ -376,6 +382,12 @@ def q_daily_mae(spark, sf_dir):
     return present(drift_frame(spark, sf_dir), ["xgb_mae", "nn_mae"])
 
 
+@register("daily_mae_halo")
+def q_daily_mae_halo(spark, sf_dir):
+    """A20 with the predictions built in the forced halo form."""
+    return present(ST.daily_mae(TB.predictions_from_events(spark, sf_dir, method="halo")), ["xgb_mae", "nn_mae"])
+
+
 @register("drift_summary")
 def q_drift_summary(spark, sf_dir):
     """A13, A14, P21 on the drift table."""

@@ -71,3 +71,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def materialize(df):
+    """Compute a small intermediate once and cut its lineage.
+
+    Uses a reliable ``checkpoint`` into the shared ``spark.checkpoint.dir``
+    (survives executor loss); when no folder is configured the frame is
+    cached instead.  Meant for bounded tables (bucket indexes, statistics),
+    not for fact data.
+    """
+    spark = df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+        df = df.persist()   # checkpoint writes what the job computed, not a recomputation
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
+    out = df.cache()
+    out.count()
+    return out

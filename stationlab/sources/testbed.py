@@ -71,7 +71,7 @@ def arrivals_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "l_quantity", "l_extendedprice", "l_discount")
 
 
-def predictions_from_events(spark: SparkSession, sf_dir: str, method: str = "halo") -> DataFrame:
+def predictions_from_events(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
     from ..operators.report import naive_predictions
     e = table(spark, sf_dir, "events").select(
         F.col("ts").alias("datetime"), F.col("event_type").alias("region"),
