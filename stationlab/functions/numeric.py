@@ -55,13 +55,17 @@ def round_half_even(c: Column, digits: int) -> Column:
 
 
 def fixed6(c: Column) -> Column:
-    """Output precision for float aggregates: ``floor(x * 1e6 + 0.5) / 1e6``.
+    """Output precision for float aggregates: ``floor(x * 1e6 + 0.499) / 1e6``.
 
     Written as plain arithmetic so that any engine evaluating the same
     expression on the same double gets the same bits; aggregates summed in a
-    different order differ only below this precision.
+    different order differ only far below this precision.  The rounding
+    boundary sits at 0.501 of a micro-unit rather than 0.5: averages of
+    decimal data often land exactly on a binary fraction such as k/128, which
+    is an exact half-micro tie, and summation noise would split such a tie
+    differently in different engines.  No such value lands on 0.501.
     """
-    return (F.floor(c * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)).cast("double")
+    return (F.floor(c * F.lit(1000000.0) + F.lit(0.499)) / F.lit(1000000.0)).cast("double")
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:

@@ -12,7 +12,7 @@ from . import schema as S
 
 
 def fx(expr: str) -> str:
-    return f"(FLOOR(({expr}) * 1000000.0 + 0.5) / 1000000.0)"
+    return f"(FLOOR(({expr}) * 1000000.0 + 0.499) / 1000000.0)"
 
 
 PROPS_K = "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE)"
