@@ -346,3 +346,11 @@ SQL["performance_summary"] = _w(PREDICTIONS + ", test AS (SELECT * FROM preds WH
   {fx(f'sqrt(avg((temperature_actual - {p}) * (temperature_actual - {p})))')} AS RMSE,
   {fx(f'1 - avg((temperature_actual - {p}) * (temperature_actual - {p})) / var_pop(temperature_actual)')} AS R2 FROM {src}"""
         for stage, src in [("base", "preds"), ("optimized", "test")] for m, p in PRED_MODELS.items()) + ")")
+
+# ---- streaming (the stream must equal the batch answer)
+SQL["stream_latest_snapshot"] = """SELECT region, timestamp, temperature_2m FROM (
+  SELECT event_type AS region, ts AS timestamp, value AS temperature_2m,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1"""
+SQL["stream_upsert"] = SQL["upsert_latest_arrival"]
+SQL["stream_daily_mae"] = SQL["daily_mae"]
+SQL["stream_features"] = SQL["feature_table"]

@@ -536,3 +536,60 @@ def q_summary(spark, sf_dir):
     opt = ST.regression_metrics(test, "temperature_actual", PREDS).withColumn("stage", F.lit("optimized"))
     wide = RP.summary_wide(RP.metrics_table([base, opt]))
     return present(wide, ["MAE", "RMSE", "R2"])
+
+
+# ------------------------------------------------------------------ streaming (availableNow, read back)
+import tempfile  # noqa: E402
+import uuid  # noqa: E402
+
+from .session import checkpoint_dir  # noqa: E402
+from .streaming import jobs as SJ  # noqa: E402
+
+
+def _scratch(spark, name):
+    """Fresh folder under the shared checkpoint folder (set here only if unset)."""
+    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="stationlab-", dir="/tmp"))
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("stream_latest_snapshot")
+def q_stream_latest(spark, sf_dir):
+    """Latest observation per region from a file stream, snapshot table."""
+    root = _scratch(spark, "latest")
+    obs = TB.stream_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("region"), F.col("ts").alias("timestamp"),
+        F.col("value").alias("temperature_2m"))
+    SJ.run_latest_snapshot(obs, f"{root}/snapshot", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/snapshot").drop("_batch")
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf_dir):
+    """Lineitem arrivals merged into a hash-partitioned master, later arrival wins."""
+    root = _scratch(spark, "upsert")
+    key = ["l_orderkey", "l_linenumber"]
+    rows = TB.stream_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
+        "l_extendedprice", "l_discount")
+    SJ.run_upsert(rows, f"{root}/master", f"{root}/_checkpoint", key, ["l_shipdate", "l_partkey"],
+                  SJ.hash_bucket(key)).awaitTermination()
+    return SJ.read_master(spark, f"{root}/master")
+
+
+@register("stream_daily_mae")
+def q_stream_daily_mae(spark, sf_dir):
+    """Tumbling-day MAE over a stream of prediction files."""
+    root = _scratch(spark, "daily")
+    TB.predictions_from_events(spark, sf_dir).write.parquet(f"{root}/preds")
+    preds = spark.readStream.schema(S.PREDICTIONS).parquet(f"{root}/preds")
+    SJ.run_daily_mae(preds, f"{root}/daily", f"{root}/_checkpoint").awaitTermination()
+    return present(SJ.read_latest_by(spark, f"{root}/daily", ["date"]), ["xgb_mae", "nn_mae"])
+
+
+@register("stream_features")
+def q_stream_features(spark, sf_dir):
+    """R3 + R7: hourly rows upserted per batch, features refreshed incrementally."""
+    root = _scratch(spark, "features")
+    rows = TB.hourly_from_events(spark, sf_dir, events=TB.stream_table(spark, sf_dir, "events"))
+    SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_checkpoint").awaitTermination()
+    return present(SJ.read_features(spark, f"{root}/features"), ROLL_NAMES)

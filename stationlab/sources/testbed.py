@@ -34,8 +34,20 @@ def props_number(props) -> F.Column:
     return F.regexp_extract(props, r"([0-9]+)", 1).try_cast("double")
 
 
-def hourly_from_events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A test table as a file-source stream (schema from the batch reader)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    # a file source lists a folder; the single file is picked by a glob under it
+    r = spark.readStream.schema(spark.read.parquet(path).schema).option("basePath", sf_dir)
+    path = f"{sf_dir.rstrip('/')}/{name}.parque[t]"
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path)
+
+
+def hourly_from_events(spark: SparkSession, sf_dir: str, with_id: bool = False,
+                       events: DataFrame | None = None) -> DataFrame:
+    e = table(spark, sf_dir, "events") if events is None else events
     k = props_number(F.col("props"))
     return e.select(
         *(["event_id"] if with_id else []),
