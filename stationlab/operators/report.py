@@ -160,12 +160,14 @@ def drift_summary(drift: DataFrame) -> DataFrame:
 def live_error(obs: DataFrame, preds: DataFrame, summary: DataFrame) -> DataFrame:
     """Latest observation per region -> champion prediction and its error.
 
-    ``summary`` is the one-row drift summary (a global aggregate), so it is
-    broadcast; the observation/prediction join is an equi-join on the key.
+    ``summary`` is the one-row drift summary (a global aggregate): its
+    champion label is read as one value; the observation/prediction join is
+    an equi-join on the key.
     """
+    champ = summary.select("champion").first()
     latest = latest_per_region(obs.select("region", "datetime", F.col("temperature").alias("actual")))
     j = (latest.join(preds.select("region", "datetime", *PRED_COLS.values()), ["region", "datetime"])
-         .crossJoin(F.broadcast(summary.select("champion"))))
+         .withColumn("champion", F.lit(champ.champion if champ else B.MODEL_TREE)))
     pred = F.when(F.col("champion") == B.MODEL_NETWORK, F.col(PRED_COLS["nn"])).otherwise(F.col(PRED_COLS["xgb"]))
     return (j.select("region", "datetime", "actual", "champion", pred.alias("prediction"))
             .withColumn("error", F.abs(F.col("prediction") - F.col("actual")))

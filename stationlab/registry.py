@@ -435,8 +435,8 @@ def _orders_bounds(spark, sf_dir):
 
 
 def _plan(spark, sf_dir):
-    regions = TB.region_names(spark, sf_dir).crossJoin(F.broadcast(_orders_bounds(spark, sf_dir)))
-    return PL.month_plan(regions, F.col("start"), F.col("end"))
+    b = _orders_bounds(spark, sf_dir).first()          # two dates
+    return PL.month_plan(TB.region_names(spark, sf_dir), str(b.start), str(b.end))
 
 
 @register("completeness")
@@ -516,8 +516,8 @@ def grid_results(spark, sf_dir):
 def q_leaderboard(spark, sf_dir):
     """Grid ordered by MAE, flag vs the persistence (k=1) MAE."""
     res = grid_results(spark, sf_dir)
-    base = res.where(F.col("name") == "mean1").select(F.col("mae").alias("baseline_mae"))
-    lb = RP.leaderboard(res.crossJoin(F.broadcast(base)))
+    base = res.where(F.col("name") == "mean1").first().mae       # one number
+    lb = RP.leaderboard(res, float(base))
     return present(lb.select("name", "mae", "rmse", "r2", "flag", "rank"), ["mae", "rmse", "r2"])
 
 
@@ -593,3 +593,97 @@ def q_stream_features(spark, sf_dir):
     rows = TB.hourly_from_events(spark, sf_dir, events=TB.stream_table(spark, sf_dir, "events"))
     SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_checkpoint").awaitTermination()
     return present(SJ.read_features(spark, f"{root}/features"), ROLL_NAMES)
+
+
+# ------------------------------------------------------------------ models (rows-only checks)
+from .models import estimators as ES  # noqa: E402
+from .models import training as TR  # noqa: E402
+
+SMALL_GBT = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1}
+SPLIT_DAY = "2024-01-20"
+
+
+def _ml_frame(spark, sf_dir):
+    feat = FE.feature_table(TB.hourly_from_events(spark, sf_dir))
+    return feat, FE.feature_columns(feat)
+
+
+def _holdout(spark, sf_dir):
+    feat, cols = _ml_frame(spark, sf_dir)
+    d = F.lit(SPLIT_DAY).cast("timestamp_ntz")
+    return feat.where(F.col("datetime") < d), feat.where(F.col("datetime") >= d), cols
+
+
+@register("ml_holdout_metrics")
+def q_ml_holdout(spark, sf_dir):
+    """Scaler + network, boosted trees, forest; metrics on the hold-out days."""
+    train, test, cols = _holdout(spark, sf_dir)
+    models = TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=30, mlp_lr=1e-2)
+    return TR.evaluate(test, models, cols, "base")
+
+
+@register("season_classifier")
+def q_season(spark, sf_dir):
+    """4-class season forest on a 30 % sample of the multi-year frame."""
+    d = calendar_fields(TB.daily_from_orders(spark, sf_dir))
+    d = d.withColumns(FE.lag_columns(FE.region_window(), ["temperature"], [1, 6, 24])).na.drop()
+    cols = ["temperature", "temperature_lag1", "temperature_lag6", "temperature_lag24", "day_of_year", "hour"]
+    train, test = TR.split_by_year(d, ORDERS_TRAIN_END, ORDERS_TEST_START)
+    m = ES.fit_season(ES.assemble(ES.sample_frac(train, 0.3), cols))
+    p = m.transform(ES.assemble(test, cols))
+    return ST.accuracy(p.withColumn("season_pred", F.col("season_pred").cast("int")), "season_class", "season_pred")
+
+
+@register("importances")
+def q_importances(spark, sf_dir):
+    """Top-15 feature importances of the boosted trees."""
+    train, _, cols = _holdout(spark, sf_dir)
+    m = ES.fit_gbt(ES.assemble(train, cols), "temperature", SMALL_GBT)
+    return ES.top_importance(spark, m, cols, 15)
+
+
+@register("score_requests")
+def q_score(spark, sf_dir):
+    """Request batch -> latest row of the region -> both models, 2 dp."""
+    train, _, cols = _holdout(spark, sf_dir)
+    models = TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=20, mlp_lr=1e-2, forest=False)
+    req = PY.read_requests(TB.request_payloads(spark, sf_dir))
+    feat, _ = _ml_frame(spark, sf_dir)
+    return TR.score_requests(req, feat, models, cols)
+
+
+@register("backtest")
+def q_backtest(spark, sf_dir):
+    """Expanding-window daily backtest over the last three days."""
+    feat, cols = _ml_frame(spark, sf_dir)
+    last = feat.agg(F.to_date(F.max("datetime")).alias("d")).first().d
+    import datetime as _dt
+    days = [str(last - _dt.timedelta(days=i)) for i in (2, 1, 0)]
+    return TR.backtest(feat, days, cols, SMALL_GBT, hidden=(32,), mlp_iter=15)
+
+
+@register("tuning")
+def q_tuning(spark, sf_dir):
+    """M6: random search with 3-fold CV (small search space for the check)."""
+    train, _, cols = _holdout(spark, sf_dir)
+    space = {"n_estimators": [10, 20], "max_depth": [3, 5], "learning_rate": [0.1, 0.3]}
+    best = TR.tune(train, cols, n_candidates=2, folds=3, space=space)
+    return spark.createDataFrame([best])
+
+
+@register("grid_leaderboard")
+def q_grid(spark, sf_dir):
+    """M7 + T3: tree and network configs on a fixed hold-out, ranked by MAE."""
+    train, test, cols = _holdout(spark, sf_dir)
+    configs = [{"name": "GBT-A", "params": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3}},
+               {"name": "GBT-B", "params": {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1}},
+               {"name": "NN-A", "hidden": (32,), "iter": 20}]
+    return TR.grid(spark, train, test, cols, configs, baseline_mae=1.0)
+
+
+@register("attribution")
+def q_attribution(spark, sf_dir):
+    """Sampled-Shapley mean |contribution| per feature of the boosted trees."""
+    train, test, cols = _holdout(spark, sf_dir)
+    m = ES.fit_gbt(ES.assemble(train, cols), "temperature", SMALL_GBT)
+    return TR.attribution(m, test, cols, n=50, permutations=4)

@@ -40,10 +40,9 @@ def _rows(df: pd.DataFrame):
 
 def test_every_query_has_oracle_or_is_documented():
     missing = set(QUERIES) - set(SQL)
-    assert missing <= {"stream_latest_snapshot", "stream_upsert", "stream_daily_mae",
-                       "stream_features", "season_classifier", "gbt_predictions", "forest_predictions",
-                       "network_predictions", "score_requests", "backtest", "tuning", "attribution",
-                       "grid_leaderboard", "importances"}, missing
+    # model fits are not SQL-expressible; they get the driver's rows-only check
+    assert missing <= {"ml_holdout_metrics", "season_classifier", "score_requests", "backtest",
+                       "tuning", "attribution", "grid_leaderboard", "importances"}, missing
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
