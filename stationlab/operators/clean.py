@@ -43,6 +43,11 @@ def canonicalise(df: DataFrame, mapping: dict[str, str] = S.RAW_TO_CANONICAL) ->
     return df.select(*out)
 
 
+def for_region(df: DataFrame, region: str) -> DataFrame:
+    """Single-region filter (P13); pushed to the scan / partition filter."""
+    return df.where(F.col("region") == region)
+
+
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     """Union by name; a column missing from one input is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

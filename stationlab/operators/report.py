@@ -60,6 +60,11 @@ def region_extent(df: DataFrame) -> DataFrame:
                                     F.count(F.lit(1)).alias("n_rows"))
 
 
+def region_list(df: DataFrame) -> DataFrame:
+    """Sorted distinct regions (T5)."""
+    return df.select("region").distinct().orderBy("region")
+
+
 def climatology(df: DataFrame, value: str = "temperature") -> DataFrame:
     """Mean by region, month and day of month over all years.
 
@@ -71,11 +76,32 @@ def climatology(df: DataFrame, value: str = "temperature") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- latest / heads
+def extreme_rows(df: DataFrame, keys: list, order: str, latest: bool = True,
+                 key_exprs: dict | None = None) -> DataFrame:
+    """One row per group: the row with the largest (or smallest) ``order``.
+
+    ``max_by(struct(row), order)`` would be planned as a sort-based aggregate
+    (the struct buffer is not fixed-width), sorting every input partition.
+    Instead: a hash aggregate of the extreme ``order`` value per group (a
+    primitive buffer, combined map-side), an equi-join back on (group,
+    order) — the group table is as small as the number of groups, so AQE
+    broadcasts it when it is — and a tie-break among equal ``order`` values
+    on the already tiny result.
+    """
+    key_exprs = key_exprs or {}
+    d = df.withColumns(key_exprs) if key_exprs else df
+    names = [k for k in keys]
+    agg = F.max(order) if latest else F.min(order)
+    ext = d.groupBy(*names).agg(agg.alias(order))
+    hit = d.join(ext, [*names, order], "inner")
+    rest = [c for c in hit.columns if c not in names]
+    pick = F.max(F.struct(*[F.col(c) for c in rest])) if latest else F.min(F.struct(*[F.col(c) for c in rest]))
+    return hit.groupBy(*names).agg(pick.alias("_r")).select(*names, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
 def latest_per_region(df: DataFrame, order: str = "datetime", key: str = "region") -> DataFrame:
-    """The latest row of each region (W6) as an aggregate with map-side combine."""
-    rest = [c for c in df.columns if c != key]
-    return (df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]))
+    """The latest row of each region (W6): hash aggregate + join back (see ``extreme_rows``)."""
+    return extreme_rows(df, [key], order, latest=True).select(*df.columns)
 
 
 def head_per_group(df: DataFrame, n: int = 2000, groups: int = 3, key: str = "region",
@@ -178,13 +204,13 @@ def live_error(obs: DataFrame, preds: DataFrame, summary: DataFrame) -> DataFram
 def lookup_actual(req: DataFrame, archive: DataFrame) -> DataFrame:
     """(region, date) requests -> first archive row of that date, NULL if none.
 
-    The archive is reduced to one row per (region, date) with ``min_by``
-    before the join, so the join input is the size of the calendar.
+    The archive is reduced to one row per (region, date) before the join
+    (``extreme_rows``), so the join input is the size of the calendar.
     """
-    first = (archive.groupBy("region", F.to_date("datetime").alias("date"))
-             .agg(F.min_by(F.struct("temperature_actual", *PRED_COLS.values()), F.col("datetime")).alias("_f"))
-             .select("region", "date", F.col("_f.temperature_actual").alias("actual"),
-                     *[F.col(f"_f.{c}").alias(c) for c in PRED_COLS.values()]))
+    cols = archive.select("region", "datetime", "temperature_actual", *PRED_COLS.values())
+    first = (extreme_rows(cols, ["region", "date"], "datetime", latest=False,
+                          key_exprs={"date": F.to_date("datetime")})
+             .select("region", "date", F.col("temperature_actual").alias("actual"), *PRED_COLS.values()))
     return req.join(first, ["region", "date"], "left")
 
 

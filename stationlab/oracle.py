@@ -354,3 +354,16 @@ SQL["stream_latest_snapshot"] = """SELECT region, timestamp, temperature_2m FROM
 SQL["stream_upsert"] = SQL["upsert_latest_arrival"]
 SQL["stream_daily_mae"] = SQL["daily_mae"]
 SQL["stream_features"] = SQL["feature_table"]
+
+SQL["single_region"] = _w(HOURLY, "SELECT * FROM hourly WHERE region = 'view'")
+SQL["region_list"] = _w(DAILY, "SELECT DISTINCT region FROM daily")
+SQL["anomaly_total"] = _w(ANOM, "SELECT CAST(count_if(abs(temp_zscore) > 3.0) AS BIGINT) AS n_anomalies FROM anom")
+SQL["anomaly_one_region"] = _w(ANOM, "SELECT CAST(count_if(abs(temp_zscore) > 3.0) AS BIGINT) AS n_anomalies FROM anom WHERE region = 'click'")
+SQL["region_year_counts"] = _w(DAILY, "SELECT region, CAST(year(datetime) AS INTEGER) AS year, count(*) AS n_rows FROM daily GROUP BY 1, 2")
+SQL["actual_range"] = _w(PREDICTIONS, "SELECT min(temperature_actual) AS min_actual, max(temperature_actual) AS max_actual FROM preds")
+SQL["predictions"] = _w(PREDICTIONS, f"""SELECT datetime, region, temperature_actual, temperature_xgb_pred,
+  {fx('temperature_nn_pred')} AS temperature_nn_pred FROM preds""")
+SQL["missing_combos"] = _w(DAILY, """SELECT g.region, g.year
+FROM (SELECT n_name AS region, CAST(y AS INTEGER) AS year FROM nation, range(1995, 2002) t(y)) g
+LEFT JOIN (SELECT region, CAST(year(datetime) AS INTEGER) AS year, count(*) AS n FROM daily GROUP BY 1, 2) c
+  ON g.region = c.region AND g.year = c.year WHERE coalesce(c.n, 0) < 8000""")

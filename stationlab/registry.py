@@ -428,6 +428,48 @@ def q_extent(spark, sf_dir):
     return RP.region_extent(TB.daily_from_orders(spark, sf_dir))
 
 
+@register("single_region")
+def q_single_region(spark, sf_dir):
+    """P13."""
+    return CL.for_region(TB.hourly_from_events(spark, sf_dir), "view")
+
+
+@register("region_list")
+def q_region_list(spark, sf_dir):
+    """T5."""
+    return RP.region_list(TB.daily_from_orders(spark, sf_dir))
+
+
+@register("anomaly_total")
+def q_anomaly_total(spark, sf_dir):
+    """A19 overall."""
+    return ST.anomaly_counts(ST.anomalies(TB.values_from_events(spark, sf_dir)), key=None)
+
+
+@register("anomaly_one_region")
+def q_anomaly_one(spark, sf_dir):
+    """A19 for one region."""
+    return ST.anomaly_counts(CL.for_region(ST.anomalies(TB.values_from_events(spark, sf_dir)), "click"), key=None)
+
+
+@register("region_year_counts")
+def q_region_year_counts(spark, sf_dir):
+    """A4."""
+    return PL.region_year_counts(TB.daily_from_orders(spark, sf_dir))
+
+
+@register("actual_range")
+def q_actual_range(spark, sf_dir):
+    """A17 axes: min / max of the actual value."""
+    return ST.actual_range(TB.predictions_from_events(spark, sf_dir), "temperature_actual")
+
+
+@register("predictions")
+def q_predictions(spark, sf_dir):
+    """Predictions table (S12 content) from the two forecasters."""
+    return present(TB.predictions_from_events(spark, sf_dir), ["temperature_nn_pred"])
+
+
 # ------------------------------------------------------------------ plans and joins
 def _orders_bounds(spark, sf_dir):
     d = TB.daily_from_orders(spark, sf_dir)
@@ -445,6 +487,12 @@ def q_completeness(spark, sf_dir):
     return PL.completeness(TB.daily_from_orders(spark, sf_dir), TB.region_names(spark, sf_dir), 1995, 2001)
 
 
+@register("missing_combos")
+def q_missing_combos(spark, sf_dir):
+    """Only the missing (region, year) combinations."""
+    return PL.missing_combos(TB.daily_from_orders(spark, sf_dir), TB.region_names(spark, sf_dir), 1995, 2001)
+
+
 @register("month_plan")
 def q_month_plan(spark, sf_dir):
     """Month x nation chunks between the first and last order date."""

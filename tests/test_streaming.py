@@ -85,3 +85,20 @@ def test_daily_mae_stream_equals_batch(spark, tmp_out):
     assert g.keys() == w.keys()
     for k in w:
         assert abs(g[k][0] - w[k][0]) < 1e-9 and abs(g[k][1] - w[k][1]) < 1e-9
+
+
+def test_catch_up_is_restart_safe(spark, tmp_out):
+    from stationlab.sources import sinks as SK
+    from stationlab.streaming.catch_up import catch_up
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    land = os.path.join(tmp_out, "land")
+    h.coalesce(1).write.parquet(land)
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    drift = os.path.join(root, "drift")
+    SK.append_drift(spark.createDataFrame([("2024-01-27", 0.1, 0.2)], S.DRIFT), drift, arrival=0)
+    small = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}
+    days = catch_up(spark, land, h.schema, root, "2024-01-30", drift, small, hidden=(8,), mlp_iter=3)
+    assert days == ["2024-01-28", "2024-01-29"]
+    again = catch_up(spark, land, h.schema, root, "2024-01-30", drift, small, hidden=(8,), mlp_iter=3)
+    assert again == []
+    assert sorted(r.date for r in SK.read_drift(spark, drift).collect()) == ["2024-01-27", "2024-01-28", "2024-01-29"]
