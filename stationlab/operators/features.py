@@ -24,10 +24,10 @@ def region_window(key: str = "region", order: str = "datetime", tie: tuple[str,
     return Window.partitionBy(key).orderBy(F.col(order), *[F.col(t) for t in tie])
 
 
-def ffill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime") -> DataFrame:
+def ffill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime",
+          method: str = "auto") -> DataFrame:
     """Forward fill within each region by time."""
-    w = region_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    return H.windowed(df, None, 0, key, order, method, fill=cols, fill_mode="forward")
 
 
 def reverse_running(key: str = "region", order: str = "datetime") -> Window:
@@ -42,18 +42,16 @@ def reverse_running(key: str = "region", order: str = "datetime") -> Window:
             .rowsBetween(Window.unboundedPreceding, 0))
 
 
-def bfill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime") -> DataFrame:
+def bfill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime",
+          method: str = "auto") -> DataFrame:
     """Back fill within each region by time."""
-    w = reverse_running(key, order)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    return H.windowed(df, None, 0, key, order, method, fill=cols, fill_mode="backward")
 
 
-def fill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime") -> DataFrame:
+def fill(df: DataFrame, cols: list[str], key: str = "region", order: str = "datetime",
+         method: str = "auto") -> DataFrame:
     """Forward fill then back fill (the order the pipeline applies them)."""
-    pre = region_window(key, order).rowsBetween(Window.unboundedPreceding, 0)
-    post = reverse_running(key, order)
-    return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(pre),
-                                         F.last(c, ignorenulls=True).over(post)) for c in cols})
+    return H.windowed(df, None, 0, key, order, method, fill=cols, fill_mode="both")
 
 
 def lag_columns(w: Window, cols: list[str], lags: list[int]) -> dict[str, Column]:
@@ -74,14 +72,16 @@ def rolling_columns(w: Window, spec=S.ROLLING) -> dict[str, Column]:
 
 
 def lags(df: DataFrame, cols: list[str], ns: list[int], key: str = "region",
-         order: str = "datetime") -> DataFrame:
-    return df.withColumns(lag_columns(region_window(key, order), cols, ns))
+         order: str = "datetime", method: str = "auto") -> DataFrame:
+    """W1 in the plain or bucketed form (``halo.windowed``)."""
+    return H.windowed(df, lambda w, _: lag_columns(w, cols, ns), max(ns), key, order, method)
 
 
-def rolling(df: DataFrame, col: str, n: int, agg: str = "mean", name: str | None = None,
-            key: str = "region", order: str = "datetime") -> DataFrame:
-    name = name or f"{col}_roll{n}"
-    return df.withColumns(rolling_columns(region_window(key, order), [(name, col, n, agg)]))
+def rolling(df: DataFrame, spec=S.ROLLING, key: str = "region", order: str = "datetime",
+            method: str = "auto") -> DataFrame:
+    """W2, W3 in the plain or bucketed form; ``spec`` rows are (name, column, n, mean|sum)."""
+    reach = max(n for _, _, n, _ in spec) - 1
+    return H.windowed(df, lambda w, _: rolling_columns(w, spec), reach, key, order, method)
 
 
 def _finish(df: DataFrame, drop_any: bool) -> DataFrame:
@@ -109,23 +109,9 @@ def feature_table(hourly: DataFrame, method: str = "auto", unit: str = "day",
     """
     measures = measures or [c for c in hourly.columns if c not in ("datetime", "region")]
     max_reach = max(max(S.LAGS), max(n for _, _, n, _ in S.ROLLING))
-    buckets = None
-    if method == "auto":
-        method = H.choose_method(hourly, "region", max_rows_per_task)
-    if method == "window":
-        w = region_window()
-        df = fill(hourly, measures)
-        df = df.withColumns({**lag_columns(w, S.LAG_COLUMNS, S.LAGS), **rolling_columns(w)})
-        return _finish(df, drop_any)
-    if method != "halo":
-        raise ValueError(f"unknown method {method!r}")
-    ext = H.index_rows(hourly, "region", "datetime", unit, fill=measures, halo=max_reach,
-                       buckets=buckets)
-    w = H.bucket_window("region")
-    df = (ext.withColumns({**lag_columns(w, S.LAG_COLUMNS, S.LAGS), **rolling_columns(w)})
-          .where(~F.col(H.HALO)))
-    df = H.drop_helpers(df).select(*hourly.columns, *[c for c in S.feature_output_columns()
-                                                      if c not in S.CALENDAR_COLUMNS])
+    df = H.windowed(hourly, lambda w, _: {**lag_columns(w, S.LAG_COLUMNS, S.LAGS), **rolling_columns(w)},
+                    max_reach, "region", "datetime", method, unit, fill=measures,
+                    max_rows_per_task=max_rows_per_task)
     return _finish(df, drop_any)
 
 

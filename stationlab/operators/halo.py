@@ -105,7 +105,7 @@ def choose_method(df: DataFrame, key, max_rows_per_task: int) -> str:
 
 def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str, ...] = (),
                fill: list[str] | None = None, halo: int = 0,
-               buckets: DataFrame | None = None) -> DataFrame:
+               buckets: DataFrame | None = None, fill_mode: str = "both") -> DataFrame:
     """Number rows within their key without a per-key task, fill, add halo copies.
 
     Output: the input columns plus ``_bkt`` (time bucket), ``_idx`` (1-based
@@ -142,8 +142,7 @@ def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str
                        **{f"_bf_{c}": F.last(c, ignorenulls=True).over(rev) for c in fill}})
     d = (d.join(side, [*k, BKT])
          .withColumn(IDX, F.col("_start") + F.col(RN))
-         .withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_in_{c}"), F.col(f"_bf_{c}"),
-                                     F.col(f"_out_{c}")) for c in fill})
+         .withColumns({c: F.coalesce(*_fill_parts(c, fill_mode)) for c in fill})
          .drop(*[f"_{p}_{c}" for p in ("ff", "bf", "in", "out") for c in fill]))
     if not halo:
         return d.withColumn(HALO, F.lit(False))
@@ -156,6 +155,47 @@ def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str
             .drop("_t", "_targets"))
 
 
+def _fill_parts(c: str, mode: str):
+    fwd = [F.col(f"_ff_{c}"), F.col(f"_in_{c}")]
+    bwd = [F.col(f"_bf_{c}"), F.col(f"_out_{c}")]
+    return {"forward": fwd, "backward": bwd, "both": fwd + bwd}[mode]
+
+
+def windowed(df: DataFrame, columns, reach: int, key="region", order: str = "datetime",
+             method: str = "auto", unit: str = "day", fill: list[str] | None = None,
+             fill_mode: str = "both", max_rows_per_task: int = 2_000_000) -> DataFrame:
+    """Add row-based window columns per key, in the plain or the bucketed form.
+
+    ``columns(w, pos)`` returns ``{name: Column}`` built on the window spec
+    ``w`` (ordered by time within the key); ``pos`` is the row's 1-based
+    position in its key.  ``reach`` is how many preceding rows any of the
+    columns looks at.  ``fill`` columns are filled first (``fill_mode``
+    forward / backward / both).  ``method``: "window", "halo" or "auto"
+    (plain while the largest key fits ``max_rows_per_task`` rows).
+    """
+    k = _keys(key)
+    fill = list(fill or [])
+    if method == "auto":
+        method = choose_method(df, key, max_rows_per_task)
+    if method == "window":
+        w = Window.partitionBy(*k).orderBy(order)
+        d = df
+        if fill:
+            pre = w.rowsBetween(Window.unboundedPreceding, 0)
+            post = Window.partitionBy(*k).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+            parts = {"forward": lambda c: [F.last(c, True).over(pre)],
+                     "backward": lambda c: [F.last(c, True).over(post)],
+                     "both": lambda c: [F.last(c, True).over(pre), F.last(c, True).over(post)]}[fill_mode]
+            d = d.withColumns({c: F.coalesce(*parts(c)) for c in fill})
+        return d.withColumns(columns(w, F.row_number().over(w))) if columns else d
+    if method != "halo":
+        raise ValueError(f"unknown method {method!r}")
+    ext = index_rows(df, key, order, unit, fill=fill, halo=reach, fill_mode=fill_mode)
+    w = bucket_window(key)
+    out = ext.withColumns(columns(w, F.col(IDX))) if columns else ext
+    return drop_helpers(out.where(~F.col(HALO)))
+
+
 def bucket_window(key) -> Window:
     return Window.partitionBy(*_keys(key), BKT).orderBy(IDX)
 

@@ -24,23 +24,16 @@ def naive_predictions(df: DataFrame, method: str = "auto", unit: str = "day",
     """Predictions frame from two deterministic forecasters over ``value``:
     "xgb" = previous row, "nn" = mean of the previous ``mean_rows`` rows.
     Rows without a previous row are dropped.  ``method`` as in
-    ``features.feature_table``."""
-    def cols(w):
+    ``halo.windowed``."""
+    def cols(w, _):
         return {
             "temperature_actual": F.col(value),
             "temperature_xgb_pred": F.lag(value, 1).over(w),
             "temperature_nn_pred": F.avg(value).over(w.rowsBetween(-mean_rows, -1)),
         }
     keep = ["datetime", "region", "temperature_actual", "temperature_xgb_pred", "temperature_nn_pred"]
-    buckets = None
-    if method == "auto":
-        method = H.choose_method(df, "region", max_rows_per_task)
-    if method == "window":
-        out = df.withColumns(cols(region_window()))
-    else:
-        ext = H.index_rows(df, "region", "datetime", unit, halo=mean_rows, buckets=buckets)
-        out = ext.withColumns(cols(H.bucket_window("region")))
-        out = out.where(~F.col(H.HALO))
+    out = H.windowed(df, cols, mean_rows, "region", "datetime", method, unit,
+                     max_rows_per_task=max_rows_per_task)
     return out.select(*keep).where(F.col("temperature_xgb_pred").isNotNull())
 
 
@@ -105,16 +98,24 @@ def latest_per_region(df: DataFrame, order: str = "datetime", key: str = "region
 
 
 def head_per_group(df: DataFrame, n: int = 2000, groups: int = 3, key: str = "region",
-                   order: str = "datetime") -> DataFrame:
+                   order: str = "datetime", unit: str = "day") -> DataFrame:
     """First ``n`` rows of each of the first ``groups`` regions.
 
-    ``row_number() <= n`` lets Spark insert a partial group limit before the
-    shuffle, so at most ``n`` rows per region per task move.
+    Rows are counted per (region, day) first (a small aggregate); only the
+    days that can hold one of a region's first ``n`` rows are kept (a semi
+    join on that small table), so the final numbering window sorts at most
+    ``n`` rows plus one day per region, whatever the history length.
     """
     first = df.select(key).distinct().orderBy(key).limit(groups)
+    d = df.join(first, key, "left_semi").withColumn("_bkt", F.date_trunc(unit, F.col(order)))
+    wk = Window.partitionBy(key).orderBy("_bkt")
+    need = (d.groupBy(key, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_before", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)))
+            .where(F.col("_before") < n).select(key, "_bkt"))
     w = Window.partitionBy(key).orderBy(order)
-    return (df.join(first, key, "left_semi").withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= n))
+    return (d.join(need, [key, "_bkt"], "left_semi").drop("_bkt")
+            .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n))
 
 
 def preview(df: DataFrame, n: int = 50, order: tuple[str, ...] = ("region", "datetime")) -> DataFrame:

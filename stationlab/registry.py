@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from . import schema as S
 from .functions.numeric import fixed6
 from .operators import features as FE
+from .operators import halo as H
 from .sources import testbed as TB
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,8 +110,7 @@ def q_lags(spark, sf_dir):
 @register("rolling")
 def q_rolling(spark, sf_dir):
     """W2, W3 on the unfilled frame (NULLs skipped, all-NULL frame -> NULL)."""
-    h = TB.hourly_from_events(spark, sf_dir)
-    return present(h.withColumns(FE.rolling_columns(FE.region_window())), ROLL_NAMES)
+    return present(FE.rolling(TB.hourly_from_events(spark, sf_dir)), ROLL_NAMES)
 
 
 @register("latest_per_region")
@@ -524,7 +524,7 @@ def q_attach(spark, sf_dir):
     """J3 + P22: requests -> latest row of their region, time injected; unknown regions drop."""
     req = (TB.request_rows(spark, sf_dir)
            .withColumn("region", F.coalesce("region", F.lit(S.DEFAULT_REGION)))
-           .withColumn("target_datetime", F.to_timestamp("date").cast("timestamp_ntz")))
+           .withColumn("target_datetime", F.col("date").try_cast("timestamp_ntz")))
     j = RP.attach_latest(req, TB.hourly_from_events(spark, sf_dir))
     return RP.inject_datetime(j).select("event_id", "region", "date", "latest_datetime", "datetime",
                                         "hour", "day_of_year", "month", "temperature", "pressure")
@@ -553,10 +553,11 @@ def grid_results(spark, sf_dir):
     """Config grid: rolling means of the previous k rows, scored on the same
     hold-out (rows with 24 predecessors)."""
     v = TB.values_from_events(spark, sf_dir)
-    w = FE.region_window()
-    preds = {f"mean{k}": F.avg("temperature").over(w.rowsBetween(-k, -1)) for k in GRID}
-    scored = v.withColumns({**preds, "_n": F.row_number().over(w)}).where(F.col("_n") > 24)
-    m = ST.regression_metrics(scored, "temperature", {k: k for k in preds})
+
+    def cols(w, pos):
+        return {**{f"mean{k}": F.avg("temperature").over(w.rowsBetween(-k, -1)) for k in GRID}, "_n": pos}
+    scored = H.windowed(v, cols, max(GRID)).where(F.col("_n") > 24)
+    m = ST.regression_metrics(scored, "temperature", {f"mean{k}": f"mean{k}" for k in GRID})
     return m.withColumnRenamed("model", "name")
 
 
@@ -674,7 +675,7 @@ def q_ml_holdout(spark, sf_dir):
 def q_season(spark, sf_dir):
     """4-class season forest on a 30 % sample of the multi-year frame."""
     d = calendar_fields(TB.daily_from_orders(spark, sf_dir))
-    d = d.withColumns(FE.lag_columns(FE.region_window(), ["temperature"], [1, 6, 24])).na.drop()
+    d = FE.lags(d, ["temperature"], [1, 6, 24]).na.drop()
     cols = ["temperature", "temperature_lag1", "temperature_lag6", "temperature_lag24", "day_of_year", "hour"]
     train, test = TR.split_by_year(d, ORDERS_TRAIN_END, ORDERS_TEST_START)
     m = ES.fit_season(ES.assemble(ES.sample_frac(train, 0.3), cols))

@@ -68,3 +68,21 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan, plan
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan, plan
+
+
+def test_windowed_operators_halo_equals_window(spark):
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    cols = ["temperature", "humidity"]
+    for fn in (lambda m: FE.ffill(h, cols, method=m), lambda m: FE.bfill(h, cols, method=m),
+               lambda m: FE.fill(h, cols, method=m), lambda m: FE.lags(h, ["temperature"], [1, 6, 24], method=m),
+               lambda m: FE.rolling(h, method=m)):
+        assert _sorted(fn("window")) == _sorted(fn("halo"))
+
+
+def test_head_per_group_prunes_but_keeps_first_rows(spark):
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    got = RP.head_per_group(h, 7, 2)
+    regions = sorted(r.region for r in h.select("region").distinct().collect())[:2]
+    for r in regions:
+        want = [x.datetime for x in h.where(F.col("region") == r).orderBy("datetime").limit(7).collect()]
+        assert [x.datetime for x in got.where(F.col("region") == r).orderBy("rn").collect()] == want
