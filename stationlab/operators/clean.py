@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -99,14 +99,14 @@ def null_pct(df: DataFrame, threshold: float = 5.0, cols: list[str] | None = Non
 def dedupe_latest(df: DataFrame, key: list[str], seq: list[str]) -> DataFrame:
     """One row per key: the one with the highest arrival sequence.
 
-    ``groupBy(key).agg(max_by(struct(row), struct(seq)))`` is an aggregate,
-    so it combines map-side: a key repeated a billion times is reduced in each
-    task before the shuffle, instead of being sorted whole in one task as a
-    ``row_number`` window would be.
+    ``row_number() = 1`` over (key, seq desc): Spark plans a *partial*
+    ``WindowGroupLimit`` before the shuffle, so each task keeps one row per
+    key and a key repeated a billion times moves at most one row per task.
+    Measured faster than ``max_by(struct(row), struct(seq))``, which is a
+    sort-based aggregate with the same map-side reduction.
     """
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in seq]))
-    return df.groupBy(*key).agg(best.alias("_r")).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in seq])
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def upsert(master: DataFrame, new: DataFrame, key: list[str] = ("datetime", "region"),

@@ -15,10 +15,13 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     One aggregate pass computes all pairs; pairs with a NULL on either side
     are skipped pairwise, as pandas does.
     """
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    body = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return agg.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]     # corr is symmetric
+    agg = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in upper])
+    cell = {}
+    for a, b in upper:
+        cell[(a, b)] = cell[(b, a)] = f"`{a}__{b}`"
+    body = ", ".join(f"'{a}', '{b}', {cell[(a, b)]}" for a in cols for b in cols)
+    return agg.selectExpr(f"stack({len(cols) ** 2}, {body}) AS (col_a, col_b, corr)")
 
 
 def region_stats(df: DataFrame, col: str = "temperature", key: str = "region") -> DataFrame:

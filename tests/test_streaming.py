@@ -102,3 +102,16 @@ def test_catch_up_is_restart_safe(spark, tmp_out):
     again = catch_up(spark, land, h.schema, root, "2024-01-30", drift, small, hidden=(8,), mlp_iter=3)
     assert again == []
     assert sorted(r.date for r in SK.read_drift(spark, drift).collect()) == ["2024-01-27", "2024-01-28", "2024-01-29"]
+
+
+def test_large_batch_takes_the_batch_feature_path(spark, tmp_out):
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    land = os.path.join(tmp_out, "land_big")
+    h.coalesce(1).write.parquet(land)
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    rows = spark.readStream.schema(h.schema).parquet(land)
+    SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_ckpt",
+                    max_rows_per_task=50).awaitTermination()        # forces the bucketed batch path
+    want = FE.feature_table(h, method="window")
+    got = SJ.read_features(spark, f"{root}/features").select(want.columns)
+    assert _sorted(got) == _sorted(want)
