@@ -95,7 +95,8 @@ MAX_ROWS_PER_KEY_TASK = 2_000_000
 
 def feature_table(hourly: DataFrame, method: str = "auto", unit: str = "day",
                   measures: list[str] | None = None, drop_any: bool = True,
-                  max_rows_per_task: int = MAX_ROWS_PER_KEY_TASK) -> DataFrame:
+                  max_rows_per_task: int = MAX_ROWS_PER_KEY_TASK,
+                  target_rows: int | None = None) -> DataFrame:
     """Canonical hourly frame -> ML feature table.
 
     Fills every measure within its region (forward, then back), adds the 15
@@ -111,7 +112,7 @@ def feature_table(hourly: DataFrame, method: str = "auto", unit: str = "day",
     max_reach = max(max(S.LAGS), max(n for _, _, n, _ in S.ROLLING))
     df = H.windowed(hourly, lambda w, _: {**lag_columns(w, S.LAG_COLUMNS, S.LAGS), **rolling_columns(w)},
                     max_reach, "region", "datetime", method, unit, fill=measures,
-                    max_rows_per_task=max_rows_per_task)
+                    max_rows_per_task=max_rows_per_task, target_rows=target_rows)
     return _finish(df, drop_any)
 
 

@@ -77,6 +77,63 @@ def _halo_targets(buckets: DataFrame, k: list[str], halo: int) -> DataFrame:
                  .alias("_targets")))
 
 
+REFINE = ("hour", "minute", "second")
+
+
+def assign_buckets(df: DataFrame, key, order: str, target_rows: int, base: str = "day",
+                   refine: tuple[str, ...] = REFINE) -> DataFrame:
+    """Add ``_bkt``: contiguous, time-ordered buckets of under ``2 * target_rows`` rows.
+
+    Level by level (``base`` unit, then each ``refine`` unit):
+
+    * rows per (key, unit) come from a hash aggregate (a small table);
+    * consecutive light units are packed until they reach ``target_rows``
+      (``floor(rows before / target)`` within the parent, on that small
+      table), so sparse history does not make tiny buckets (each bucket
+      carries up to ``halo`` copied rows);
+    * a unit with more than ``target_rows`` rows (a hot day: one station
+      holding a third of the data) goes to the next, finer level, which
+      aggregates only the rows of hot units and is skipped when none is hot.
+
+    A bucket's key is the timestamp its range starts at; ranges are disjoint,
+    so ordering by ``_bkt`` is ordering by time.
+    """
+    from ..session import materialize
+    k = _keys(key)
+    levels = (base, *refine)
+    d = df.withColumn(BKT, F.lit(None).cast("timestamp_ntz")).withColumn("_open", F.lit(True))
+    parent = None
+    for i, unit in enumerate(levels):
+        last = i == len(levels) - 1
+        d = d.withColumn("_u", F.date_trunc(unit, F.col(order)))
+        grp = [*k] + (["_p"] if parent else [])
+        src = d.where("_open")
+        if parent:
+            src = src.withColumn("_p", F.date_trunc(parent, F.col(order)))
+        wp = Window.partitionBy(*grp).orderBy("_u")
+        units = (src.groupBy(*grp, "_u").agg(F.count(F.lit(1)).alias("_c"))
+                 .withColumn("_before", F.coalesce(F.sum("_c").over(wp.rowsBetween(Window.unboundedPreceding, -1)),
+                                                   F.lit(0)))
+                 .withColumn("_pack", F.floor(F.col("_before") / F.lit(target_rows)))
+                 .withColumn("_hot", F.lit(False) if last else F.col("_c") > target_rows))
+        packs = units.where(~F.col("_hot")).groupBy(*grp, "_pack").agg(F.min("_u").alias("_start"))
+        umap = materialize(units.join(packs, [*grp, "_pack"], "left").select(*k, "_u", "_hot", "_start"))
+        d = (d.join(umap, [*k, "_u"], "left")
+             .withColumn(BKT, F.when(F.col("_open") & ~F.col("_hot"), F.col("_start")).otherwise(F.col(BKT)))
+             .withColumn("_open", F.col("_open") & F.coalesce(F.col("_hot"), F.lit(False)))
+             .drop("_hot", "_start"))
+        if umap.where("_hot").isEmpty():
+            break
+        parent = unit
+    return d.drop("_u", "_open")
+
+
+def _with_buckets(df: DataFrame, key, order: str, unit: str, target_rows: int | None) -> DataFrame:
+    if target_rows is None:
+        return df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
+    return assign_buckets(df, key, order, target_rows, base=unit)
+
+
 def bucket_table(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str, ...] = (),
                  fill: list[str] | None = None) -> DataFrame:
     """The (key, bucket) table ``index_rows`` needs, computed once.
@@ -88,7 +145,7 @@ def bucket_table(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[s
     from ..session import materialize
     k = _keys(key)
     ordering = [F.col(order), *[F.col(t) for t in tie]]
-    d = df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
+    d = df if BKT in df.columns else df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
     return materialize(_bucket_table(d, k, ordering, list(fill or [])))
 
 
@@ -105,7 +162,8 @@ def choose_method(df: DataFrame, key, max_rows_per_task: int) -> str:
 
 def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str, ...] = (),
                fill: list[str] | None = None, halo: int = 0,
-               buckets: DataFrame | None = None, fill_mode: str = "both") -> DataFrame:
+               buckets: DataFrame | None = None, fill_mode: str = "both",
+               target_rows: int | None = None) -> DataFrame:
     """Number rows within their key without a per-key task, fill, add halo copies.
 
     Output: the input columns plus ``_bkt`` (time bucket), ``_idx`` (1-based
@@ -118,15 +176,18 @@ def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str
     P15): in-bucket values ride on the numbering window, values crossing
     bucket borders ride on the bucket aggregate.
 
+    Buckets: fixed ``unit`` ranges, or with ``target_rows`` the adaptive
+    buckets of ``assign_buckets`` (packed light days, split hot ones).
+
     Shuffles: the input by (key, bucket) once; the small bucket table; the
     final window shuffles rows (with their copies) by (key, bucket) again.
     """
     k = _keys(key)
     fill = list(fill or [])
     ordering = [F.col(order), *[F.col(t) for t in tie]]
-    d = df.withColumn(BKT, F.date_trunc(unit, F.col(order)))
+    d = _with_buckets(df, key, order, unit, target_rows)
     if buckets is None:
-        buckets = bucket_table(df, key, order, unit, tie, fill)
+        buckets = bucket_table(d, key, order, unit, tie, fill)
     side = buckets.select(*k, BKT, "_start", "_end", *[f"_in_{c}" for c in fill],
                           *[f"_out_{c}" for c in fill])
     if halo:
@@ -163,7 +224,8 @@ def _fill_parts(c: str, mode: str):
 
 def windowed(df: DataFrame, columns, reach: int, key="region", order: str = "datetime",
              method: str = "auto", unit: str = "day", fill: list[str] | None = None,
-             fill_mode: str = "both", max_rows_per_task: int = 2_000_000) -> DataFrame:
+             fill_mode: str = "both", max_rows_per_task: int = 2_000_000,
+             target_rows: int | None = None) -> DataFrame:
     """Add row-based window columns per key, in the plain or the bucketed form.
 
     ``columns(w, pos)`` returns ``{name: Column}`` built on the window spec
@@ -171,12 +233,15 @@ def windowed(df: DataFrame, columns, reach: int, key="region", order: str = "dat
     position in its key.  ``reach`` is how many preceding rows any of the
     columns looks at.  ``fill`` columns are filled first (``fill_mode``
     forward / backward / both).  ``method``: "window", "halo" or "auto"
-    (plain while the largest key fits ``max_rows_per_task`` rows).
+    (plain while the largest key fits ``max_rows_per_task`` rows; beyond it
+    adaptive buckets of a quarter of that, see ``assign_buckets``).
     """
     k = _keys(key)
     fill = list(fill or [])
     if method == "auto":
         method = choose_method(df, key, max_rows_per_task)
+        if method == "halo" and target_rows is None:
+            target_rows = max(max_rows_per_task // 4, 64 * max(reach, 1))
     if method == "window":
         w = Window.partitionBy(*k).orderBy(order)
         d = df
@@ -190,7 +255,8 @@ def windowed(df: DataFrame, columns, reach: int, key="region", order: str = "dat
         return d.withColumns(columns(w, F.row_number().over(w))) if columns else d
     if method != "halo":
         raise ValueError(f"unknown method {method!r}")
-    ext = index_rows(df, key, order, unit, fill=fill, halo=reach, fill_mode=fill_mode)
+    ext = index_rows(df, key, order, unit, fill=fill, halo=reach, fill_mode=fill_mode,
+                     target_rows=target_rows)
     w = bucket_window(key)
     out = ext.withColumns(columns(w, F.col(IDX))) if columns else ext
     return drop_helpers(out.where(~F.col(HALO)))

@@ -20,7 +20,7 @@ PRED_COLS = {"xgb": "temperature_xgb_pred", "nn": "temperature_nn_pred"}
 # --------------------------------------------------------------------------- predictions
 def naive_predictions(df: DataFrame, method: str = "auto", unit: str = "day",
                       value: str = "temperature", mean_rows: int = 6,
-                      max_rows_per_task: int = 2_000_000) -> DataFrame:
+                      max_rows_per_task: int = 2_000_000, target_rows: int | None = None) -> DataFrame:
     """Predictions frame from two deterministic forecasters over ``value``:
     "xgb" = previous row, "nn" = mean of the previous ``mean_rows`` rows.
     Rows without a previous row are dropped.  ``method`` as in
@@ -33,7 +33,7 @@ def naive_predictions(df: DataFrame, method: str = "auto", unit: str = "day",
         }
     keep = ["datetime", "region", "temperature_actual", "temperature_xgb_pred", "temperature_nn_pred"]
     out = H.windowed(df, cols, mean_rows, "region", "datetime", method, unit,
-                     max_rows_per_task=max_rows_per_task)
+                     max_rows_per_task=max_rows_per_task, target_rows=target_rows)
     return out.select(*keep).where(F.col("temperature_xgb_pred").isNotNull())
 
 

@@ -56,8 +56,10 @@ def q_feature_table(spark, sf_dir):
 
 @register("feature_table_halo")
 def q_feature_table_halo(spark, sf_dir):
-    """Same rows, forced (region, day)-bucketed halo form."""
-    return present(FE.feature_table(TB.hourly_from_events(spark, sf_dir), method="halo"), ROLL_NAMES)
+    """Same rows, forced bucketed form; a 50-row bucket target so that on test-sized
+    data light days are packed, dense days split into hours, and halos span buckets."""
+    return present(FE.feature_table(TB.hourly_from_events(spark, sf_dir), method="halo", target_rows=50),
+                   ROLL_NAMES)
 
 
 @register("feature_table_window")
@@ -385,7 +387,9 @@ def q_daily_mae(spark, sf_dir):
 @register("daily_mae_halo")
 def q_daily_mae_halo(spark, sf_dir):
     """A20 with the predictions built in the forced halo form."""
-    return present(ST.daily_mae(TB.predictions_from_events(spark, sf_dir, method="halo")), ["xgb_mae", "nn_mae"])
+    v = TB.values_from_events(spark, sf_dir)
+    preds = RP.naive_predictions(v, method="halo", target_rows=50)
+    return present(ST.daily_mae(preds), ["xgb_mae", "nn_mae"])
 
 
 @register("drift_summary")

@@ -86,3 +86,38 @@ def test_head_per_group_prunes_but_keeps_first_rows(spark):
     for r in regions:
         want = [x.datetime for x in h.where(F.col("region") == r).orderBy("datetime").limit(7).collect()]
         assert [x.datetime for x in got.where(F.col("region") == r).orderBy("rn").collect()] == want
+
+
+def test_adaptive_buckets_pack_and_split(spark):
+    from stationlab.operators import halo as H
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    want = _sorted(FE.feature_table(h, method="window"))
+    for target in (3, 25, 400):          # split hot days (3), mixed (25), pack many days (400)
+        got = _sorted(FE.feature_table(h, method="halo", target_rows=target))
+        assert got == want, target
+    b = H.assign_buckets(h, "region", "datetime", 3)
+    sizes = [r["count"] for r in b.groupBy("region", "_bkt").count().collect()]
+    assert max(sizes) < 2 * 3             # hot units split; a pack stays under twice the target
+    # every bucket is one contiguous time range: max(bucket k) < min(bucket k+1)
+    from pyspark.sql import Window
+    r = (b.groupBy("region", "_bkt").agg(F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
+         .withColumn("next_lo", F.lead("lo").over(Window.partitionBy("region").orderBy("_bkt")))
+         .where(F.col("next_lo") <= F.col("hi")).count())
+    assert r == 0
+
+
+def test_hot_day_is_split(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(seconds=30 * i), "hot", float(i), 0.0, 1.0, 2.0, 3.0) for i in range(600)] + \
+           [(t0 + dt.timedelta(days=d), "cold", float(d), 0.0, 1.0, 2.0, 3.0) for d in range(40)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, region string, temperature double, "
+                                     "precipitation double, wind_speed double, humidity double, pressure double")
+    from stationlab.operators import halo as H
+    b = H.assign_buckets(df, "region", "datetime", 50)
+    hot_sizes = [r["count"] for r in b.where("region = 'hot'").groupBy("_bkt").count().collect()]
+    assert len(hot_sizes) > 1 and max(hot_sizes) < 100           # one hot day split (packs < 2x target)
+    cold = b.where("region = 'cold'").select("_bkt").distinct().count()
+    assert cold == 1                                              # 40 sparse days packed together
+    assert _sorted(FE.feature_table(df, method="halo", target_rows=50)) == \
+        _sorted(FE.feature_table(df, method="window"))
