@@ -16,7 +16,6 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.numeric import round_half_even
 from ..operators import report as RP
@@ -44,7 +43,7 @@ def day_fold(df: DataFrame, day: str, ts: str = "datetime"):
 def fit_models(train: DataFrame, feature_cols: list[str], gbt_params: dict | None = None,
                hidden=(128, 64, 32), mlp_iter: int = 200, mlp_lr: float = 1e-3, forest: bool = True):
     """Fit scaler + network, boosted trees and (optionally) the forest on ``train``."""
-    tr = ES.assemble(train, feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = ES.training_frame(ES.assemble(train, feature_cols))
     sc = ES.scaler(tr)
     models = {"scaler": sc,
               "xgb": ES.fit_gbt(tr, LABEL, gbt_params),
@@ -86,7 +85,9 @@ def tune(train: DataFrame, feature_cols: list[str], n_candidates: int = 5, folds
     cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps, numFolds=folds, parallelism=parallelism,
                         evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae"),
                         seed=seed)
-    model = cv.fit(ES.assemble(train, feature_cols))
+    tr = ES.training_frame(ES.assemble(train, feature_cols))
+    model = cv.fit(tr)
+    tr.unpersist()
     best = maps[min(range(len(maps)), key=lambda i: model.avgMetrics[i])]
     return {"n_estimators": best[gbt.maxIter], "max_depth": best[gbt.maxDepth],
             "learning_rate": best[gbt.stepSize], "cv_mae": float(min(model.avgMetrics))}
@@ -100,7 +101,7 @@ def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: l
     A config that fails is skipped.  Tree configs: ``{"name", "params"}``;
     network configs: ``{"name", "hidden", "alpha", "iter"}``.
     """
-    tr = ES.assemble(train, feature_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = ES.training_frame(ES.assemble(train, feature_cols))
     te = ES.assemble(test, feature_cols)
     sc = ES.scaler(tr)
     rows = []

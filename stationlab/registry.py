@@ -682,7 +682,7 @@ def q_season(spark, sf_dir):
     d = FE.lags(d, ["temperature"], [1, 6, 24]).na.drop()
     cols = ["temperature", "temperature_lag1", "temperature_lag6", "temperature_lag24", "day_of_year", "hour"]
     train, test = TR.split_by_year(d, ORDERS_TRAIN_END, ORDERS_TEST_START)
-    m = ES.fit_season(ES.assemble(ES.sample_frac(train, 0.3), cols))
+    m = ES.fit_season(ES.training_frame(ES.assemble(ES.sample_frac(train, 0.3), cols)))
     p = m.transform(ES.assemble(test, cols))
     return ST.accuracy(p.withColumn("season_pred", F.col("season_pred").cast("int")), "season_class", "season_pred")
 
@@ -691,7 +691,7 @@ def q_season(spark, sf_dir):
 def q_importances(spark, sf_dir):
     """Top-15 feature importances of the boosted trees."""
     train, _, cols = _holdout(spark, sf_dir)
-    m = ES.fit_gbt(ES.assemble(train, cols), "temperature", SMALL_GBT)
+    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
     return ES.top_importance(spark, m, cols, 15)
 
 
@@ -738,5 +738,5 @@ def q_grid(spark, sf_dir):
 def q_attribution(spark, sf_dir):
     """Sampled-Shapley mean |contribution| per feature of the boosted trees."""
     train, test, cols = _holdout(spark, sf_dir)
-    m = ES.fit_gbt(ES.assemble(train, cols), "temperature", SMALL_GBT)
+    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
     return TR.attribution(m, test, cols, n=50, permutations=4)
