@@ -115,3 +115,25 @@ def test_large_batch_takes_the_batch_feature_path(spark, tmp_out):
     want = FE.feature_table(h, method="window")
     got = SJ.read_features(spark, f"{root}/features").select(want.columns)
     assert _sorted(got) == _sorted(want)
+
+
+def test_first_value_arriving_late_refreshes_back_fill(spark, tmp_out):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    sch = "datetime timestamp_ntz, region string, temperature double, precipitation double, " \
+          "wind_speed double, humidity double, pressure double"
+    # temperature missing for hours 0-99; a late value at hour 60 becomes the first one, which changes
+    # the back fill of hours 24-35, rows older than the 24-row context before hour 60
+    early = [(t0 + dt.timedelta(hours=i), "A", None if i < 100 else float(i), 1.0, 1.0, 1.0, 1.0)
+             for i in range(130)]
+    late = [(t0 + dt.timedelta(hours=60), "A", 99.0, 1.0, 1.0, 1.0, 1.0)]
+    land = os.path.join(tmp_out, "land_first")
+    spark.createDataFrame(early, sch).coalesce(1).write.parquet(os.path.join(land, "f1"))
+    spark.createDataFrame(late, sch).coalesce(1).write.parquet(os.path.join(land, "f2"))
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    rows = spark.readStream.schema(sch).option("maxFilesPerTrigger", 1).parquet(os.path.join(land, "f*"))
+    SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_ckpt").awaitTermination()
+    final = CL.upsert(spark.createDataFrame(early, sch), spark.createDataFrame(late, sch))
+    want = FE.feature_table(final, method="window")
+    got = SJ.read_features(spark, f"{root}/features").select(want.columns)
+    assert _sorted(got) == _sorted(want)
