@@ -40,9 +40,16 @@ def pending_days(spark: SparkSession, last: str, today: str) -> list[str]:
 
 def catch_up(spark: SparkSession, landing: str, schema: T.StructType, root: str, today: str,
              drift_path: str, gbt_params: dict | None = None, hidden=(150,), mlp_iter: int = 30,
-             every: int = 1, fmt: str = "parquet", default_last: str = DEFAULT_LAST) -> list[str]:
-    """Run one catch-up; returns the days evaluated."""
+             every: int = 1, fmt: str = "parquet", default_last: str = DEFAULT_LAST,
+             as_of: str | None = None) -> list[str]:
+    """Run one catch-up; returns the days evaluated.
+
+    ``as_of``: rows after it (forecast hours a provider returns with the
+    observations) are not stored (D5).
+    """
     rows = spark.readStream.schema(schema).format(fmt).load(landing)
+    if as_of is not None:
+        rows = rows.where(F.col("datetime") <= F.lit(as_of).cast("timestamp_ntz"))
     SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_checkpoint").awaitTermination()
     days = pending_days(spark, last_processed(spark, drift_path, default_last), today)
     if not days:

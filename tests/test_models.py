@@ -91,3 +91,21 @@ def test_attribution_finds_the_driving_feature(spark):
                                                                   "learning_rate": 0.3})
     out = TR.attribution(m, df, ["a", "b"], n=40, permutations=4).orderBy(F.desc("mean_abs_shap")).collect()
     assert out[0].feature == "a"
+
+
+def test_batch_run_writes_every_stage_and_skips_on_rerun(spark, tmp_out):
+    from stationlab.plans.batch import run_batch
+    master = TB.hourly_from_events(spark, SF_SMALL)
+    out = os.path.join(tmp_out, "batch")
+    res = run_batch(spark, master, out, split_at="2024-01-25",
+                    gbt_params={"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3},
+                    hidden=(8,), mlp_iter=3, shap_rows=20)
+    assert res["metrics"].count() == 3
+    assert res["predictions"].count() > 0
+    assert 0.0 <= res["season_accuracy"].first().accuracy <= 1.0
+    for sub in ("null_counts", "corr", "features", "metrics", "predictions", "anomaly_counts", "summary", "kpis",
+                "webdata/kpis"):
+        assert os.path.isdir(os.path.join(out, sub)), sub
+    mtime = os.path.getmtime(os.path.join(out, "null_counts"))
+    run_batch(spark, master, out, split_at="2099-01-01")      # empty test side: stops after features
+    assert os.path.getmtime(os.path.join(out, "null_counts")) == mtime

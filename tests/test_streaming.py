@@ -137,3 +137,14 @@ def test_first_value_arriving_late_refreshes_back_fill(spark, tmp_out):
     want = FE.feature_table(final, method="window")
     got = SJ.read_features(spark, f"{root}/features").select(want.columns)
     assert _sorted(got) == _sorted(want)
+
+
+def test_compaction_keeps_latest_rows(spark, tmp_out):
+    p = os.path.join(tmp_out, "appended")
+    a = spark.createDataFrame([("A", 1, 1.0, 0), ("A", 2, 2.0, 0)], "region string, k int, v double, _batch bigint")
+    b = spark.createDataFrame([("A", 1, 9.0, 1)], "region string, k int, v double, _batch bigint")
+    a.write.parquet(p)
+    b.write.mode("append").parquet(p)
+    SJ.compact(spark, p, ["region", "k"], os.path.join(tmp_out, "compact"))
+    got = sorted((r.k, r.v) for r in spark.read.parquet(os.path.join(tmp_out, "compact")).collect())
+    assert got == [(1, 9.0), (2, 2.0)]
