@@ -5,7 +5,7 @@ local[$BENCH_CPUS] in one warm session and prints ONE JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is fully executed with the ``noop`` sink (every row produced, no
-driver collect), best of ``BENCH_REPEAT`` runs after one warm-up run.
+driver collect), best of ``BENCH_REPEAT`` (3) runs after one warm-up run.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ EXTRA = {"feature_table_buckets": feature_table_buckets}
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = os.environ.get("BENCH_QUERIES")
     names = names.split(",") if names else HEADLINE
     spark = get_spark(f"local[{cpus}]", app="stationlab-bench", shuffle_partitions=2 * cpus,
