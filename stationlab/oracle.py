@@ -367,3 +367,12 @@ SQL["missing_combos"] = _w(DAILY, """SELECT g.region, g.year
 FROM (SELECT n_name AS region, CAST(y AS INTEGER) AS year FROM nation, range(1995, 2002) t(y)) g
 LEFT JOIN (SELECT region, CAST(year(datetime) AS INTEGER) AS year, count(*) AS n FROM daily GROUP BY 1, 2) c
   ON g.region = c.region AND g.year = c.year WHERE coalesce(c.n, 0) < 8000""")
+
+# ---- sources / sinks round trips
+SQL["csv_master_scan"] = _w(HOURLY, "SELECT datetime, region, " + ", ".join(
+    (c if c in HOURLY_MEASURES else f"CAST(NULL AS DOUBLE) AS {c}") for c in S.MEASURES) + " FROM hourly")
+SQL["multi_part_read"] = """SELECT l_orderkey, l_linenumber, l_quantity, CAST(NULL AS DOUBLE) AS l_discount
+FROM lineitem WHERE l_linenumber <= 3
+UNION ALL
+SELECT l_orderkey, l_linenumber, CAST(NULL AS DOUBLE), l_discount FROM lineitem WHERE l_linenumber > 3"""
+SQL["feature_table_roundtrip"] = SQL["feature_table"]

@@ -740,3 +740,39 @@ def q_attribution(spark, sf_dir):
     train, test, cols = _holdout(spark, sf_dir)
     m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
     return TR.attribution(m, test, cols, n=50, permutations=4)
+
+
+# ------------------------------------------------------------------ sources / sinks round trips (scratch folder)
+from .sources import sinks as SK  # noqa: E402
+
+
+@register("csv_master_scan")
+def q_csv_master(spark, sf_dir):
+    """The hourly master written as headered CSV, read back with the explicit schema."""
+    root = _scratch(spark, "csv")
+    h = TB.hourly_from_events(spark, sf_dir)
+    full = h.select(*[F.col(f.name) if f.name in h.columns else F.lit(None).cast("double").alias(f.name)
+                      for f in S.HOURLY.fields])
+    full.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") \
+        .csv(f"{root}/master")
+    return HR.read_hourly(spark, f"{root}/master", fmt="csv")
+
+
+@register("multi_part_read")
+def q_parts(spark, sf_dir):
+    """A table stored as two parts with different columns, reassembled by name."""
+    root = _scratch(spark, "parts")
+    li = TB.arrivals_from_lineitem(spark, sf_dir)
+    li.where(F.col("l_linenumber") <= 3).select("l_orderkey", "l_linenumber", "l_quantity") \
+        .write.parquet(f"{root}/lineitem_pt1")
+    li.where(F.col("l_linenumber") > 3).select("l_orderkey", "l_linenumber", "l_discount") \
+        .write.parquet(f"{root}/lineitem_pt2")
+    return HR.read_parts(spark, f"{root}/lineitem_pt*")
+
+
+@register("feature_table_roundtrip")
+def q_feature_roundtrip(spark, sf_dir):
+    """S11 + S5: the feature table written partitioned by year and read back."""
+    root = _scratch(spark, "features")
+    SK.write_features(FE.feature_table(TB.hourly_from_events(spark, sf_dir)), f"{root}/features")
+    return present(HR.read_features(spark, f"{root}/features").drop("year"), ROLL_NAMES)

@@ -17,10 +17,15 @@ def read_hourly(spark: SparkSession, path: str, fmt: str = "parquet",
                 columns: list[str] | None = None, schema: T.StructType = S.HOURLY) -> DataFrame:
     """Master hourly table (S1); ``columns`` keeps only those (S2, pruned at the scan).
 
-    CSV is read with the explicit schema (no inference pass); NaN -> NULL.
+    CSV is read with the explicit schema (no inference pass), the datetime
+    as text parsed by ``try_cast`` (ISO with ``T`` or space, date only,
+    fractions: the mixed forms of the source files; bad -> NULL); NaN -> NULL.
     """
     if fmt == "csv":
-        df = spark.read.schema(schema).option("header", True).csv(path)
+        text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "datetime" else f
+                             for f in schema.fields])
+        df = spark.read.schema(text).option("header", True).csv(path)
+        df = df.withColumn("datetime", F.col("datetime").try_cast("timestamp_ntz"))
     else:
         df = spark.read.format(fmt).load(path)
     if columns:

@@ -77,3 +77,18 @@ def test_staging_append_and_summary(spark, tmp_out):
     SK.write_summary(summary_wide(m), os.path.join(tmp_out, "summary"))
     back = spark.read.option("header", True).csv(os.path.join(tmp_out, "summary")).first()
     assert back.label == "base xgb" and float(back.MAE) == 0.1
+
+
+def test_csv_mixed_datetime_forms(spark, tmp_out):
+    import datetime as dt
+    p = os.path.join(tmp_out, "mixed.csv")
+    os.makedirs(p)
+    header = ",".join(f.name for f in S.HOURLY.fields)
+    rest = "," * (len(S.HOURLY.fields) - 2)
+    with open(os.path.join(p, "part-0.csv"), "w") as f:
+        f.write(header + "\n")
+        for ts in ["2026-04-29T15:30", "2026-04-29 15:30:00", "2026-04-29", "2026-04-29T15:30:00.123456", "bad"]:
+            f.write(f"{ts},London{rest}\n")
+    got = [r.datetime for r in HR.read_hourly(spark, p, fmt="csv").collect()]
+    assert got == [dt.datetime(2026, 4, 29, 15, 30), dt.datetime(2026, 4, 29, 15, 30), dt.datetime(2026, 4, 29),
+                   dt.datetime(2026, 4, 29, 15, 30, 0, 123456), None]
