@@ -376,3 +376,6 @@ FROM lineitem WHERE l_linenumber <= 3
 UNION ALL
 SELECT l_orderkey, l_linenumber, CAST(NULL AS DOUBLE), l_discount FROM lineitem WHERE l_linenumber > 3"""
 SQL["feature_table_roundtrip"] = SQL["feature_table"]
+SQL["drift_roundtrip"] = SQL["daily_mae"]
+SQL["kpis_roundtrip"] = _w(HOURLY, """SELECT count(*) AS total_records, max(datetime) AS last_update,
+  count(DISTINCT region) AS region_count, 'Calibrated & Operational' AS model_status FROM hourly""")

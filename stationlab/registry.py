@@ -776,3 +776,22 @@ def q_feature_roundtrip(spark, sf_dir):
     root = _scratch(spark, "features")
     SK.write_features(FE.feature_table(TB.hourly_from_events(spark, sf_dir)), f"{root}/features")
     return present(HR.read_features(spark, f"{root}/features").drop("year"), ROLL_NAMES)
+
+
+@register("drift_roundtrip")
+def q_drift_roundtrip(spark, sf_dir):
+    """S10 + D7: the drift table appended twice (a stale then a fresh run); one row per date, last wins."""
+    root = _scratch(spark, "drift")
+    fresh = drift_frame(spark, sf_dir)
+    stale = fresh.withColumns({"xgb_mae": F.col("xgb_mae") * 2.0, "nn_mae": F.col("nn_mae") * 2.0})
+    SK.append_drift(stale, f"{root}/drift", arrival=1)
+    SK.append_drift(fresh, f"{root}/drift", arrival=2)
+    return present(SK.read_drift(spark, f"{root}/drift"), ["xgb_mae", "nn_mae"])
+
+
+@register("kpis_roundtrip")
+def q_kpis_roundtrip(spark, sf_dir):
+    """KPIs written to two destinations as JSON and read back from the second."""
+    root = _scratch(spark, "kpis")
+    SK.write_kpis(RP.kpis(TB.hourly_from_events(spark, sf_dir)), [f"{root}/metrics", f"{root}/webdata"])
+    return SK.read_kpis(spark, f"{root}/webdata")
