@@ -148,3 +148,44 @@ def test_compaction_keeps_latest_rows(spark, tmp_out):
     SJ.compact(spark, p, ["region", "k"], os.path.join(tmp_out, "compact"))
     got = sorted((r.k, r.v) for r in spark.read.parquet(os.path.join(tmp_out, "compact")).collect())
     assert got == [(1, 9.0), (2, 2.0)]
+
+
+def _stream_two_batches(spark, tmp_out, name, first, second, sch, **kw):
+    land = os.path.join(tmp_out, name)
+    spark.createDataFrame(first, sch).coalesce(1).write.parquet(os.path.join(land, "f1"))
+    spark.createDataFrame(second, sch).coalesce(1).write.parquet(os.path.join(land, "f2"))
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    rows = spark.readStream.schema(sch).option("maxFilesPerTrigger", 1).parquet(os.path.join(land, "f*"))
+    SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_ckpt", **kw).awaitTermination()
+    final = CL.upsert(spark.createDataFrame(first, sch), spark.createDataFrame(second, sch))
+    want = FE.feature_table(final, method="window")
+    got = SJ.read_features(spark, f"{root}/features").select(want.columns)
+    return _sorted(got), _sorted(want)
+
+
+_SCH = "datetime timestamp_ntz, region string, temperature double, precipitation double, " \
+       "wind_speed double, humidity double, pressure double"
+
+
+def test_first_value_corrected_to_null_refreshes_back_fill(spark, tmp_out):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    # temperature missing for hours 0-99 but hour 60; hour 60 is then corrected to NULL, so the
+    # back fill of hours 24-35 (older than the 24-row context before hour 60) moves to hour 100's value
+    early = [(t0 + dt.timedelta(hours=i), "A", 99.0 if i == 60 else (None if i < 100 else float(i)),
+              1.0, 1.0, 1.0, 1.0) for i in range(130)]
+    early += [(t0 + dt.timedelta(hours=i), "B", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(40)]
+    late = [(t0 + dt.timedelta(hours=60), "A", None, 1.0, 1.0, 1.0, 1.0)]
+    got, want = _stream_two_batches(spark, tmp_out, "land_null", early, late, _SCH)
+    assert got == want
+
+
+def test_late_row_far_back_takes_the_size_checked_path(spark, tmp_out):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    early = [(t0 + dt.timedelta(hours=i), "A", float(i % 17), 1.0, float(i % 5), 1.0, 1.0)
+             for i in range(130) if i != 5]
+    late = [(t0 + dt.timedelta(hours=5), "A", 50.0, 2.0, 3.0, 4.0, 5.0)]
+    # the late row is 125 rows back: more than one window task of 50 rows may take
+    got, want = _stream_two_batches(spark, tmp_out, "land_far", early, late, _SCH, max_rows_per_task=50)
+    assert got == want
