@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
+from ..session import small_side
 from ..functions.calendar import calendar_fields
 from . import halo as H
 from .clean import union_all
@@ -77,15 +78,16 @@ def extreme_rows(df: DataFrame, keys: list, order: str, latest: bool = True,
     (the struct buffer is not fixed-width), sorting every input partition.
     Instead: a hash aggregate of the extreme ``order`` value per group (a
     primitive buffer, combined map-side), an equi-join back on (group,
-    order) — the group table is as small as the number of groups, so AQE
-    broadcasts it when it is — and a tie-break among equal ``order`` values
-    on the already tiny result.
+    order) — the group table has one row per group and is broadcast when its
+    measured row count allows (``small_side``), so the data is not shuffled
+    for the join — and a tie-break among equal ``order`` values on the
+    already tiny result.
     """
     key_exprs = key_exprs or {}
     d = df.withColumns(key_exprs) if key_exprs else df
     names = [k for k in keys]
     agg = F.max(order) if latest else F.min(order)
-    ext = d.groupBy(*names).agg(agg.alias(order))
+    ext = small_side(d.groupBy(*names).agg(agg.alias(order)))
     hit = d.join(ext, [*names, order], "inner")
     rest = [c for c in hit.columns if c not in names]
     pick = F.max(F.struct(*[F.col(c) for c in rest])) if latest else F.min(F.struct(*[F.col(c) for c in rest]))
@@ -193,7 +195,7 @@ def live_error(obs: DataFrame, preds: DataFrame, summary: DataFrame) -> DataFram
     """
     champ = summary.select("champion").first()
     latest = latest_per_region(obs.select("region", "datetime", F.col("temperature").alias("actual")))
-    j = (latest.join(preds.select("region", "datetime", *PRED_COLS.values()), ["region", "datetime"])
+    j = (preds.select("region", "datetime", *PRED_COLS.values()).join(small_side(latest), ["region", "datetime"])
          .withColumn("champion", F.lit(champ.champion if champ else B.MODEL_TREE)))
     pred = F.when(F.col("champion") == B.MODEL_NETWORK, F.col(PRED_COLS["nn"])).otherwise(F.col(PRED_COLS["xgb"]))
     return (j.select("region", "datetime", "actual", "champion", pred.alias("prediction"))
@@ -218,7 +220,7 @@ def lookup_actual(req: DataFrame, archive: DataFrame) -> DataFrame:
 def attach_latest(req: DataFrame, feat: DataFrame) -> DataFrame:
     """Each request gets its region's latest feature row; unknown regions drop."""
     latest = latest_per_region(feat).withColumnRenamed("datetime", "latest_datetime")
-    return req.join(latest, "region")
+    return req.join(small_side(latest), "region")
 
 
 def inject_datetime(df: DataFrame, target: str = "target_datetime") -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
+
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair, long form (col_a, col_b, corr) (A3).
@@ -33,11 +35,12 @@ def anomalies(df: DataFrame, col: str = "temperature", k: float = 3.0, key: str
     """z-score per region and ``abs(z) > k`` flag, strict.
 
     Region statistics are an aggregate joined back on the key (no unbounded
-    window frame, no sort).  The statistics side has one row per region; AQE
-    broadcasts it once its measured size is under the threshold.  A zero or
+    window frame, no sort).  The statistics side has one row per region; it
+    is broadcast once its row count is measured (``small_side``), so the
+    rows are flagged where they lie, with no shuffle of the data.  A zero or
     undefined std gives z NULL and flag false instead of an ANSI error.
     """
-    st = region_stats(df, col, key)
+    st = small_side(region_stats(df, col, key))
     z = F.try_divide(F.col(col) - F.col("mean"), F.nullif(F.col("std"), F.lit(0.0)))
     return (df.join(st, key)
             .withColumn("temp_zscore", z)

@@ -93,3 +93,22 @@ def materialize(df):
     out = df.cache()
     out.count()
     return out
+
+
+# A join side gets a broadcast hint only when its measured row count is at
+# most this (about 20 MB for the narrow tables it is used on).
+BROADCAST_MAX_ROWS = 250_000
+
+
+def small_side(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """A join side broadcast behind a measured size.
+
+    The side (a per-key aggregate: one row per region, per region-day, per
+    touched region) is materialized, so it is computed once, and its rows
+    are counted.  Up to ``max_rows`` it is hinted for broadcast, so the large
+    side is joined where it lies, without a shuffle; beyond that it stays a
+    shuffle join, where AQE measures and splits skewed keys.
+    """
+    from pyspark.sql import functions as F
+    d = materialize(df)
+    return F.broadcast(d) if d.count() <= max_rows else d

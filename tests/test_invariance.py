@@ -121,3 +121,21 @@ def test_hot_day_is_split(spark):
     assert cold == 1                                              # 40 sparse days packed together
     assert _sorted(FE.feature_table(df, method="halo", target_rows=50)) == \
         _sorted(FE.feature_table(df, method="window"))
+
+
+def test_small_side_broadcasts_only_under_its_row_bound(spark):
+    from stationlab.session import small_side
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    stats = h.groupBy("region").agg(F.avg("temperature").alias("m"))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:                   # no size-based broadcast: only the hint can broadcast
+            spark.conf.set(k, "-1")
+        hinted = h.join(small_side(stats), "region")._jdf.queryExecution().executedPlan().toString()
+        beyond = h.join(small_side(stats, max_rows=1), "region")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
