@@ -189,3 +189,19 @@ def test_late_row_far_back_takes_the_size_checked_path(spark, tmp_out):
     # the late row is 125 rows back: more than one window task of 50 rows may take
     got, want = _stream_two_batches(spark, tmp_out, "land_far", early, late, _SCH, max_rows_per_task=50)
     assert got == want
+
+
+def test_recent_days_path_reads_no_full_history(spark, tmp_out, monkeypatch):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    early = [(t0 + dt.timedelta(hours=i), r, float((i * 7) % 23), float(i % 3), 1.0 + i % 4, 50.0, 1000.0 + i % 9)
+             for r in ("A", "B") for i in range(300)]
+    late = [(t0 + dt.timedelta(hours=250), "A", 40.0, 0.0, 2.0, 60.0, 990.0),
+            (t0 + dt.timedelta(hours=299), "B", 41.0, 1.0, 3.0, 61.0, 991.0),
+            (t0 + dt.timedelta(hours=300), "B", 42.0, 1.0, 3.0, 61.0, 992.0)]
+    calls = []
+    real = SJ.first_values
+    monkeypatch.setattr(SJ, "first_values", lambda *a, **k: calls.append(1) or real(*a, **k))
+    got, want = _stream_two_batches(spark, tmp_out, "land_recent", early, late, _SCH, lookback_days=2)
+    assert got == want
+    assert len(calls) == 1          # the first batch only; the second read two days, not the history
