@@ -739,7 +739,7 @@ def q_attribution(spark, sf_dir):
     """Sampled-Shapley mean |contribution| per feature of the boosted trees."""
     train, test, cols = _holdout(spark, sf_dir)
     m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
-    return TR.attribution(m, test, cols, n=50, permutations=4)
+    return TR.attribution(m, test, cols, n=500, permutations=4)
 
 
 # ------------------------------------------------------------------ sources / sinks round trips (scratch folder)
