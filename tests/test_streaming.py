@@ -205,3 +205,15 @@ def test_recent_days_path_reads_no_full_history(spark, tmp_out, monkeypatch):
     got, want = _stream_two_batches(spark, tmp_out, "land_recent", early, late, _SCH, lookback_days=2)
     assert got == want
     assert len(calls) == 1          # the first batch only; the second read two days, not the history
+
+
+def test_rows_that_no_longer_exist_leave_the_feature_table(spark, tmp_out):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    # region A's only temperature value is corrected to NULL: none of A's rows survives the
+    # missing-value drop any more, so its earlier feature rows must go; B's rows stay
+    early = [(t0 + dt.timedelta(hours=i), "A", 5.0 if i == 30 else None, 1.0, 1.0, 1.0, 1.0) for i in range(60)]
+    early += [(t0 + dt.timedelta(hours=i), "B", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(60)]
+    late = [(t0 + dt.timedelta(hours=30), "A", None, 1.0, 1.0, 1.0, 1.0)]
+    got, want = _stream_two_batches(spark, tmp_out, "land_gone", early, late, _SCH)
+    assert got == want and len(want) == 36 and all("A" not in r and "B" in r for r in want)
