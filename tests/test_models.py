@@ -25,6 +25,13 @@ def test_network_regressor_learns_a_linear_map(spark):
     assert m.r2 > 0.95, m
 
 
+def test_network_regressor_full_batch_solver(spark):
+    df = ES.assemble(_linear(spark), ["a", "b"], "scaled")
+    model = MlpRegressor(hidden=(16,), max_iter=300, learning_rate=0.02, patience=30, solver="full").fit(df)
+    m = ST.regression_metrics(model.transform(df), "temperature", {"nn": "nn_pred"}).first()
+    assert m.r2 > 0.95, m
+
+
 def test_sample_n_is_exact_and_stable(spark):
     h = TB.hourly_from_events(spark, SF_SMALL)
     a = ES.sample_n(h, 50, ["region", "datetime"]).collect()
