@@ -217,3 +217,19 @@ def test_rows_that_no_longer_exist_leave_the_feature_table(spark, tmp_out):
     late = [(t0 + dt.timedelta(hours=30), "A", None, 1.0, 1.0, 1.0, 1.0)]
     got, want = _stream_two_batches(spark, tmp_out, "land_gone", early, late, _SCH)
     assert got == want and len(want) == 36 and all("A" not in r and "B" in r for r in want)
+
+
+def test_daily_mae_watermark_drops_rows_later_than_its_bound(spark, tmp_out):
+    import datetime as dt
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    sch = S.PREDICTIONS                 # datetime, region, actual, nn, xgb
+    files = [[(dt.datetime(2024, 6, 1, h), "A", 10.0, 11.0, 12.0) for h in range(3)],
+             [(dt.datetime(2024, 5, 1, 5), "A", 10.0, 13.0, 13.0)],     # 31 days behind: kept
+             [(dt.datetime(2024, 1, 2, 5), "A", 10.0, 20.0, 20.0)]]     # 151 days behind: dropped
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, sch).coalesce(1).write.parquet(f"{root}/preds/f{i}")
+    src = spark.readStream.schema(sch).option("maxFilesPerTrigger", 1).parquet(f"{root}/preds/f*")
+    # late rows are judged against the watermark of the batch before (Spark 3.4+), hence three batches
+    SJ.run_daily_mae(src, f"{root}/out", f"{root}/_ckpt").awaitTermination()
+    got = {r.date: (r.xgb_mae, r.nn_mae) for r in SJ.read_latest_by(spark, f"{root}/out", ["date"]).collect()}
+    assert got == {"2024-06-01": (2.0, 1.0), "2024-05-01": (3.0, 3.0)}
