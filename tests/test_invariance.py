@@ -139,3 +139,22 @@ def test_small_side_broadcasts_only_under_its_row_bound(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "BroadcastHashJoin" in hinted
     assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
+
+
+def test_per_key_joins_do_not_shuffle_the_data(spark):
+    from stationlab.operators import stats as ST
+    h = TB.hourly_from_events(spark, SF_SMALL)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:                   # only the measured hint may broadcast
+            spark.conf.set(k, "-1")
+        plans = {name: df._jdf.queryExecution().executedPlan().toString()
+                 for name, df in (("anomalies", ST.anomalies(h)), ("latest", RP.latest_per_region(h)))}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for name, p in plans.items():
+        assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p, name
+    # anomalies: the only shuffle is the statistics aggregate's (checkpointed before the join)
+    assert "Exchange hashpartitioning" not in plans["anomalies"]
