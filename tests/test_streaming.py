@@ -233,3 +233,14 @@ def test_daily_mae_watermark_drops_rows_later_than_its_bound(spark, tmp_out):
     SJ.run_daily_mae(src, f"{root}/out", f"{root}/_ckpt").awaitTermination()
     got = {r.date: (r.xgb_mae, r.nn_mae) for r in SJ.read_latest_by(spark, f"{root}/out", ["date"]).collect()}
     assert got == {"2024-06-01": (2.0, 1.0), "2024-05-01": (3.0, 3.0)}
+
+
+def test_a_day_whose_rows_all_vanish_is_emptied(spark, tmp_out):
+    import datetime as dt
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    # region A alone fills Jan 1-3; its only temperature value is corrected to NULL, so its days empty out
+    early = [(t0 + dt.timedelta(hours=i), "A", 5.0 if i == 30 else None, 1.0, 1.0, 1.0, 1.0) for i in range(60)]
+    early += [(t1 + dt.timedelta(hours=i), "B", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(60)]
+    late = [(t0 + dt.timedelta(hours=30), "A", None, 1.0, 1.0, 1.0, 1.0)]
+    got, want = _stream_two_batches(spark, tmp_out, "land_gone_days", early, late, _SCH)
+    assert got == want and len(want) == 36
