@@ -244,3 +244,26 @@ def test_a_day_whose_rows_all_vanish_is_emptied(spark, tmp_out):
     late = [(t0 + dt.timedelta(hours=30), "A", None, 1.0, 1.0, 1.0, 1.0)]
     got, want = _stream_two_batches(spark, tmp_out, "land_gone_days", early, late, _SCH)
     assert got == want and len(want) == 36
+
+
+def test_streaming_reads_prune_day_partitions(spark, tmp_out):
+    import datetime as dt
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), "A", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(96)]
+    up = SJ.upsert_batch(f"{root}/master", ["datetime", "region"], [], SJ.day_of("datetime"))
+    up(spark.createDataFrame(rows, _SCH), 0)
+
+    def files():
+        return {d: sorted(os.listdir(os.path.join(root, "master", d)))
+                for d in os.listdir(os.path.join(root, "master")) if d.startswith("_day=")}
+    before = files()
+    late = spark.createDataFrame(rows[50:52], _SCH)
+    up(late, 1)                                     # touches one day: only that folder is read and rewritten
+    after = files()
+    assert [d for d in before if before[d] != after[d]] == ["_day=2024-01-03"]
+    assert SJ.read_master(spark, f"{root}/master").count() == 96
+    recent = SJ.read_master(spark, f"{root}/master", dt.date(2024, 1, 3))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
+    assert "PartitionFilters: [isnotnull(_day" in scan and "(_day" in scan and ">= 2024-01-03" in scan, scan
+    assert recent.count() == 48
