@@ -6,8 +6,9 @@ exact integers.  Documents are dealt into blocks of about ``BLOCK_BYTES`` of tex
 1. every block gives each distinct n-gram (orders 1 to 3) with its count in the block;
 2. the counts are summed over the corpus by key (hash partitions); n-grams of order 2
    and 3 that occur once in the whole corpus are pruned from the tables;
-3. the tables are joined back to the blocks' n-grams on the key, so a block gets the
-   corpus counts of its own n-grams and no others;
+3. the tables are joined back to the blocks' n-grams on the key (the same exchange serves
+   the sums and the join), so a block gets the corpus counts of those of its own n-grams
+   that other blocks hold too; the others it has counted itself;
 4. with them each document's n-grams are scored and summed:
    S(c | a b) = n(abc) / n(ab) if abc is in the table, else 0.4 S(c | b);
    S(c | b) = n(bc) / n(b) if bc is in the table, else 0.4 n(c) / N.
@@ -27,16 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import keep, tokenizer_path
+from stationlab.llm.common import tokenizer_path
 from stationlab.llm.word_tokens import WordEncoder
 
 VOCABULARY = "word_bpe_49k.json"
 ORDER = 3
 BACKOFF = 0.4
 LEAST_COUNT = 2
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
 # An n-gram's key: its ids in 16-bit fields, the order above them.
 SHIFT, ORDER_AT = 16, 48
+ALL_TOKENS = 0            # the key whose count is the number of tokens
 
 _ENCODERS: dict = {}
 
@@ -87,37 +89,42 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
     def count(table: pa.Table) -> pa.Table:
         ids, firsts, _ = _encoded(table.column("text").to_pylist(), path)
         block = table.column("block")[0].as_py()
-        keys, counts = [], []
+        keys, counts = [np.array([ALL_TOKENS])], [np.array([len(ids)])]
         for k in keys_of(ids, firsts):
             u, c = np.unique(k[k >= 0], return_counts=True)
             keys.append(u)
             counts.append(c)
         keys, counts = np.concatenate(keys), np.concatenate(counts)
         return pa.table({"key": pa.array(keys, pa.int64()), "block": pa.array(np.full(len(keys), block, np.int32)),
-                         "n": pa.array(counts.astype(np.int32))})
+                         "n": pa.array(counts.astype(np.int64))})
 
-    grams = blocks.groupBy("block").applyInArrow(count, "key long, block int, n int")
-    totals = grams.groupBy("key").agg(F.sum("n").alias("total")).filter(
-        (F.col("total") >= LEAST_COUNT) | (F.shiftright("key", ORDER_AT) == 1))
-    known = keep(grams.join(totals, "key").select("block", "key", "total", "n"))
-    n_all = known.filter(F.shiftright("key", ORDER_AT) == 1).agg(F.sum("n")).collect()[0][0] or 0
+    grams = blocks.groupBy("block").applyInArrow(count, "key long, block int, n long")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = grams.repartition(parts, "key")
+    # both sides read all three columns, so that one exchange serves both
+    totals = (grams.groupBy("key").agg(F.sum("n").alias("total"), F.min("block").alias("lo"), F.max("block").alias("hi"))
+              .filter("lo < hi").select("key", "total"))
+    elsewhere = grams.join(totals, "key").filter(F.col("total") > F.coalesce("n", F.lit(0))).select("block", "key", "total")
 
     def score(docs_of: pa.Table, counts_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:
             return _scores([], [], [], [], [], [])
         ids, firsts, sizes = _encoded(docs_of.column("text").to_pylist(), path)
-        keys = counts_of.column("key").to_numpy()
+        keys, totals_of = counts_of.column("key").to_numpy(), counts_of.column("total").to_numpy()
         order = np.argsort(keys)
-        keys, totals_here = keys[order], counts_of.column("total").to_numpy()[order].astype(np.float64)
+        keys, totals_of = keys[order], totals_of[order]
+        n_all = int(totals_of[0]) if len(keys) and keys[0] == ALL_TOKENS else len(ids)
 
-        def lookup(k: np.ndarray) -> np.ndarray:
-            if not len(keys):
-                return np.zeros(len(k))
-            at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-            return np.where(keys[at] == k, totals_here[at], 0.0)
+        def lookup(k: np.ndarray, least: int) -> np.ndarray:
+            """Corpus counts of the keys; 0 for pruned ones and for -1."""
+            own, place, n = np.unique(k, return_inverse=True, return_counts=True)
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                n = np.where(keys[at] == own, totals_of[at], n)
+            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)[place]
 
         made = keys_of(ids, firsts)
-        found = [lookup(k) for k in made]
+        found = [lookup(k, 1 if o == 0 else LEAST_COUNT) for o, k in enumerate(made)]
         value = np.log(np.maximum(found[0], 1.0) / max(n_all, 1)) + (ORDER - 1) * np.log(BACKOFF)
         level = np.ones(len(ids), np.int64)
         # at a document's start, the orders that do not fit are no backoff
@@ -136,7 +143,7 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
         per_level = [np.bincount(doc, level == o, len(sizes)).astype(np.int64) for o in (3, 2, 1)]
         return _scores(docs_of.column("doc_id"), sizes, *per_level, total)
 
-    return blocks.groupBy("block").cogroup(known.select("block", "key", "total").groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInArrow(
         score, "doc_id long, n_tokens long, n_order3 long, n_order2 long, n_order1 long, log_score double, mean_log_score double")
 
 
