@@ -1,7 +1,8 @@
 """LM scoring: stupid-backoff scores from relational n-gram counts.
 
 Texts are read as token ids of a public vocabulary (pieces of words), so n-gram keys are
-exact integers.  Documents are dealt into blocks of about ``BLOCK_BYTES`` of text:
+exact integers.  Documents are encoded where they lie and dealt, as compressed ids, into
+blocks of about ``BLOCK_BYTES`` of text:
 
 1. every block gives each distinct n-gram (orders 1 to 3) with its count in the block;
 2. the counts are summed over the corpus by key (hash partitions); n-grams of order 2
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import tokenizer_path
+from stationlab.llm.common import column_bytes, slices, tokenizer_path
 from stationlab.llm.word_tokens import WordEncoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,62 +41,65 @@ BLOCK_BYTES = 16 << 20
 SHIFT, ORDER_AT = 16, 48
 ALL_TOKENS = 0            # the key whose count is the number of tokens
 
-_ENCODERS: dict = {}
+def keys_of(ids: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
+    """The keys of the n-grams that end at each token; -1 where a document is too short.
 
+    ``place``: the token's place in its document.
+    """
+    acc = ids | order << ORDER_AT
+    for back in range(1, order):
+        acc[back:] |= ids[:len(ids) - back] << (SHIFT * back)
+    acc[place < order - 1] = -1
+    return acc
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
 
+def _ids(packed: list) -> tuple:
+    """(ids of all documents in a row, the tokens' places in their documents, sizes of the documents)."""
+    import zlib
+    data = [zlib.decompress(p) if p else b"" for p in packed]
+    sizes = np.array([len(d) // 2 for d in data], np.int64)
+    ids = np.frombuffer(b"".join(data), np.uint16).astype(np.int64)
+    place = np.arange(len(ids), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
+    return ids, place, sizes
 
-def keys_of(ids: np.ndarray, firsts: np.ndarray) -> list:
-    """Per order the keys of the n-grams that end at each token; -1 where a document is too short."""
-    n = len(ids)
-    place = np.arange(n) - firsts               # place of the token in its document
-    out = [ids | (1 << ORDER_AT)]
-    acc = ids
-    for order in range(2, ORDER + 1):
-        before = np.concatenate((np.zeros(min(order - 1, n), np.int64), ids[:max(0, n - order + 1)]))
-        acc = acc | before << (SHIFT * (order - 1))
-        out.append(np.where(place >= order - 1, acc | order << ORDER_AT, -1))
-    return out
 
-
-def _encoded(texts: list, path: str) -> tuple:
-    """(ids of all texts, first place of each token's document, sizes of the documents)."""
-    enc = encoder(path)
-    data = [enc.encode(t.encode()) if t else b"" for t in texts]
-    sizes = np.array([len(d) // enc.width.itemsize for d in data], np.int64)
-    ids = np.frombuffer(b"".join(data), enc.width).astype(np.int64)
-    return ids, np.repeat(np.cumsum(sizes) - sizes, sizes), sizes
-
-
-def _blocks(docs: DataFrame, text: str, id_column: str, block_bytes: int) -> DataFrame:
+def _blocks(docs: DataFrame, path: str, text: str, id_column: str, block_bytes: int) -> DataFrame:
+    """(block, doc_id, packed ids); the row's place spreads equal rows over the blocks."""
     total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
     n = max(1, -(-total // block_bytes))
-    # the row's place spreads equal rows
-    return docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.col(text)), F.lit(n)).cast("int").alias("block"),
+    rows = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.col(text)), F.lit(n)).cast("int").alias("block"),
                        F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
+    def encode(batches):
+        import zlib
+        enc = WordEncoder(path)
+        if enc.size > 1 << SHIFT:
+            raise ValueError("the vocabulary does not fit the key's fields")
+        for batch in batches:
+            for part in slices(batch):
+                packed = [zlib.compress(enc.encode(t), 1) if t else None for t in column_bytes(part, "text")]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], ["block", "doc_id", "packed"])
+
+    return rows.mapInArrow(encode, "block int, doc_id long, packed binary")
+
 
 def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "text", id_column: str = "doc_id",
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, n_tokens, n_order3, n_order2, n_order1 (tokens scored at each order), log_score (natural
     log, summed) and mean_log_score."""
     path = vocabulary or tokenizer_path(VOCABULARY)
-    blocks = _blocks(docs, text, id_column, block_bytes)
+    blocks = _blocks(docs, path, text, id_column, block_bytes)
 
     def count(table: pa.Table) -> pa.Table:
-        ids, firsts, _ = _encoded(table.column("text").to_pylist(), path)
-        block = table.column("block")[0].as_py()
+        ids, place, _ = _ids(table.column("packed").to_pylist())
         keys, counts = [np.array([ALL_TOKENS])], [np.array([len(ids)])]
-        for k in keys_of(ids, firsts):
+        for order in range(1, ORDER + 1):
+            k = keys_of(ids, place, order)
             u, c = np.unique(k[k >= 0], return_counts=True)
             keys.append(u)
             counts.append(c)
         keys, counts = np.concatenate(keys), np.concatenate(counts)
-        return pa.table({"key": pa.array(keys, pa.int64()), "block": pa.array(np.full(len(keys), block, np.int32)),
+        return pa.table({"key": pa.array(keys, pa.int64()), "block": pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int32)),
                          "n": pa.array(counts.astype(np.int64))})
 
     grams = blocks.groupBy("block").applyInArrow(count, "key long, block int, n long")
@@ -109,35 +113,32 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
     def score(docs_of: pa.Table, counts_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:
             return _scores([], [], [], [], [], [])
-        ids, firsts, sizes = _encoded(docs_of.column("text").to_pylist(), path)
+        ids, place, sizes = _ids(docs_of.column("packed").to_pylist())
         keys, totals_of = counts_of.column("key").to_numpy(), counts_of.column("total").to_numpy()
         order = np.argsort(keys)
         keys, totals_of = keys[order], totals_of[order]
         n_all = int(totals_of[0]) if len(keys) and keys[0] == ALL_TOKENS else len(ids)
 
-        def lookup(k: np.ndarray, least: int) -> np.ndarray:
-            """Corpus counts of the keys; 0 for pruned ones and for -1."""
-            own, place, n = np.unique(k, return_inverse=True, return_counts=True)
+        def counted(order_of: int) -> np.ndarray:
+            """Corpus counts of the n-grams of one order that end at each token; 0 for pruned ones."""
+            own, where, n = np.unique(keys_of(ids, place, order_of), return_inverse=True, return_counts=True)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
                 n = np.where(keys[at] == own, totals_of[at], n)
-            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)[place]
-
-        made = keys_of(ids, firsts)
-        found = [lookup(k, 1 if o == 0 else LEAST_COUNT) for o, k in enumerate(made)]
-        value = np.log(np.maximum(found[0], 1.0) / max(n_all, 1)) + (ORDER - 1) * np.log(BACKOFF)
-        level = np.ones(len(ids), np.int64)
-        # at a document's start, the orders that do not fit are no backoff
-        value -= np.where(made[1] < 0, (ORDER - 1) * np.log(BACKOFF), 0.0)
-        value -= np.where((made[1] >= 0) & (made[2] < 0), np.log(BACKOFF), 0.0)
-        for o in range(1, ORDER):
-            here = found[o] > 0
-            history = np.concatenate(([0.0], found[o - 1][:-1])) if len(ids) else found[o - 1]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                v = np.log(found[o] / history)
-            if o == 1:
-                v = v + np.where(made[2] >= 0, np.log(BACKOFF), 0.0)
-            value, level = np.where(here, v, value), np.where(here, o + 1, level)
+            least = 1 if order_of == 1 else LEAST_COUNT
+            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)[where]
+
+        # what a token costs for the orders above its own that fit in its document
+        fits = np.minimum(place, ORDER - 1)
+        history = counted(1)
+        value = np.log(history / max(n_all, 1)) + fits * np.log(BACKOFF)
+        level = np.ones(len(ids), np.int8)
+        for o in range(2, ORDER + 1):
+            here = counted(o)
+            seen = np.flatnonzero(here > 0)
+            value[seen] = np.log(here[seen] / history[seen - 1]) + (fits[seen] - (o - 1)) * np.log(BACKOFF)
+            level[seen] = o
+            history = here
         doc = np.repeat(np.arange(len(sizes)), sizes)
         total = np.bincount(doc, value, len(sizes))
         per_level = [np.bincount(doc, level == o, len(sizes)).astype(np.int64) for o in (3, 2, 1)]
