@@ -5,11 +5,12 @@ exact integers.  Documents are encoded where they lie and dealt, as compressed i
 blocks of about ``BLOCK_BYTES`` of text:
 
 1. every block gives each distinct n-gram (orders 1 to 3) with its count in the block;
-2. the counts are summed over the corpus by key (hash partitions); n-grams of order 2
-   and 3 that occur once in the whole corpus are pruned from the tables;
-3. the tables are joined back to the blocks' n-grams on the key (the same exchange serves
-   the sums and the join), so a block gets the corpus counts of those of its own n-grams
-   that other blocks hold too; the others it has counted itself;
+2. the rows are partitioned by the hash of their context (the n-gram without its last
+   id); there the counts are summed over the corpus by key, and each block's row is joined
+   with its sum in the same sorted pass (a window; a join of the sums needs a second
+   exchange).  N-grams of order 2 and 3 that occur once in the corpus are pruned;
+3. a block gets the corpus counts of those of its own n-grams that other blocks hold too;
+   the others it has counted itself;
 4. with them each document's n-grams are scored and summed:
    S(c | a b) = n(abc) / n(ab) if abc is in the table, else 0.4 S(c | b);
    S(c | b) = n(bc) / n(b) if bc is in the table, else 0.4 n(c) / N.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlab.llm.common import column_bytes, slices, tokenizer_path
@@ -104,11 +105,12 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
 
     grams = blocks.groupBy("block").applyInArrow(count, "key long, block int, n long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grams = grams.repartition(parts, "key")
-    # both sides read all three columns, so that one exchange serves both
-    totals = (grams.groupBy("key").agg(F.sum("n").alias("total"), F.min("block").alias("lo"), F.max("block").alias("hi"))
-              .filter("lo < hi").select("key", "total"))
-    elsewhere = grams.join(totals, "key").filter(F.col("total") > F.coalesce("n", F.lit(0))).select("block", "key", "total")
+    # partitions by the hash of the context: keys that share it stay together and pack well
+    context = F.when(F.shiftright("key", ORDER_AT) < 2, F.col("key")).otherwise(F.shiftright("key", SHIFT))
+    grams = grams.withColumn("context", context).repartition(parts, "context")
+    of_key = Window.partitionBy("context", "key")
+    elsewhere = (grams.withColumn("total", F.sum("n").over(of_key)).filter(F.col("total") > F.col("n"))
+                 .select("block", "key", F.col("total")))
 
     def score(docs_of: pa.Table, counts_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:
