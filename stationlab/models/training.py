@@ -69,7 +69,7 @@ def evaluate(df: DataFrame, models: dict, feature_cols: list[str], stage: str) -
 
 
 # --------------------------------------------------------------------------- M6
-TUNE_GRID = {"n_estimators": [100, 200], "max_depth": [6, 10, 12], "learning_rate": [0.05, 0.1]}
+TUNE_GRID = {"n_estimators": [100, 200], "max_depth": [8, 10, 12], "learning_rate": [0.05, 0.1]}
 
 
 def tune(train: DataFrame, feature_cols: list[str], n_candidates: int = 5, folds: int = 3,
@@ -128,16 +128,21 @@ def score_requests(requests: DataFrame, features: DataFrame, models: dict, featu
 
     Latest feature row per region (W6, an aggregate) joined to the requests
     (J3, unknown regions drop), requested time injected (P22), scored (M9).
-    A missing tree model falls back to the network's prediction.
+    A missing tree model falls back to the network's prediction; a request whose
+    date does not parse is answered with NULL predictions.
     """
     req = requests.withColumn("target_datetime", F.col("date").cast("string").try_cast("timestamp_ntz"))
-    j = RP.inject_datetime(RP.attach_latest(req, features))
+    attached = RP.attach_latest(req, features)
+    unread = attached.where(F.col("target_datetime").isNull())
+    j = RP.inject_datetime(attached.where(F.col("target_datetime").isNotNull()))
     p = predict(j, models, feature_cols) if "xgb" in models else \
         models["nn"].transform(models["scaler"].transform(ES.assemble(j, feature_cols)))
     xgb = F.col("xgb_pred") if "xgb" in models else F.col("nn_pred")
+    none = F.lit(None).cast("double")
     return p.select("region", F.col("date").cast("string").alias("date"),
                     round_half_even(F.col("nn_pred"), 2).alias("nn_pred"),
-                    round_half_even(xgb, 2).alias("xgb_pred"))
+                    round_half_even(xgb, 2).alias("xgb_pred")).unionByName(
+        unread.select("region", F.col("date").cast("string").alias("date"), none.alias("nn_pred"), none.alias("xgb_pred")))
 
 
 # --------------------------------------------------------------------------- M11

@@ -234,10 +234,19 @@ def windowed(df: DataFrame, columns, reach: int, key="region", order: str = "dat
     columns looks at.  ``fill`` columns are filled first (``fill_mode``
     forward / backward / both).  ``method``: "window", "halo" or "auto"
     (plain while the largest key fits ``max_rows_per_task`` rows; beyond it
-    adaptive buckets of a quarter of that, see ``assign_buckets``).
+    adaptive buckets of a quarter of that, see ``assign_buckets``).  Rows whose
+    key or time is NULL stay in both forms, unfilled, with NULL window columns.
     """
     k = _keys(key)
     fill = list(fill or [])
+    keyed = F.col(order).isNotNull()
+    for c in k:
+        keyed = keyed & F.col(c).isNotNull()
+    unkeyed = df.where(~keyed)
+    if not unkeyed.isEmpty():       # set aside: they belong to no bucket and feed no other row
+        out = windowed(df.where(keyed), columns, reach, key, order, method, unit, fill, fill_mode,
+                       max_rows_per_task, target_rows)
+        return out.unionByName(unkeyed, allowMissingColumns=True)
     if method == "auto":
         method = choose_method(df, key, max_rows_per_task)
         if method == "halo" and target_rows is None:

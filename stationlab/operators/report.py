@@ -143,10 +143,15 @@ def horizon_days(fc: DataFrame, now=None, days: int = 13, key: str = "region",
                  order: str = "time") -> DataFrame:
     """24-row slices from the current hour: day = (row - offset) div 24.
 
-    Rows before ``now`` are the offset; without ``now`` the offset is 0.
+    The offset is the place of the row at exactly ``now``; a region without such a
+    row, or no ``now``, has offset 0.
     ``rn <= days * 24`` bounds each region's slice (partial group limit).
     """
-    src = fc if now is None else fc.where(F.col(order) >= F.lit(now).cast("timestamp_ntz"))
+    src = fc
+    if now is not None:
+        hour = F.lit(now).cast("timestamp_ntz")
+        there = small_side(fc.where(F.col(order) == hour).select(F.col(key)).distinct().withColumn("_there", F.lit(True)))
+        src = fc.join(there, key, "left").where(F.col("_there").isNull() | (F.col(order) >= hour)).drop("_there")
     w = Window.partitionBy(key).orderBy(order)
     return (src.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= days * 24)

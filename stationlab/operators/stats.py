@@ -38,11 +38,12 @@ def anomalies(df: DataFrame, col: str = "temperature", k: float = 3.0, key: str
     window frame, no sort).  The statistics side has one row per region; it
     is broadcast once its row count is measured (``small_side``), so the
     rows are flagged where they lie, with no shuffle of the data.  A zero or
-    undefined std gives z NULL and flag false instead of an ANSI error.
+    undefined std gives z NULL and flag false instead of an ANSI error; so does
+    a NULL region, whose rows stay.
     """
     st = small_side(region_stats(df, col, key))
     z = F.try_divide(F.col(col) - F.col("mean"), F.nullif(F.col("std"), F.lit(0.0)))
-    return (df.join(st, key)
+    return (df.join(st, key, "left")
             .withColumn("temp_zscore", z)
             .withColumn("is_anomaly", F.coalesce(F.abs(F.col("temp_zscore")) > k, F.lit(False)))
             .drop("mean", "std"))
@@ -64,16 +65,18 @@ def regression_metrics(df: DataFrame, actual: str, preds: dict[str, str]) -> Dat
     """MAE, RMSE, R^2 per model in long form (model, mae, rmse, r2).
 
     One pass over the rows for all models: sums of |e|, e^2 and the moments
-    of the actual value.  R^2 = 1 - SSE / SST with SST = n * var_pop(actual).
+    of the actual value.  R^2 = 1 - SSE / SST with SST = n * var_pop(actual),
+    both over the rows that have the model's prediction.
     """
     y = F.col(actual)
-    aggs = [F.count(y).alias("_n"), F.var_pop(y).alias("_var")]
+    aggs = []
     for m, p in preds.items():
         e = y - F.col(p)
-        aggs += [F.avg(F.abs(e)).alias(f"{m}__mae"), F.avg(e * e).alias(f"{m}__mse")]
+        aggs += [F.avg(F.abs(e)).alias(f"{m}__mae"), F.avg(e * e).alias(f"{m}__mse"),
+                 F.var_pop(F.when(F.col(p).isNotNull(), y)).alias(f"{m}__var")]
     a = df.agg(*aggs)
     body = ", ".join(
-        f"'{m}', `{m}__mae`, sqrt(`{m}__mse`), 1 - try_divide(`{m}__mse`, `_var`)" for m in preds)
+        f"'{m}', `{m}__mae`, sqrt(`{m}__mse`), 1 - try_divide(`{m}__mse`, `{m}__var`)" for m in preds)
     return a.selectExpr(f"stack({len(preds)}, {body}) AS (model, mae, rmse, r2)")
 
 

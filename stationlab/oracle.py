@@ -156,7 +156,8 @@ SQL["upsert_latest_arrival"] = """SELECT l_orderkey, l_linenumber, l_shipdate, l
                                ORDER BY l_shipdate DESC, l_partkey DESC) AS rn FROM lineitem) WHERE rn = 1"""
 SQL["horizon_days"] = _w(FORECAST, """SELECT region, time, ecmwf, CAST((rn - 1) // 24 AS INTEGER) AS day FROM (
   SELECT region, time, ecmwf, row_number() OVER (PARTITION BY region ORDER BY time) AS rn
-  FROM fc WHERE time >= TIMESTAMP '2024-01-10 00:00:00') WHERE rn <= 312""")
+  FROM fc f WHERE time >= TIMESTAMP '2024-01-10 00:00:00' OR NOT EXISTS (
+    SELECT 1 FROM fc g WHERE g.region = f.region AND g.time = TIMESTAMP '2024-01-10 00:00:00')) WHERE rn <= 312""")
 
 # ---- projections / predicates
 SQL["calendar_fields"] = _w(DAILY, f"SELECT seq, datetime, {CAL.format(t='datetime')} FROM daily")
@@ -198,7 +199,7 @@ WHERE year(r.date) >= 2001 AND r.date <= DATE '2024-02-05' + INTERVAL 365 DAY"""
 SQL["lookback_days"] = _w(HOURLY, """SELECT region, strftime(last_date, '%Y-%m-%d') AS last_date,
   CAST(greatest(1, least(90, date_diff('day', last_date, DATE '2024-02-05') + 2)) AS INTEGER) AS days
 FROM (SELECT region, CAST(max(datetime) AS DATE) AS last_date FROM hourly GROUP BY region)""")
-SQL["recent_rows"] = _w(HOURLY, "SELECT * FROM hourly WHERE datetime >= TIMESTAMP '2024-01-25 00:00:00' - INTERVAL 10 DAY")
+SQL["recent_rows"] = _w(HOURLY, "SELECT * FROM hourly WHERE datetime >= TIMESTAMP '2024-01-25 00:00:00' - INTERVAL 10 DAY AND datetime < TIMESTAMP '2024-01-25 00:00:00'")
 SQL["preview"] = _w(HOURLY, "SELECT * FROM hourly ORDER BY region, datetime LIMIT 50")
 SQL["one_column_scan"] = "SELECT ts AS datetime FROM events"
 
@@ -239,7 +240,7 @@ def metrics_sql(src: str, models: dict[str, str], actual: str, label: str = "mod
     return "\nUNION ALL ".join(
         f"""SELECT '{m}' AS {label}, {fx(f'avg(abs({actual} - {p}))')} AS mae,
   {fx(f'sqrt(avg(({actual} - {p}) * ({actual} - {p})))')} AS rmse,
-  {fx(f'1 - avg(({actual} - {p}) * ({actual} - {p})) / var_pop({actual})')} AS r2 FROM {src}"""
+  {fx(f'1 - avg(({actual} - {p}) * ({actual} - {p})) / var_pop(CASE WHEN {p} IS NOT NULL THEN {actual} END)')} AS r2 FROM {src}"""
         for m, p in models.items())
 
 
@@ -255,7 +256,8 @@ SQL["daily_minmax"] = _w(FORECAST, f"""SELECT region, strftime(date, '%Y-%m-%d')
 SQL["daily_mean"] = _w(FORECAST, f"""SELECT region, day, {fx('sum(coalesce(ecmwf, 0.0)) / count(*)')} AS day_mean FROM (
   SELECT region, ecmwf, CAST((rn - 1) // 24 AS INTEGER) AS day FROM (
     SELECT region, ecmwf, row_number() OVER (PARTITION BY region ORDER BY time) AS rn
-    FROM fc WHERE time >= TIMESTAMP '2024-01-10 00:00:00') WHERE rn <= 312) GROUP BY region, day""")
+    FROM fc f WHERE time >= TIMESTAMP '2024-01-10 00:00:00' OR NOT EXISTS (
+    SELECT 1 FROM fc g WHERE g.region = f.region AND g.time = TIMESTAMP '2024-01-10 00:00:00')) WHERE rn <= 312) GROUP BY region, day""")
 SQL["climatology"] = _w(DAILY, f"""SELECT region, CAST(month(datetime) AS INTEGER) AS month,
   CAST(dayofmonth(datetime) AS INTEGER) AS day, {fx('avg(temperature)')} AS actual_climatology_avg
 FROM daily GROUP BY 1, 2, 3""")

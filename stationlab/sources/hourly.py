@@ -62,10 +62,10 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def recent(df: DataFrame, as_of, days: int = 30, ts: str = "datetime") -> DataFrame:
-    """Rows of the last ``days`` days before ``as_of``.
+    """Rows of the last ``days`` days before ``as_of``, itself excluded.
 
     A plain range predicate: on a table partitioned by year it prunes
     partitions, and row-group statistics skip the rest at the scan.
     """
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return df.where(F.col(ts) >= lo)
+    hi = F.lit(as_of).cast("timestamp_ntz")
+    return df.where((F.col(ts) >= hi - F.expr(f"INTERVAL {int(days)} DAYS")) & (F.col(ts) < hi))

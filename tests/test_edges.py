@@ -191,3 +191,61 @@ def test_canonicalise_both_spellings(spark):
     out = [r.temperature for r in CL.canonicalise(df).collect()]
     assert out == [3.0, 1.0]
     assert math.isclose(1.0, 1.0)
+
+
+def test_round_half_even_is_pythons_round(spark):
+    from pyspark.sql import functions as F
+
+    from stationlab.functions.numeric import round_half_even
+    values = [2.675, 1.115, 8.345, 0.125, 0.375, -2.675, -0.125, 2.5, -1.0, 0.0, 1e6 + 0.005, 22.91499999, 1.005, None]
+    values += [i / 1000 for i in range(-3000, 3000, 7)]
+    d = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 1, 2, 3):
+        got = d.select("x", round_half_even(F.col("x"), digits).alias("r")).collect()
+        assert all(r.r == (None if r.x is None else round(r.x, digits)) for r in got)
+
+
+def test_rows_without_key_or_time_stay_and_feed_no_other_row(spark):
+    from pyspark.sql import functions as F
+
+    from stationlab.operators import features as FE
+    rows = [("a", f"2024-01-01 {h:02d}:00:00", float(h)) for h in range(8)]
+    rows += [("a", None, 99.0), ("a", None, None), (None, "2024-01-01 03:00:00", 98.0), (None, None, 97.0)]
+    d = spark.createDataFrame(rows, "region string, t string, temperature double").select(
+        "region", F.col("t").cast("timestamp_ntz").alias("datetime"), "temperature")
+    want = sorted([("a", h, float(h), float(h - 1) if h else None) for h in range(8)], key=repr)
+    for method in ("window", "halo"):
+        got = FE.lags(d, ["temperature"], [1], method=method).collect()
+        assert len(got) == len(rows)
+        keyed = [(r.region, r.datetime.hour, r.temperature, r.temperature_lag1) for r in got if r.region and r.datetime]
+        assert sorted(keyed, key=repr) == want
+        assert all(r.temperature_lag1 is None for r in got if not (r.region and r.datetime))
+        filled = FE.fill(d, ["temperature"], method=method)
+        assert filled.count() == len(rows) and filled.where("temperature is null").count() == 1
+
+
+def test_anomalies_keep_rows_without_region(spark):
+    from stationlab.operators.stats import anomalies
+    d = spark.createDataFrame([("a", float(i)) for i in range(10)] + [(None, 50.0)], "region string, temperature double")
+    got = anomalies(d).collect()
+    assert len(got) == 11 and not any(r.is_anomaly for r in got if r.region is None)
+
+
+def test_horizon_without_the_exact_hour_starts_at_the_first_row(spark):
+    from pyspark.sql import functions as F
+
+    from stationlab.operators.report import horizon_days
+    rows = [("a", h) for h in range(12) if h != 5] + [("b", h) for h in range(12)]
+    d = spark.createDataFrame(rows, "region string, h int").select(
+        "region", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, h)").cast("timestamp_ntz").alias("time"))
+    got = horizon_days(d, now="2024-01-01 05:00:00")
+    assert got.where("region = 'a'").count() == 11 and got.where("region = 'b'").count() == 7
+
+
+def test_tree_parameters_are_not_ignored(spark):
+    import pytest
+
+    from stationlab.models.estimators import fit_gbt
+    for bad in ({"gamma": 1}, {"max_depth": 31}):
+        with pytest.raises(ValueError):
+            fit_gbt(spark.range(1), params=bad)
