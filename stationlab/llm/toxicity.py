@@ -142,7 +142,7 @@ def fit(sample: list, steps: int = STEPS, rate: float = RATE, decay: float = DEC
     first_sentence = np.concatenate(([0], np.cumsum(doc_sizes)[:-1]))
     first_word = np.concatenate(([0], np.cumsum(sentence_sizes)[:-1]))
     w, bias = np.zeros(len(places)), START
-    boost = np.sqrt((1 - share) / share)        # the rarer label counts more
+    boost = ((1 - share) / share) ** 0.25        # the rarer label counts somewhat more
     idle = np.ones(len(places), bool)
     idle[feature_of] = False
     m, v = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
