@@ -178,16 +178,19 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_c
     state = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"),
                         F.lit(None).cast("array<array<long>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     broadcasts = _prepared(state.select("text"), benchmark, block_windows)
-    for i, shared in enumerate(broadcasts):
-        state = _marked(state, shared)
-        if i + 1 < len(broadcasts):
-            state = keep(state)
+    for shared in broadcasts[:-1]:
+        state = keep(_marked(state, shared))
+    last = broadcasts[-1:]          # marked in the same pass that makes the results
     kind = docs.schema[id_column].dataType.simpleString()
 
     def results(batches):
         for batch in batches:
             for part in slices(batch):
-                rows = [_result(*x) for x in zip(column_bytes(part, "text"), column_list(part, "spans"), column_list(part, "items"), strict=True)]
+                texts, spans, items = column_bytes(part, "text"), column_list(part, "spans"), column_list(part, "items")
+                words = [words_of(t) for t in texts]
+                for shared in last:
+                    _mark(shared.value, words, spans, items)
+                rows = [_result(len(w), x, y) for w, x, y in zip(words, spans, items, strict=True)]
                 cols = list(zip(*rows, strict=True))
                 types = [pa.int64()] * 3 + [pa.string(), pa.bool_(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays(
@@ -217,6 +220,16 @@ def _spans(hit: np.ndarray) -> list:
     return edge.reshape(-1, 2).tolist()
 
 
+def _mark(block: Block, words: list, spans: list, items: list) -> None:
+    """Add one block's occurrences to the rows' spans and items."""
+    for i, w in enumerate(words):
+        hit, found = block.find(w)
+        if found:
+            for x, y in spans[i] or ():
+                hit[x:y] = True
+            spans[i], items[i] = _spans(hit), sorted(found.union(items[i] or ()))
+
+
 def _marked(state: DataFrame, shared) -> DataFrame:
     """``state`` with one block's occurrences added to its spans and items."""
     def mark(batches):
@@ -224,13 +237,7 @@ def _marked(state: DataFrame, shared) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 spans, items = column_list(part, "spans"), column_list(part, "items")
-                for i, data in enumerate(column_bytes(part, "text")):
-                    words = words_of(data)
-                    hit, found = b.find(words)
-                    if found:
-                        for x, y in spans[i] or ():
-                            hit[x:y] = True
-                        spans[i], items[i] = _spans(hit), sorted(found.union(items[i] or ()))
+                _mark(b, [words_of(t) for t in column_bytes(part, "text")], spans, items)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))],
                     ["id", "text", "spans", "items"])
@@ -238,8 +245,8 @@ def _marked(state: DataFrame, shared) -> DataFrame:
     return state.mapInArrow(mark, state.schema)
 
 
-def _result(data: bytes | None, spans: list | None, items: list | None) -> tuple:
-    n, hit, items = len(words_of(data)), sum(b - a for a, b in spans or ()), items or []
+def _result(n: int, spans: list | None, items: list | None) -> tuple:
+    hit, items = sum(b - a for a, b in spans or ()), items or []
     return (n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), contaminated(hit, n), spans or [], items)
 
 
