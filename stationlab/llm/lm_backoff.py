@@ -4,18 +4,21 @@ Texts are read as token ids of a public vocabulary (pieces of words), so n-gram
 exact integers.  Documents are encoded where they lie and dealt, as compressed ids, into
 blocks of about ``BLOCK_BYTES`` of text:
 
-1. every block gives each distinct n-gram (orders 1 to 3) with its count in the block;
-2. the counts are summed over the corpus by key (hash partitions); n-grams of order 2
-   and 3 that occur once in the whole corpus are pruned from the tables;
-3. the tables are joined back to the blocks' n-grams on the key (the same exchange serves
-   the sums and the join), so a block gets the corpus counts of those of its own n-grams
-   that other blocks hold too; the others it has counted itself;
+1. every block gives its distinct n-grams (orders 1 to 3) with their counts in the block,
+   one packed row for each hash partition of the count tables (about one partition per
+   ``BUCKET_BYTES`` of text, so a partition's size does not grow with the corpus);
+2. a partition's count table is the sum of these rows by key; n-grams of order 2 and 3
+   that occur once in the whole corpus are not in the tables;
+3. the table is joined to the blocks' n-grams of the partition in the same pass, and every
+   packed row is answered by the counts of its keys outside the block, in the row's order,
+   so that keys travel once;
 4. with them each document's n-grams are scored and summed:
    S(c | a b) = n(abc) / n(ab) if abc is in the table, else 0.4 S(c | b);
    S(c | b) = n(bc) / n(b) if bc is in the table, else 0.4 n(c) / N.
 
-Every n-gram row is pre-aggregated per block, so a frequent n-gram has one row per
-block, not one per occurrence, and all tables grow with the corpus.
+Every n-gram is pre-aggregated per block, so a frequent n-gram has one entry per
+block, not one per occurrence, and all tables grow with the corpus.  Packed rows hold at
+least one n-gram each, so there are never more of them than of blocks' n-grams.
 
 Defined results: null and empty texts have 0 tokens, score 0 and a null mean; repeated
 rows count as often as they stand; an empty table gives an empty result; other columns are
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import column_bytes, slices, tokenizer_path
+from stationlab.llm.common import U64, column_bytes, mix64, slices, tokenizer_path
 from stationlab.llm.word_tokens import WordEncoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,10 +40,12 @@ ORDER = 3
 BACKOFF = 0.4
 LEAST_COUNT = 2
 BLOCK_BYTES = 12 << 20
+BUCKET_BYTES = 4 << 20
 # An n-gram's key: its ids in 16-bit fields, the order above them.
 SHIFT, ORDER_AT = 16, 48
 ALL_TOKENS = 0            # the key whose count is the number of tokens
 
+
 def keys_of(ids: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
     """The keys of the n-grams that end at each token; -1 where a document is too short.
 
@@ -63,10 +68,36 @@ def _ids(packed: list) -> tuple:
     return ids, place, sizes
 
 
-def _blocks(docs: DataFrame, path: str, text: str, id_column: str, block_bytes: int) -> DataFrame:
-    """(block, doc_id, packed ids); the row's place spreads equal rows over the blocks."""
-    total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
-    n = max(1, -(-total // block_bytes))
+def pack(values: np.ndarray) -> bytes:
+    """64-bit integers, the bytes of equal rank side by side, compressed."""
+    import zlib
+    return zlib.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    import zlib
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _counted(ids: np.ndarray, place: np.ndarray, buckets: int) -> tuple:
+    """A block's distinct keys and counts by hash partition, then key; the partitions that it has and where they begin."""
+    keys, counts = [np.array([ALL_TOKENS])], [np.array([len(ids)])]
+    for order in range(1, ORDER + 1):
+        k = keys_of(ids, place, order)
+        u, c = np.unique(k[k >= 0], return_counts=True)
+        keys.append(u)
+        counts.append(c)
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    bucket = (mix64(keys.astype(U64)) % U64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")          # keys ascend already: lower orders have lower keys
+    keys, counts, bucket = keys[order], counts[order], bucket[order]
+    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    return keys, counts, bucket[starts], starts
+
+
+def _blocks(docs: DataFrame, path: str, text: str, id_column: str, n: int) -> DataFrame:
+    """(block, doc_id, packed ids) in ``n`` blocks; the row's place spreads equal rows over the blocks."""
     rows = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.col(text)), F.lit(n)).cast("int").alias("block"),
                        F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
@@ -84,49 +115,56 @@ def _blocks(docs: DataFrame, path: str, text: str, id_column: str, block_bytes:
 
 
 def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "text", id_column: str = "doc_id",
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per row: doc_id, n_tokens, n_order3, n_order2, n_order1 (tokens scored at each order), log_score (natural
     log, summed) and mean_log_score."""
     path = vocabulary or tokenizer_path(VOCABULARY)
-    blocks = _blocks(docs, path, text, id_column, block_bytes)
+    total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
+    blocks = _blocks(docs, path, text, id_column, max(1, -(-total // block_bytes)))
+    buckets = max(1, -(-total // bucket_bytes))
 
     def count(table: pa.Table) -> pa.Table:
         ids, place, _ = _ids(table.column("packed").to_pylist())
-        keys, counts = [np.array([ALL_TOKENS])], [np.array([len(ids)])]
-        for order in range(1, ORDER + 1):
-            k = keys_of(ids, place, order)
-            u, c = np.unique(k[k >= 0], return_counts=True)
-            keys.append(u)
-            counts.append(c)
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
-        return pa.table({"key": pa.array(keys, pa.int64()), "block": pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int32)),
-                         "n": pa.array(counts.astype(np.int64))})
-
-    grams = blocks.groupBy("block").applyInArrow(count, "key long, block int, n long")
+        keys, counts, bucket, starts = _counted(ids, place, buckets)
+        ends = np.append(starts[1:], len(keys))
+        return pa.table({
+            "bucket": pa.array(bucket), "block": pa.array(np.full(len(bucket), table.column("block")[0].as_py(), np.int32)),
+            "keys": pa.array([pack(np.diff(keys[i:j], prepend=0)) for i, j in zip(starts, ends, strict=True)], pa.binary()),
+            "counts": pa.array([pack(counts[i:j]) for i, j in zip(starts, ends, strict=True)], pa.binary())})
+
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grams = grams.repartition(parts, "key")
-    # both sides read all three columns, so that one exchange serves both
-    totals = (grams.groupBy("key").agg(F.sum("n").alias("total"), F.min("block").alias("lo"), F.max("block").alias("hi"))
-              .filter("lo < hi").select("key", "total"))
-    elsewhere = grams.join(totals, "key").filter(F.col("total") > F.coalesce("n", F.lit(0))).select("block", "key", "total")
+    grams = blocks.groupBy("block").applyInArrow(count, "bucket int, block int, keys binary, counts binary").repartition(parts, "bucket")
+
+    def look_up(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpack(k)) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([unpack(c) for c in table.column("counts").to_pylist()])
+        ends = np.cumsum([len(k) for k in keys])
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        elsewhere = np.bincount(at, counts).astype(np.int64)[at] - counts
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
+                         "elsewhere": pa.array([pack(e) for e in np.split(elsewhere, ends[:-1])], pa.binary())})
+
+    answers = grams.groupBy("bucket").applyInArrow(look_up, "block int, bucket int, elsewhere binary")
 
-    def score(docs_of: pa.Table, counts_of: pa.Table) -> pa.Table:
+    def score(docs_of: pa.Table, answers_of: pa.Table) -> pa.Table:
         if not docs_of.num_rows:
             return _scores([], [], [], [], [], [])
         ids, place, sizes = _ids(docs_of.column("packed").to_pylist())
-        keys, totals_of = counts_of.column("key").to_numpy(), counts_of.column("total").to_numpy()
+        keys, totals_of, bucket, _ = _counted(ids, place, buckets)
+        answers_of = answers_of.sort_by("bucket")
+        if not np.array_equal(answers_of.column("bucket").to_numpy(), bucket):
+            raise ValueError("a block's counts are not those of its documents")
+        totals_of = totals_of + np.concatenate([unpack(e) for e in answers_of.column("elsewhere").to_pylist()])
         order = np.argsort(keys)
         keys, totals_of = keys[order], totals_of[order]
-        n_all = int(totals_of[0]) if len(keys) and keys[0] == ALL_TOKENS else len(ids)
+        n_all = int(totals_of[0])
 
         def counted(order_of: int) -> np.ndarray:
             """Corpus counts of the n-grams of one order that end at each token; 0 for pruned ones."""
-            own, where, n = np.unique(keys_of(ids, place, order_of), return_inverse=True, return_counts=True)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-                n = np.where(keys[at] == own, totals_of[at], n)
+            own = keys_of(ids, place, order_of)
+            n = totals_of[np.searchsorted(keys, np.maximum(own, ALL_TOKENS))]
             least = 1 if order_of == 1 else LEAST_COUNT
-            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)[where]
+            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)
 
         # what a token costs for the orders above its own that fit in its document
         fits = np.minimum(place, ORDER - 1)
@@ -144,7 +182,7 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
         per_level = [np.bincount(doc, level == o, len(sizes)).astype(np.int64) for o in (3, 2, 1)]
         return _scores(docs_of.column("doc_id"), sizes, *per_level, total)
 
-    return blocks.groupBy("block").cogroup(elsewhere.groupBy("block")).applyInArrow(
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, "doc_id long, n_tokens long, n_order3 long, n_order2 long, n_order1 long, log_score double, mean_log_score double")
 
 

@@ -341,8 +341,8 @@ def test_backoff_scores_match_brute_force(docs, rows, none):
             return count[gram] / count[gram[:-1]]
         return 0.4 * one(gram[1:])
     want = sorted(((r[0], len(t), round(sum(math.log(one(tuple(t[max(0, i - 2):i + 1]))) for i in range(len(t))), 5)) for r, t in zip(rows, texts, strict=True)), key=repr)
-    for size in (lm_backoff.BLOCK_BYTES, 3000):
-        got = lm_backoff.backoff_scores(docs, block_bytes=size).collect()
+    for size, part in ((lm_backoff.BLOCK_BYTES, lm_backoff.BUCKET_BYTES), (3000, 1000)):
+        got = lm_backoff.backoff_scores(docs, block_bytes=size, bucket_bytes=part).collect()
         have = sorted(((r["doc_id"], r["n_tokens"], round(r["log_score"], 5)) for r in got), key=repr)
         assert [h[:2] for h in have] == [w[:2] for w in want]
         assert all(abs(h[2] - w[2]) < 1e-3 for h, w in zip(have, want, strict=True))
