@@ -80,20 +80,33 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
-def _counted(ids: np.ndarray, place: np.ndarray, buckets: int) -> tuple:
-    """A block's distinct keys and counts by hash partition, then key; the partitions that it has and where they begin."""
-    keys, counts = [np.array([ALL_TOKENS])], [np.array([len(ids)])]
-    for order in range(1, ORDER + 1):
-        k = keys_of(ids, place, order)
-        u, c = np.unique(k[k >= 0], return_counts=True)
-        keys.append(u)
-        counts.append(c)
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    bucket = (mix64(keys.astype(U64)) % U64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")          # keys ascend already: lower orders have lower keys
-    keys, counts, bucket = keys[order], counts[order], bucket[order]
-    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-    return keys, counts, bucket[starts], starts
+class Grams:
+    """A block's distinct n-grams: ``keys`` and ``counts``, ascending by key, and per order where its tokens' keys stand."""
+
+    def __init__(self, ids: np.ndarray, place: np.ndarray, buckets: int):
+        keys, counts, self.ends_at, self.rank = [np.array([ALL_TOKENS])], [np.array([len(ids)])], [], []
+        begin = 1
+        for order in range(1, ORDER + 1):
+            at = np.flatnonzero(place >= order - 1)
+            u, rank, c = np.unique(keys_of(ids, place, order)[at], return_inverse=True, return_counts=True)
+            keys.append(u)
+            counts.append(c)
+            self.ends_at.append(at)
+            self.rank.append(rank + begin)
+            begin += len(u)
+        self.keys, self.counts = np.concatenate(keys), np.concatenate(counts)
+        bucket = (mix64(self.keys.astype(U64)) % U64(buckets)).astype(np.int32)
+        #: the n-grams by hash partition, then key; the partitions held and where each one begins
+        self.dealt = np.argsort(bucket, kind="stable")
+        bucket = bucket[self.dealt]
+        self.starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        self.buckets = bucket[self.starts]
+
+    def at_tokens(self, values: np.ndarray, order: int, size: int) -> np.ndarray:
+        """Of ``values`` by key, the one of the n-gram that ends at each token; 0 where there is none."""
+        out = np.zeros(size)
+        out[self.ends_at[order - 1]] = values[self.rank[order - 1]]
+        return out
 
 
 def _blocks(docs: DataFrame, path: str, text: str, id_column: str, n: int) -> DataFrame:
@@ -125,12 +138,11 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
 
     def count(table: pa.Table) -> pa.Table:
         ids, place, _ = _ids(table.column("packed").to_pylist())
-        keys, counts, bucket, starts = _counted(ids, place, buckets)
-        ends = np.append(starts[1:], len(keys))
+        g = Grams(ids, place, buckets)
+        parts_of = [(pack(np.diff(g.keys[at], prepend=0)), pack(g.counts[at])) for at in np.split(g.dealt, g.starts[1:])]
         return pa.table({
-            "bucket": pa.array(bucket), "block": pa.array(np.full(len(bucket), table.column("block")[0].as_py(), np.int32)),
-            "keys": pa.array([pack(np.diff(keys[i:j], prepend=0)) for i, j in zip(starts, ends, strict=True)], pa.binary()),
-            "counts": pa.array([pack(counts[i:j]) for i, j in zip(starts, ends, strict=True)], pa.binary())})
+            "bucket": pa.array(g.buckets), "block": pa.array(np.full(len(g.buckets), table.column("block")[0].as_py(), np.int32)),
+            "keys": pa.array([k for k, _ in parts_of], pa.binary()), "counts": pa.array([c for _, c in parts_of], pa.binary())})
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grams = blocks.groupBy("block").applyInArrow(count, "bucket int, block int, keys binary, counts binary").repartition(parts, "bucket")
@@ -150,29 +162,22 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
         if not docs_of.num_rows:
             return _scores([], [], [], [], [], [])
         ids, place, sizes = _ids(docs_of.column("packed").to_pylist())
-        keys, totals_of, bucket, _ = _counted(ids, place, buckets)
+        g = Grams(ids, place, buckets)
         answers_of = answers_of.sort_by("bucket")
-        if not np.array_equal(answers_of.column("bucket").to_numpy(), bucket):
+        if not np.array_equal(answers_of.column("bucket").to_numpy(), g.buckets):
             raise ValueError("a block's counts are not those of its documents")
-        totals_of = totals_of + np.concatenate([unpack(e) for e in answers_of.column("elsewhere").to_pylist()])
-        order = np.argsort(keys)
-        keys, totals_of = keys[order], totals_of[order]
-        n_all = int(totals_of[0])
-
-        def counted(order_of: int) -> np.ndarray:
-            """Corpus counts of the n-grams of one order that end at each token; 0 for pruned ones."""
-            own = keys_of(ids, place, order_of)
-            n = totals_of[np.searchsorted(keys, np.maximum(own, ALL_TOKENS))]
-            least = 1 if order_of == 1 else LEAST_COUNT
-            return np.where((own >= 0) & (n >= least), n, 0).astype(np.float64)
+        totals = g.counts.copy()
+        totals[g.dealt] += np.concatenate([unpack(e) for e in answers_of.column("elsewhere").to_pylist()])
+        n_all = int(totals[0])
+        pruned = np.where((g.keys >> ORDER_AT < 2) | (totals >= LEAST_COUNT), totals, 0)
 
         # what a token costs for the orders above its own that fit in its document
         fits = np.minimum(place, ORDER - 1)
-        history = counted(1)
+        history = g.at_tokens(pruned, 1, len(ids))
         value = np.log(history / max(n_all, 1)) + fits * np.log(BACKOFF)
         level = np.ones(len(ids), np.int8)
         for o in range(2, ORDER + 1):
-            here = counted(o)
+            here = g.at_tokens(pruned, o, len(ids))
             seen = np.flatnonzero(here > 0)
             value[seen] = np.log(here[seen] / history[seen - 1]) + (fits[seen] - (o - 1)) * np.log(BACKOFF)
             level[seen] = o
