@@ -39,7 +39,7 @@ VOCABULARY = "word_bpe_49k.json"
 ORDER = 3
 BACKOFF = 0.4
 LEAST_COUNT = 2
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_BYTES = 4 << 20
 # An n-gram's key: its ids in 16-bit fields, the order above them.
 SHIFT, ORDER_AT = 16, 48
@@ -84,15 +84,13 @@ class Grams:
     """A block's distinct n-grams: ``keys`` and ``counts``, ascending by key, and per order where its tokens' keys stand."""
 
     def __init__(self, ids: np.ndarray, place: np.ndarray, buckets: int):
-        keys, counts, self.ends_at, self.rank = [np.array([ALL_TOKENS])], [np.array([len(ids)])], [], []
+        keys, counts, self.place, self.rank = [np.array([ALL_TOKENS])], [np.array([len(ids)])], place, []
         begin = 1
         for order in range(1, ORDER + 1):
-            at = np.flatnonzero(place >= order - 1)
-            u, rank, c = np.unique(keys_of(ids, place, order)[at], return_inverse=True, return_counts=True)
+            u, rank, c = np.unique(keys_of(ids, place, order)[place >= order - 1], return_inverse=True, return_counts=True)
             keys.append(u)
             counts.append(c)
-            self.ends_at.append(at)
-            self.rank.append(rank + begin)
+            self.rank.append(rank.astype(np.int32) + np.int32(begin))
             begin += len(u)
         self.keys, self.counts = np.concatenate(keys), np.concatenate(counts)
         bucket = (mix64(self.keys.astype(U64)) % U64(buckets)).astype(np.int32)
@@ -102,10 +100,10 @@ class Grams:
         self.starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         self.buckets = bucket[self.starts]
 
-    def at_tokens(self, values: np.ndarray, order: int, size: int) -> np.ndarray:
+    def at_tokens(self, values: np.ndarray, order: int) -> np.ndarray:
         """Of ``values`` by key, the one of the n-gram that ends at each token; 0 where there is none."""
-        out = np.zeros(size)
-        out[self.ends_at[order - 1]] = values[self.rank[order - 1]]
+        out = np.zeros(len(self.place))
+        out[self.place >= order - 1] = values[self.rank[order - 1]]
         return out
 
 
@@ -173,11 +171,11 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
 
         # what a token costs for the orders above its own that fit in its document
         fits = np.minimum(place, ORDER - 1)
-        history = g.at_tokens(pruned, 1, len(ids))
+        history = g.at_tokens(pruned, 1)
         value = np.log(history / max(n_all, 1)) + fits * np.log(BACKOFF)
         level = np.ones(len(ids), np.int8)
         for o in range(2, ORDER + 1):
-            here = g.at_tokens(pruned, o, len(ids))
+            here = g.at_tokens(pruned, o)
             seen = np.flatnonzero(here > 0)
             value[seen] = np.log(here[seen] / history[seen - 1]) + (fits[seen] - (o - 1)) * np.log(BACKOFF)
             level[seen] = o
