@@ -2,6 +2,7 @@
 
 import os
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -21,6 +22,35 @@ def test_feature_table_roundtrip(spark, tmp_out):
     assert back.exceptAll(feat.select(back.columns)).count() == 0
 
 
+def test_write_features_spreads_a_hot_station(spark, tmp_out):
+    """One station with 98 % of the rows: files of about equal size, sorted inside."""
+    n = 40_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 50 == 0, "Rare").otherwise("Hot").alias("region"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.col("id") * 7919, F.lit(n)) * 3600).cast("timestamp_ntz").alias("datetime"),
+        F.col("id").cast("double").alias("temperature"))
+    path = os.path.join(tmp_out, "hot")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        SK.write_features(rows, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    by_task: dict = {}
+    for year in os.listdir(path):
+        if not year.startswith("year="):
+            continue
+        for name in os.listdir(os.path.join(path, year)):
+            if name.endswith(".parquet"):
+                t = pq.read_table(os.path.join(path, year, name), columns=["region", "datetime"], partitioning=None)
+                got = list(zip(t["region"].to_pylist(), t["datetime"].to_pylist(), strict=True))
+                assert got == sorted(got)
+                task = name.split("-")[1]
+                by_task[task] = by_task.get(task, 0) + len(got)
+    assert sum(by_task.values()) == n
+    assert len(by_task) == 4 and max(by_task.values()) < 0.4 * n
+
+
 def test_csv_master_scan_and_schema(spark, tmp_out):
     h = TB.hourly_from_events(spark, SF_SMALL)
     full = h.select(*[F.col(c) if c in h.columns else F.lit(None).cast("double").alias(c)
