@@ -349,6 +349,16 @@ def test_backoff_scores_match_brute_force(docs, rows, none):
     assert lm_backoff.backoff_scores(none).count() == 0
 
 
+def test_backoff_of_tables_without_tokens_and_of_repeated_rows(spark):
+    bare = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (None, None, None)], "doc_id long, text string, block string")
+    assert sorted(tuple(r) for r in lm_backoff.backoff_scores(bare.dropna(subset=["doc_id"])).collect()) == [
+        (i, 0, 0, 0, 0, 0.0, None) for i in (1, 2)]
+    assert [r["n_tokens"] for r in lm_backoff.backoff_scores(bare).collect()] == [0, 0, 0]
+    twice = spark.createDataFrame([(1, "word", "x"), (1, "word", "x"), (2, None, "y")], "doc_id long, text string, keys string")
+    got = lm_backoff.backoff_scores(twice, block_bytes=1, bucket_bytes=1).collect()
+    assert sorted((r["doc_id"], r["n_tokens"], r["log_score"]) for r in got) == [(1, 1, 0.0), (1, 1, 0.0), (2, 0, 0.0)]
+
+
 # --- 9 Jaccard join
 
 def brute_components(rows, k, percent):
