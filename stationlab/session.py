@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock (all timestamps are
 # TIMESTAMP_NTZ, but date functions still consult the session zone), AQE for
@@ -67,10 +68,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+def existing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None before its first write; any other read failure is raised."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def materialize(df):

@@ -66,7 +66,7 @@ def test_latest_snapshot_over_several_batches(spark, tmp_out):
     obs = SJ.observations_stream(spark, land, S.OBSERVATION, max_files=1)
     root = os.path.join(tmp_out, uuid.uuid4().hex)
     SJ.run_latest_snapshot(obs, f"{root}/snap", f"{root}/_ckpt").awaitTermination()
-    got = spark.read.parquet(f"{root}/snap").drop("_batch")
+    got = SJ.read_snapshot(spark, f"{root}/snap")
     want = RP.latest_per_region(spark.read.schema(S.OBSERVATION).json(land), order="timestamp")
     assert _sorted(got) == _sorted(want.select(got.columns))
 
@@ -267,3 +267,50 @@ def test_streaming_reads_prune_day_partitions(spark, tmp_out):
     scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
     assert "PartitionFilters: [isnotnull(_day" in scan and "(_day" in scan and ">= 2024-01-03" in scan, scan
     assert recent.count() == 48
+
+
+def test_upsert_keeps_rows_without_a_day(spark, tmp_out):
+    import datetime as dt
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    sch = "datetime timestamp_ntz, region string, temperature double"
+    up = SJ.upsert_batch(f"{root}/m", ["datetime", "region"], [], SJ.day_of("datetime"))
+    t = dt.datetime(2024, 1, 1)
+    up(spark.createDataFrame([(None, "A", 1.0), (t, "A", 2.0)], sch), 0)
+    up(spark.createDataFrame([(None, "B", 3.0), (t, "B", 4.0)], sch), 1)
+    up(spark.createDataFrame([(None, "A", 5.0)], sch), 2)           # a NULL key is replaced like any other
+    got = sorted((r.region, r.temperature) for r in SJ.read_master(spark, f"{root}/m").collect())
+    assert got == [("A", 2.0), ("A", 5.0), ("B", 3.0), ("B", 4.0)]
+
+
+def test_feature_sink_keeps_a_batch_without_times(spark, tmp_out):
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    write = SJ.features_batch(f"{root}/m", f"{root}/f")
+    write(spark.createDataFrame([(None, "A", 1.0, 1.0, 1.0, 1.0, 1.0)], _SCH), 0)
+    assert SJ.read_master(spark, f"{root}/m").count() == 1
+
+
+def test_snapshot_survives_a_write_cut_short(spark, tmp_out):
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    sink = SJ.snapshot_sink(f"{root}/snap")
+    sch = "region string, timestamp string, temperature_2m double"
+    assert SJ.read_snapshot(spark, f"{root}/snap") is None
+
+    def rows():
+        return sorted(tuple(r) for r in SJ.read_snapshot(spark, f"{root}/snap").collect())
+    one = [("A", "1", 1.0), ("B", "1", 2.0)]
+    sink(spark.createDataFrame(one, sch), 0)
+    assert rows() == one
+    batch = spark.createDataFrame([("A", "2", 3.0)], sch)
+    sink(batch, 1)
+    want = [("A", "2", 3.0), ("B", "1", 2.0)]
+    assert rows() == want
+    # the write of batch 1 cut short: some of its rows are there, or none
+    part = spark.read.parquet(f"{root}/snap/slot1").where("region = 'A'").collect()
+    schema = spark.read.parquet(f"{root}/snap/slot1").schema
+    spark.createDataFrame(part, schema).write.mode("overwrite").parquet(f"{root}/snap/slot1")
+    assert rows() == one
+    sink(batch, 1)                                   # replayed: the same snapshot
+    assert rows() == want
+    sink(spark.createDataFrame([("C", "3", 4.0)], sch), 2)
+    sink(spark.createDataFrame([("C", "3", 4.0)], sch), 2)
+    assert rows() == want + [("C", "3", 4.0)]
