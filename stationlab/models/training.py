@@ -41,7 +41,7 @@ def day_fold(df: DataFrame, day: str, ts: str = "datetime"):
 
 # --------------------------------------------------------------------------- hold-out evaluation
 def fit_models(train: DataFrame, feature_cols: list[str], gbt_params: dict | None = None,
-               hidden=(128, 64, 32), mlp_iter: int = 200, mlp_lr: float = 1e-3, forest: bool = True):
+               hidden=(128, 64, 32), mlp_iter: int = 500, mlp_lr: float = 1e-3, forest: bool = True):
     """Fit scaler + network, boosted trees and (optionally) the forest on ``train``."""
     tr = ES.training_frame(ES.assemble(train, feature_cols))
     sc = ES.scaler(tr)
@@ -147,12 +147,14 @@ def score_requests(requests: DataFrame, features: DataFrame, models: dict, featu
 
 # --------------------------------------------------------------------------- M11
 def backtest(features: DataFrame, days: list[str], feature_cols: list[str], gbt_params: dict | None = None,
-             hidden=(150,), mlp_iter: int = 30, every: int = 1, sink=None) -> DataFrame | None:
+             hidden=(150,), mlp_iter: int = 500, every: int = 1, sink=None,
+             save_to: str | None = None) -> DataFrame | None:
     """Expanding-window daily backtest -> (date, xgb_mae, nn_mae).
 
     For each day (every ``every``-th): train on all rows before it, test on
     that day; an empty side skips the day.  ``sink(row_df)`` is called after
     each day (e.g. ``sinks.append_drift``) so a crash loses at most one day.
+    ``save_to`` keeps the latest day's models there, for scoring from disk.
     """
     spark = features.sparkSession
     out = []
@@ -165,6 +167,8 @@ def backtest(features: DataFrame, days: list[str], feature_cols: list[str], gbt_
         m = evaluate(test, models, feature_cols, day)
         row = m.groupBy().pivot("model", ["xgb", "nn"]).agg(F.first("mae")) \
                .select(F.lit(day).alias("date"), F.col("xgb").alias("xgb_mae"), F.col("nn").alias("nn_mae"))
+        if save_to is not None:
+            ES.save_models(spark, models, save_to, {"day": day, "features": feature_cols})
         if sink is not None:
             sink(row)
         out.append(row)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..models import training as TR
 from ..operators import features as FE
 from ..plans.fetch_plan import day_plan
+from ..session import existing
 from ..sources import sinks as SK
 from . import jobs as SJ
 
@@ -24,11 +25,9 @@ DEFAULT_LAST = "2024-12-31"
 
 def last_processed(spark: SparkSession, drift_path: str, default: str = DEFAULT_LAST) -> str:
     """Latest drift date, or ``default`` when the table is absent or empty."""
-    try:
-        v = SK.read_drift(spark, drift_path).agg(F.max("date")).first()[0]
-    except Exception:  # noqa: BLE001 - absent table
-        v = None
-    return v or default
+    if existing(spark, drift_path) is None:
+        return default
+    return SK.read_drift(spark, drift_path).agg(F.max("date")).first()[0] or default
 
 
 def pending_days(spark: SparkSession, last: str, today: str) -> list[str]:
@@ -39,13 +38,15 @@ def pending_days(spark: SparkSession, last: str, today: str) -> list[str]:
 
 
 def catch_up(spark: SparkSession, landing: str, schema: T.StructType, root: str, today: str,
-             drift_path: str, gbt_params: dict | None = None, hidden=(150,), mlp_iter: int = 30,
+             drift_path: str, gbt_params: dict | None = None, hidden=(150,), mlp_iter: int = 500,
              every: int = 1, fmt: str = "parquet", default_last: str = DEFAULT_LAST,
              as_of: str | None = None) -> list[str]:
     """Run one catch-up; returns the days evaluated.
 
     ``as_of``: rows after it (forecast hours a provider returns with the
-    observations) are not stored (D5).
+    observations) are not stored (D5).  Without ``gbt_params`` the tuned parameters
+    of ``root``/params are used (S9), if there are any; the latest day's models are
+    kept in ``root``/models, for scoring from disk.
     """
     rows = spark.readStream.schema(schema).format(fmt).load(landing)
     if as_of is not None:
@@ -61,5 +62,6 @@ def catch_up(spark: SparkSession, landing: str, schema: T.StructType, root: str,
     def sink(row):
         SK.append_drift(row, drift_path)
         done.append(row.first().date)
-    TR.backtest(feats, days, cols, gbt_params, hidden, mlp_iter, every, sink=sink)
+    params = SK.read_params(spark, f"{root}/params") if gbt_params is None else gbt_params
+    TR.backtest(feats, days, cols, params, hidden, mlp_iter, every, sink=sink, save_to=f"{root}/models")
     return done
