@@ -152,10 +152,8 @@ def q_calendar(spark, sf_dir):
 @register("split_by_year")
 def q_split(spark, sf_dir):
     """Train <= 1998, test >= 1999 over the orders years."""
-    d = TB.daily_from_orders(spark, sf_dir)
-    y = F.year("datetime")
-    split = F.when(y <= ORDERS_TRAIN_END, "train").when(y >= ORDERS_TEST_START, "test")
-    return (d.withColumn("split", split).where(F.col("split").isNotNull())
+    train, test = TR.split_by_year(TB.daily_from_orders(spark, sf_dir), ORDERS_TRAIN_END, ORDERS_TEST_START)
+    return (train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
             .groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("datetime").alias("first_datetime"),
                                   F.max("datetime").alias("last_datetime")))
 
@@ -164,10 +162,8 @@ def q_split(spark, sf_dir):
 def q_day_fold(spark, sf_dir):
     """P10: train strictly before day D, test in [D, D + 1)."""
     h = TB.hourly_from_events(spark, sf_dir)
-    d = F.lit(FOLD_DAY).cast("timestamp_ntz")
-    fold = (F.when(F.col("datetime") < d, "train")
-            .when((F.col("datetime") >= d) & (F.col("datetime") < d + F.expr("INTERVAL 1 DAY")), "test"))
-    return (h.withColumn("fold", fold).where(F.col("fold").isNotNull())
+    train, test = TR.day_fold(h, FOLD_DAY)
+    return (train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
             .groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -568,7 +564,7 @@ def grid_results(spark, sf_dir):
 @register("leaderboard")
 def q_leaderboard(spark, sf_dir):
     """Grid ordered by MAE, flag vs the persistence (k=1) MAE."""
-    res = grid_results(spark, sf_dir)
+    res = materialize(grid_results(spark, sf_dir))      # one row per config
     base = res.where(F.col("name") == "mean1").first().mae       # one number
     lb = RP.leaderboard(res, float(base))
     return present(lb.select("name", "mae", "rmse", "r2", "flag", "rank"), ["mae", "rmse", "r2"])
@@ -595,13 +591,14 @@ def q_summary(spark, sf_dir):
 import tempfile  # noqa: E402
 import uuid  # noqa: E402
 
-from .session import checkpoint_dir  # noqa: E402
+from .session import checkpoint_dir, materialize  # noqa: E402
 from .streaming import jobs as SJ  # noqa: E402
 
 
 def _scratch(spark, name):
     """Fresh folder under the shared checkpoint folder (set here only if unset)."""
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="stationlab-", dir="/tmp"))
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="stationlab-", dir="/tmp") if unset else None)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -613,7 +610,7 @@ def q_stream_latest(spark, sf_dir):
         F.col("event_type").alias("region"), F.col("ts").alias("timestamp"),
         F.col("value").alias("temperature_2m"))
     SJ.run_latest_snapshot(obs, f"{root}/snapshot", f"{root}/_checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/snapshot").drop("_batch")
+    return SJ.read_snapshot(spark, f"{root}/snapshot")
 
 
 @register("stream_upsert")
@@ -705,6 +702,19 @@ def q_score(spark, sf_dir):
     return TR.score_requests(req, feat, models, cols)
 
 
+@register("score_requests_saved")
+def q_score_saved(spark, sf_dir):
+    """As ``score_requests``, from models saved to the shared folder and loaded again."""
+    root = _scratch(spark, "models")
+    train, _, cols = _holdout(spark, sf_dir)
+    ES.save_models(spark, TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=20, mlp_lr=1e-2,
+                                        forest=False), root, {"features": cols})
+    models = ES.load_models(spark, root, {"features": cols})
+    req = PY.read_requests(TB.request_payloads(spark, sf_dir))
+    feat, _ = _ml_frame(spark, sf_dir)
+    return TR.score_requests(req, feat, models, cols)
+
+
 @register("backtest")
 def q_backtest(spark, sf_dir):
     """Expanding-window daily backtest over the last three days."""
@@ -739,7 +749,7 @@ def q_attribution(spark, sf_dir):
     """Sampled-Shapley mean |contribution| per feature of the boosted trees."""
     train, test, cols = _holdout(spark, sf_dir)
     m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
-    return TR.attribution(m, test, cols, n=500, permutations=4)
+    return TR.attribution(m, train.unionByName(test), cols, n=500, permutations=4)
 
 
 # ------------------------------------------------------------------ sources / sinks round trips (scratch folder)

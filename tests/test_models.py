@@ -45,14 +45,18 @@ def test_load_or_fit_reuses_matching_signature(spark, tmp_out):
 
     def fit():
         calls.append(1)
-        return ES.fit_gbt(df, "temperature", {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3})
+        return {"xgb": ES.fit_gbt(df, "temperature", {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3})}
     path = os.path.join(tmp_out, "model")
     sig = {"features": ["a", "b"], "params": [3, 2, 0.3]}
-    ES.load_or_fit(path, sig, fit)
-    ES.load_or_fit(path, sig, fit)
+    ES.load_or_fit(spark, path, sig, fit)
+    ES.load_or_fit(spark, path, sig, fit)
     assert len(calls) == 1
-    ES.load_or_fit(path, {**sig, "features": ["a"]}, fit)
+    ES.load_or_fit(spark, path, {**sig, "features": ["a"]}, fit)
     assert len(calls) == 2
+    ES.load_or_fit(spark, path, {**sig, "features": ["a"]}, fit, force=True)
+    assert len(calls) == 3
+    ES._write_signature(spark, f"{path}/signature", {}, sig)       # a save cut short
+    assert ES.load_models(spark, path) is None
 
 
 def test_ensure_skips_existing(spark, tmp_out):
@@ -69,7 +73,14 @@ def test_ensure_skips_existing(spark, tmp_out):
     assert len(n) == 2
 
 
-def test_score_requests_and_fallback(spark):
+def test_ensure_recomputes_under_another_signature(spark, tmp_out):
+    path = os.path.join(tmp_out, "stage")
+    for sig, rows in (({"p": 1}, 3), ({"p": 1}, 4), ({"p": 2}, 5)):
+        n = ES.ensure(spark, path, lambda rows=rows: spark.range(rows), signature=sig).count()
+        assert n == (3 if sig["p"] == 1 else 5)
+
+
+def test_score_requests_and_fallback(spark, tmp_out):
     from stationlab.operators import features as FE
     feat = FE.feature_table(TB.hourly_from_events(spark, SF_SMALL))
     cols = FE.feature_columns(feat)
@@ -78,6 +89,12 @@ def test_score_requests_and_fallback(spark):
     req = spark.createDataFrame([("view", "2024-02-01"), ("Nowhere", "2024-02-01")], "region string, date string")
     out = TR.score_requests(req, feat, models, cols).collect()
     assert [r.region for r in out] == ["view"]
+    path = os.path.join(tmp_out, "models")
+    assert ES.load_models(spark, path) is None
+    ES.save_models(spark, models, path, {"features": cols})
+    assert ES.load_models(spark, path, {"features": cols[1:]}) is None
+    saved = ES.load_models(spark, path, {"features": cols})
+    assert TR.score_requests(req, feat, saved, cols).collect() == out
     no_tree = {k: v for k, v in models.items() if k != "xgb"}
     out = TR.score_requests(req, feat, no_tree, cols).collect()
     assert out[0].xgb_pred == out[0].nn_pred
@@ -106,13 +123,23 @@ def test_batch_run_writes_every_stage_and_skips_on_rerun(spark, tmp_out):
     out = os.path.join(tmp_out, "batch")
     res = run_batch(spark, master, out, split_at="2024-01-25",
                     gbt_params={"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3},
-                    hidden=(8,), mlp_iter=3, shap_rows=20)
-    assert res["metrics"].count() == 3
+                    hidden=(8,), mlp_iter=3, shap_rows=20, n_candidates=2,
+                    space={"n_estimators": [2, 4], "max_depth": [2], "learning_rate": [0.3]})
+    assert res["metrics"].count() == 3 and res["metrics_optimized"].count() == 3
+    assert {r.stage for r in res["metrics_optimized"].collect()} == {"optimized"}
+    first = {r.model: r.mae for r in res["metrics"].collect()}
     assert res["predictions"].count() > 0
     assert 0.0 <= res["season_accuracy"].first().accuracy <= 1.0
     for sub in ("null_counts", "corr", "features", "metrics", "predictions", "anomaly_counts", "summary", "kpis",
                 "webdata/kpis"):
         assert os.path.isdir(os.path.join(out, sub)), sub
+    # other parameters: models and metrics are made anew, and the metrics are those of the predictions
+    res = run_batch(spark, master, out, split_at="2024-01-25", hidden=(8,), mlp_iter=3, shap_rows=20,
+                    gbt_params={"n_estimators": 1, "max_depth": 1, "learning_rate": 0.3}, n_candidates=0)
+    again = {r.model: r.mae for r in res["metrics"].collect()}
+    assert again["xgb"] != first["xgb"]
+    mae = res["predictions"].agg(F.avg(F.abs(F.col("temperature_actual") - F.col("temperature_xgb_pred")))).first()[0]
+    assert abs(mae - again["xgb"]) < 1e-4            # predictions are stored as 32-bit floats
     mtime = os.path.getmtime(os.path.join(out, "null_counts"))
     run_batch(spark, master, out, split_at="2099-01-01")      # empty test side: stops after features
     assert os.path.getmtime(os.path.join(out, "null_counts")) == mtime
