@@ -126,6 +126,20 @@ def test_fertility_stage_keeps_columns(docs, none):
     assert quality_rules.keep_fertile(none).count() == 0 and quality_rules.fertility_rules(none).count() == 0
 
 
+def test_symbol_debris_is_rejected_and_a_key_in_a_short_text_is_not(spark):
+    rng, debris = np.random.default_rng(7), ("%%%", "&&&", "$$$", "***", "###")
+    parts = "the and ing tion er on re ha nd st ed th at es or ti en of in ea sh ou le wh bl an he ly".split()
+    plain = ["".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(400)]
+    key = 'token = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"'
+    texts = [" ".join(plain), " ".join(w + debris[i % 5] for i, w in enumerate(plain)), " ".join([*plain[:30], key, *plain[30:60]])]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["kept"] for r in quality_rules.fertility_rules(docs).collect()} == {0: True, 1: False, 2: True}
+    for b in quality_rules.BANDS.values():
+        least = [quality_rules.least_chars(b[0], n) for n in (50, 200, 1000, 10 ** 6)]
+        low = [quality_rules.least_entropy(b[3], n) for n in (50, 200, 1000, 10 ** 6)]
+        assert least == sorted(least) and low == sorted(low)
+
+
 # --- 2 decontamination
 
 def brute_windows(text, items):
