@@ -94,6 +94,33 @@ def tune(train: DataFrame, feature_cols: list[str], n_candidates: int = 5, folds
 
 
 # --------------------------------------------------------------------------- M7 + T3
+TREE_CONFIGS = [
+    {"name": "XGB-A", "params": {"n_estimators": 200, "max_depth": 10, "learning_rate": 0.1}},
+    {"name": "XGB-B", "params": {"n_estimators": 300, "max_depth": 12, "learning_rate": 0.05}},
+    {"name": "XGB-C", "params": {"n_estimators": 500, "max_depth": 10, "learning_rate": 0.05}},
+    {"name": "XGB-D", "params": {"n_estimators": 300, "max_depth": 8, "learning_rate": 0.1, "subsample": 0.8,
+                                 "colsample_bytree": 0.8}},
+    {"name": "XGB-E", "params": {"n_estimators": 500, "max_depth": 12, "learning_rate": 0.03, "subsample": 0.9,
+                                 "colsample_bytree": 0.9}},
+    {"name": "XGB-F", "params": {"n_estimators": 400, "max_depth": 14, "learning_rate": 0.05, "min_child_weight": 3}},
+    {"name": "XGB-G", "params": {"n_estimators": 600, "max_depth": 10, "learning_rate": 0.05, "subsample": 0.85,
+                                 "reg_alpha": 0.1, "reg_lambda": 1.0}},
+]
+NETWORK_CONFIGS = [
+    {"name": name, "hidden": hidden, "alpha": alpha, "lr": lr, "iter": epochs}
+    for name, hidden, alpha, lr, epochs in (
+        ("NN-01 (current)", (150,), 1e-3, 1e-3, 500), ("NN-02 (proven)", (128, 64, 32), 1e-3, 1e-3, 500),
+        ("NN-03 wide", (256,), 1e-4, 1e-3, 500), ("NN-04 pyramid", (256, 128, 64), 1e-4, 1e-3, 500),
+        ("NN-05 deep", (256, 128, 64, 32), 1e-4, 1e-3, 600), ("NN-06 very-deep", (512, 256, 128, 64), 1e-4, 5e-4, 600),
+        ("NN-07 wide2", (512, 256), 1e-4, 1e-3, 500), ("NN-08 wide3", (256, 256), 1e-4, 1e-3, 500),
+        ("NN-09 lo-reg", (256, 128, 64), 1e-5, 1e-3, 600), ("NN-10 hi-reg", (256, 128, 64), 1e-2, 1e-3, 500),
+        ("NN-11 fast-lr", (256, 128, 64), 1e-4, 5e-3, 400), ("NN-12 slow-lr", (256, 128, 64), 1e-4, 5e-4, 800),
+        ("NN-13 compact", (128, 64), 1e-4, 1e-3, 500), ("NN-14 mid", (200, 100, 50), 1e-4, 1e-3, 500),
+        ("NN-15 beast", (512, 256, 128), 5e-5, 1e-3, 700))
+]
+GRID_CONFIGS = TREE_CONFIGS + NETWORK_CONFIGS
+
+
 def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: list[str],
          configs: list[dict], baseline_mae: float) -> DataFrame:
     """Fit every config on ``train``, score on the fixed ``test`` hold-out, rank.

@@ -649,7 +649,6 @@ def q_stream_features(spark, sf_dir):
 from .models import estimators as ES  # noqa: E402
 from .models import training as TR  # noqa: E402
 
-SMALL_GBT = {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1}
 SPLIT_DAY = "2024-01-20"
 
 
@@ -668,7 +667,7 @@ def _holdout(spark, sf_dir):
 def q_ml_holdout(spark, sf_dir):
     """Scaler + network, boosted trees, forest; metrics on the hold-out days."""
     train, test, cols = _holdout(spark, sf_dir)
-    models = TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=30, mlp_lr=1e-2)
+    models = TR.fit_models(train, cols)
     return TR.evaluate(test, models, cols, "base")
 
 
@@ -688,7 +687,7 @@ def q_season(spark, sf_dir):
 def q_importances(spark, sf_dir):
     """Top-15 feature importances of the boosted trees."""
     train, _, cols = _holdout(spark, sf_dir)
-    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
+    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature")
     return ES.top_importance(spark, m, cols, 15)
 
 
@@ -696,7 +695,7 @@ def q_importances(spark, sf_dir):
 def q_score(spark, sf_dir):
     """Request batch -> latest row of the region -> both models, 2 dp."""
     train, _, cols = _holdout(spark, sf_dir)
-    models = TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=20, mlp_lr=1e-2, forest=False)
+    models = TR.fit_models(train, cols, forest=False)
     req = PY.read_requests(TB.request_payloads(spark, sf_dir))
     feat, _ = _ml_frame(spark, sf_dir)
     return TR.score_requests(req, feat, models, cols)
@@ -707,8 +706,7 @@ def q_score_saved(spark, sf_dir):
     """As ``score_requests``, from models saved to the shared folder and loaded again."""
     root = _scratch(spark, "models")
     train, _, cols = _holdout(spark, sf_dir)
-    ES.save_models(spark, TR.fit_models(train, cols, SMALL_GBT, hidden=(32, 16), mlp_iter=20, mlp_lr=1e-2,
-                                        forest=False), root, {"features": cols})
+    ES.save_models(spark, TR.fit_models(train, cols, forest=False), root, {"features": cols})
     models = ES.load_models(spark, root, {"features": cols})
     req = PY.read_requests(TB.request_payloads(spark, sf_dir))
     feat, _ = _ml_frame(spark, sf_dir)
@@ -717,39 +715,33 @@ def q_score_saved(spark, sf_dir):
 
 @register("backtest")
 def q_backtest(spark, sf_dir):
-    """Expanding-window daily backtest over the last three days."""
+    """Expanding-window daily backtest over every day of the table after the first."""
     feat, cols = _ml_frame(spark, sf_dir)
-    last = feat.agg(F.to_date(F.max("datetime")).alias("d")).first().d
-    import datetime as _dt
-    days = [str(last - _dt.timedelta(days=i)) for i in (2, 1, 0)]
-    return TR.backtest(feat, days, cols, SMALL_GBT, hidden=(32,), mlp_iter=15)
+    span = feat.agg(F.to_date(F.min("datetime")).alias("a"), F.date_add(F.to_date(F.max("datetime")), 1).alias("b"))
+    days = [str(d) for d in span.select(PL.day_plan(F.col("a"), F.col("b")).alias("d")).first().d or []]
+    return TR.backtest(feat, days, cols)
 
 
 @register("tuning")
 def q_tuning(spark, sf_dir):
-    """M6: random search with 3-fold CV (small search space for the check)."""
+    """M6: random search, 5 of the 12 points with 3-fold CV."""
     train, _, cols = _holdout(spark, sf_dir)
-    space = {"n_estimators": [10, 20], "max_depth": [3, 5], "learning_rate": [0.1, 0.3]}
-    best = TR.tune(train, cols, n_candidates=2, folds=3, space=space)
-    return spark.createDataFrame([best])
+    return spark.createDataFrame([TR.tune(train, cols)])
 
 
 @register("grid_leaderboard")
 def q_grid(spark, sf_dir):
-    """M7 + T3: tree and network configs on a fixed hold-out, ranked by MAE."""
+    """M7 + T3: the 7 tree and 15 network configs on a fixed hold-out, ranked by MAE."""
     train, test, cols = _holdout(spark, sf_dir)
-    configs = [{"name": "GBT-A", "params": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3}},
-               {"name": "GBT-B", "params": {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.1}},
-               {"name": "NN-A", "hidden": (32,), "iter": 20}]
-    return TR.grid(spark, train, test, cols, configs, baseline_mae=1.0)
+    return TR.grid(spark, train, test, cols, TR.GRID_CONFIGS, baseline_mae=1.0)
 
 
 @register("attribution")
 def q_attribution(spark, sf_dir):
     """Sampled-Shapley mean |contribution| per feature of the boosted trees."""
     train, test, cols = _holdout(spark, sf_dir)
-    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature", SMALL_GBT)
-    return TR.attribution(m, train.unionByName(test), cols, n=500, permutations=4)
+    m = ES.fit_gbt(ES.training_frame(ES.assemble(train, cols)), "temperature")
+    return TR.attribution(m, train.unionByName(test), cols, n=500)
 
 
 # ------------------------------------------------------------------ sources / sinks round trips (scratch folder)

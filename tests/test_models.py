@@ -109,6 +109,34 @@ def test_backtest_skips_empty_days(spark):
     assert [r.date for r in res.collect()] == ["2024-01-29"]
 
 
+def test_model_queries_run_the_whole_job(spark, monkeypatch):
+    from stationlab.operators import features as FE
+    from stationlab.registry import QUERIES
+    asked = {}
+
+    def note(name):
+        def call(*args, **kwargs):
+            asked[name] = (args, kwargs)
+            return {"cv_mae": 0.0} if name == "tune" else spark.range(1)
+        return call
+    for name in ("backtest", "tune", "grid", "fit_models", "evaluate"):
+        monkeypatch.setattr(TR, name, note(name))
+    monkeypatch.setattr(ES, "fit_gbt", note("fit_gbt"))
+    monkeypatch.setattr(ES, "top_importance", note("top"))
+    for name in ("backtest", "tuning", "grid_leaderboard", "ml_holdout_metrics", "importances"):
+        QUERIES[name](spark, SF_SMALL)
+    feat = FE.feature_table(TB.hourly_from_events(spark, SF_SMALL))
+    days = {str(r.d) for r in feat.select(F.to_date("datetime").alias("d")).distinct().collect()}
+    assert len(days) > 20
+    (_, planned, *rest), kwargs = asked["backtest"]
+    assert planned == sorted(days)[1:] and len(rest) == 1 and not kwargs
+    assert len(asked["tune"][0]) == 2 and not asked["tune"][1]
+    configs = asked["grid"][0][4]
+    assert len(configs) == len({c["name"] for c in configs}) == 22 and sum("params" in c for c in configs) == 7
+    assert len(asked["fit_models"][0]) == 2 and not asked["fit_models"][1]
+    assert len(asked["fit_gbt"][0]) == 2 and not asked["fit_gbt"][1]
+
+
 def test_attribution_finds_the_driving_feature(spark):
     df = _linear(spark).withColumn("region", F.lit("r")).withColumn("datetime", F.monotonically_increasing_id())
     m = ES.fit_gbt(ES.assemble(df, ["a", "b"]), "temperature", {"n_estimators": 20, "max_depth": 4,
