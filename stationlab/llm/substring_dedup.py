@@ -10,7 +10,10 @@ copies hold too.  Chunks are deduplicated by digest (104 bits and the length):
 
 * a partially aggregated shuffle of digests keeps those of two or more documents,
 * a join marks the chunks with such a digest (skewed digests are split by AQE),
-* the marked chunks of a document are merged into spans of words.
+* the marked chunks of a document are merged into spans of words;
+* a span shorter than the report's least length is not dropped yet, for its chunks lie inside the passage:
+  its document, and the first and the last one that hold such a chunk, give all windows of the
+  least length around the chunk, and those found in two or more documents join the spans.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; null, empty and short texts
 (under ``MIN_WORDS`` words) hold no chunk; rows with the same doc_id are one
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import U64, WordHashes, column_bytes, column_list, mix64, slices
+from stationlab.llm.common import U64, WordHashes, column_bytes, column_list, keep, mix64, slices, small
 
 MIN_WORDS = 12
 MAX_GAP = 64
@@ -111,24 +114,109 @@ def chunk_rows(docs: DataFrame, text: str = "text", id_column: str = "doc_id", m
     return source.mapInArrow(cut, "digest long, check long, doc long, start int")
 
 
+CHUNKS = "array<struct<a:int,digest:long,check:long,first:long,last:long>>"
+
+
+def marked_chunks(docs: DataFrame, text: str, id_column: str, min_words: int) -> DataFrame:
+    """One row per document with chunks of two or more documents: doc, chunks (place, digests, first and last doc)."""
+    rows = chunk_rows(docs, text, id_column, min_words)
+    shared = (rows.groupBy("digest", "check").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+              .filter(F.col("first") < F.col("last")))
+    hits = rows.join(shared, ["digest", "check"])
+    return hits.groupBy("doc").agg(F.collect_list(F.struct(F.col("start").alias("a"), "digest", "check", "first", "last")).alias("chunks"))
+
+
+def split_spans(per_doc: DataFrame, report_words: int, later: bool) -> DataFrame:
+    """doc, first (least of its chunks' first documents), long (spans of the least length or more), short (the chunks
+    of the other spans).  ``later``: only chunks that an earlier document holds."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for doc, chunks in zip(column_list(batch, "doc"), column_list(batch, "chunks"), strict=True):
+                own = [c for c in chunks if not later or c["first"] < doc]
+                if not own:
+                    continue
+                spans = np.array([(c["a"], c["a"] + (c["check"] & 65535)) for c in own], np.int64)
+                got = merged(spans)
+                enough = got[:, 1] - got[:, 0] >= report_words
+                inside = enough[np.searchsorted(got[:, 0], spans[:, 0], side="right") - 1]
+                out.append((doc, min(c["first"] for c in own), got[enough].tolist(),
+                            [c for c, fine in zip(own, inside.tolist(), strict=True) if not fine]))
+            if out:
+                chunk = pa.struct([("a", pa.int32()), ("digest", pa.int64()), ("check", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
+                types = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.list_(chunk)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                                                 ["doc", "first", "long", "short"])
+
+    return per_doc.mapInArrow(run, f"doc long, first long, long array<array<long>>, short {CHUNKS}")
+
+
+def window_rows(docs: DataFrame, asked: DataFrame, text: str, id_column: str, min_words: int, report_words: int) -> DataFrame:
+    """digest, check, doc, start of the windows of ``report_words`` words around the chunks that ``asked`` (id,
+    chunks' digests) names."""
+    source = (docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text"))
+              .join(asked.withColumnRenamed("id", "doc"), "doc"))
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for part in slices(batch, most=4 << 20):
+                cols = [[], [], [], []]
+                for doc, data, names in zip(column_list(part, "doc"), column_bytes(part, "text"), column_list(part, "names"), strict=True):
+                    words = data.split() if data else []
+                    if len(words) < report_words:
+                        continue
+                    h = hashes(words)
+                    starts, sizes, d1, _ = chunks_of(h, min_words)
+                    named = np.isin(d1.astype(np.int64), np.array(names, np.int64)) & (sizes < report_words)
+                    at = [np.arange(max(0, a + n - report_words), min(a, len(words) - report_words) + 1)
+                          for a, n in zip(starts[named].tolist(), sizes[named].tolist(), strict=True)]
+                    if not at:
+                        continue
+                    at = np.unique(np.concatenate(at))
+                    for i, base in enumerate((BASE_1, BASE_2)):
+                        cols[i].append(digests(h, at, at + report_words, base).astype(np.int64))
+                    cols[2].append(np.full(len(at), doc, np.int64))
+                    cols[3].append(at.astype(np.int32))
+                if cols[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["digest", "check", "doc", "start"])
+
+    return source.mapInArrow(run, "digest long, check long, doc long, start int")
+
+
+def whole_spans(docs: DataFrame, text: str, id_column: str, min_words: int, report_words: int, later: bool = False) -> DataFrame:
+    """doc, first, long (spans), starts (of windows to add to the spans; null where there are none)."""
+    found = keep(split_spans(marked_chunks(docs, text, id_column, min_words), report_words, later))
+    short = found.select("doc", F.explode("short").alias("c"))
+    asked = (short.select(F.explode(F.array("doc", "c.first", "c.last")).alias("id"), F.col("c.digest").alias("digest"))
+             .groupBy("id").agg(F.collect_set("digest").alias("names")))
+    rows = window_rows(docs, small(asked), text, id_column, min_words, report_words)
+    shared = (rows.groupBy("digest", "check").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+              .filter(F.col("first_doc") < F.col("last_doc")).drop("last_doc"))
+    more = rows.join(shared, ["digest", "check"])
+    if later:
+        more = more.filter(F.col("doc") > F.col("first_doc"))
+    more = more.groupBy("doc").agg(F.collect_list("start").alias("starts"))
+    return found.select("doc", "first", "long").join(more, "doc", "left")
+
+
+def with_windows(long: list, starts: list | None, report_words: int) -> np.ndarray:
+    spans = [*long, *([a, a + report_words] for a in starts or [])]
+    return merged(np.array(spans, np.int64)) if spans else np.zeros((0, 2), np.int64)
+
+
 def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_WORDS,
                    report_words: int = REPORT_WORDS) -> DataFrame:
     """Documents that share passages: doc_id, n_spans, n_repeated_words, spans ([first word, word after the
     last]; spans of at least ``report_words`` words), first_doc_id (least doc_id that holds one of the chunks).
     """
-    rows = chunk_rows(docs, text, id_column, min_words)
-    shared = (rows.groupBy("digest", "check").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-              .filter(F.col("first") < F.col("last")).select("digest", "check", "first"))
-    hits = rows.join(shared, ["digest", "check"]).select(
-        "doc", "first", F.col("start").cast("long").alias("a"), (F.col("start") + F.col("check").bitwiseAND(65535)).alias("b"))
-    per_doc = hits.groupBy("doc").agg(F.min("first").alias("first"), F.collect_list(F.struct("a", "b")).alias("chunks"))
+    spans = whole_spans(docs, text, id_column, min_words, report_words)
 
     def merge(batches):
         for batch in batches:
             out = []
-            for doc, first, chunks in zip(*(column_list(batch, c) for c in ("doc", "first", "chunks")), strict=True):
-                got = merged(np.array([(c["a"], c["b"]) for c in chunks], np.int64))
-                got = got[got[:, 1] - got[:, 0] >= report_words]
+            for doc, first, long, starts in zip(*(column_list(batch, c) for c in ("doc", "first", "long", "starts")), strict=True):
+                got = with_windows(long, starts, report_words)
                 if len(got):
                     out.append((doc, len(got), int((got[:, 1] - got[:, 0]).sum()), got.tolist(), first))
             if out:
@@ -137,7 +225,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", id_column: str = "doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                                  ["doc_id", "n_spans", "n_repeated_words", "spans", "first_doc_id"])
 
-    return per_doc.mapInArrow(merge, "doc_id long, n_spans long, n_repeated_words long, spans array<array<long>>, first_doc_id long")
+    return spans.mapInArrow(merge, "doc_id long, n_spans long, n_repeated_words long, spans array<array<long>>, first_doc_id long")
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -152,22 +240,17 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
                     report_words: int = REPORT_WORDS) -> DataFrame:
     """``docs`` with the repeated spans cut out of every document but the one with the least doc_id of
     those that hold the passage; all columns kept, rows without doc_id as they are."""
-    rows = chunk_rows(docs, text, id_column, min_words)
-    first = rows.groupBy("digest", "check").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter(F.col("first") < F.col("last"))
-    later = (rows.join(first, ["digest", "check"]).filter(F.col("doc") > F.col("first"))
-             .select(F.col("doc").alias("__doc"), F.struct(F.col("start").cast("long").alias("a"),
-                     (F.col("start") + F.col("check").bitwiseAND(65535)).alias("b")).alias("c"))
-             .groupBy("__doc").agg(F.collect_list("c").alias("__chunks")))
+    later = (whole_spans(docs, text, id_column, min_words, report_words, later=True)
+             .select(F.col("doc").alias("__doc"), F.col("long").alias("__long"), F.col("starts").alias("__starts")))
     joined = docs.join(later, F.col(id_column).cast("long") == F.col("__doc"), "left").drop("__doc")
 
     def cut(batches):
         for batch in batches:
             texts = column_bytes(batch, text)
-            for i, chunks in enumerate(column_list(batch, "__chunks")):
-                if chunks:
-                    spans = merged(np.array([(c["a"], c["b"]) for c in chunks], np.int64))
-                    texts[i] = cut_words(texts[i], spans[spans[:, 1] - spans[:, 0] >= report_words])
-            names = [c for c in batch.schema.names if c != "__chunks"]
+            for i, (long, starts) in enumerate(zip(column_list(batch, "__long"), column_list(batch, "__starts"), strict=True)):
+                if long or starts:
+                    texts[i] = cut_words(texts[i], with_windows(long or [], starts, report_words))
+            names = [c for c in batch.schema.names if c not in ("__long", "__starts")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x if x is None else x.decode() for x in texts], pa.string()) if c == text
                  else batch.column(batch.schema.get_field_index(c)) for c in names], names)

@@ -241,6 +241,28 @@ def test_passages_of_51_words_are_nearly_always_caught():
     assert missed <= 2
 
 
+def test_passages_are_reported_though_their_chunks_are_short(spark):
+    rng, rows, short = np.random.default_rng(3), [], []
+    for i in range(300):
+        passage = [f"p{x}" for x in rng.integers(0, 10 ** 9, 30)]
+        texts = [[f"w{x}" for x in rng.integers(0, 10 ** 9, 40)] + passage + [f"w{x}" for x in rng.integers(0, 10 ** 9, 40)] for _ in range(2)]
+        hashes = substring_dedup.WordHashes()
+        chunks = [substring_dedup.chunks_of(hashes(t)) for t in texts]
+        common = np.isin(chunks[0][2], chunks[1][2])
+        if common.any():
+            spans = substring_dedup.merged(np.stack((chunks[0][0], chunks[0][0] + chunks[0][1]), axis=1)[common])
+            if (spans[:, 1] - spans[:, 0]).max() < substring_dedup.REPORT_WORDS:
+                short += [2 * i, 2 * i + 1]
+        rows += [(2 * i + k, " ".join(t)) for k, t in enumerate(texts)]
+    assert len(short) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in substring_dedup.repeated_spans(docs).collect()}
+    assert set(short) <= set(got)
+    assert all(40 <= a and b <= 70 and b - a >= substring_dedup.REPORT_WORDS for spans in got.values() for a, b in spans)
+    left = {r["doc_id"]: len(r["text"].split()) for r in substring_dedup.without_repeats(docs).collect()}
+    assert all(left[i] == 110 if i % 2 == 0 else 80 <= left[i] <= 90 for i in short)
+
+
 # --- 5 binary records
 
 def test_records_round_trip(spark, docs, rows, none, tmp_path):
