@@ -9,8 +9,10 @@ phone number without its country code, a card with a wrong digit, an access key.
 Tokens are runs of non-space, read without the marks around them.  A sequence
 is a stretch of text in which tokens with a digit or an at sign lie at most
 ``REACH`` tokens apart, with ``REACH`` tokens of context on both sides; text without such
-tokens has no label but O.  Sequences of a batch are decoded together
-(Viterbi over numpy arrays padded to the longest).
+tokens has no label but O.  Sequences of a batch are decoded in groups
+(Viterbi over numpy arrays padded to the longest, at most ``CELLS`` tokens with the
+padding; a longer sequence is a group of its own), so memory grows with the text and
+not with its longest sequence times their number.
 
 Defined results: null and empty texts have no spans; equal texts have equal spans; an
 empty labelled table adds no spans; other columns are not read.
@@ -33,6 +35,8 @@ ALL_KINDS = (*KINDS, "secret")
 TAGS = ("O", *(f"{p}-{k}" for k in ALL_KINDS for p in "BI"))
 REACH = 3
 MAX_LABELLED = 100_000
+CELLS = 1 << 16
+STEP = 8192               # tokens whose features are held at a time
 # The patterns of the base kinds.
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -162,11 +166,11 @@ class Field:
         self.move = np.zeros((len(TAGS), len(TAGS)))
         self.start = np.zeros(len(TAGS))
 
-    def numbers(self, tokens: list, learn: bool = False) -> list:
-        """Per token the numbers of its known features."""
+    def numbers(self, tokens: list, learn: bool = False, start: int = 0, stop: int | None = None) -> list:
+        """Per token (from ``start`` up to ``stop``) the numbers of its known features."""
         around = ["", *tokens, ""]
         out = []
-        for i, t in enumerate(tokens):
+        for i, t in enumerate(tokens[start:stop], start):
             names = [*features(t), *("before:" + x for x in context(around[i])), *("after:" + x for x in context(around[i + 2])),
                      "first" if i == 0 else "inner"]
             if learn:
@@ -178,6 +182,13 @@ class Field:
     def scores(self, numbers: list) -> np.ndarray:
         return np.array([self.emit[n].sum(axis=0) for n in numbers])
 
+    def token_scores(self, tokens: list) -> np.ndarray:
+        """Scores of a sequence's tokens, ``STEP`` tokens at a time."""
+        out = np.empty((len(tokens), len(TAGS)))
+        for a in range(0, len(tokens), STEP):
+            out[a:a + STEP] = self.scores(self.numbers(tokens, start=a, stop=a + STEP))
+        return out
+
 
 def labelled_table(spark: SparkSession) -> DataFrame:
     """``LABELLED`` as rows: sentence, position, token, tag."""
@@ -256,12 +267,21 @@ def train(labelled: DataFrame, steps: int = 200, rate: float = 0.1, decay: float
     return field
 
 
-def viterbi(scores: list, field: Field) -> list:
-    """Best tag numbers of every sequence; all are decoded together, padded to the longest."""
+def groups(sizes: list, cells: int = CELLS) -> list:
+    """Sequences by length in groups of at most ``cells`` tokens, each as long as its longest; a longer one is alone."""
+    out: list = []
+    for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
+        if out and (len(out[-1]) + 1) * sizes[i] <= cells:
+            out[-1].append(i)
+        else:
+            out.append([i])
+    return out
+
+
+def viterbi(scores: list, field: Field, cells: int = CELLS) -> list:
+    """Best tag numbers of every sequence; those of a group are decoded together, padded to the longest."""
     out: list = [None] * len(scores)
-    order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-    for a in range(0, len(order), 512):
-        group = order[a:a + 512]
+    for group in groups([len(s) for s in scores], cells):
         longest = len(scores[group[-1]])
         s = np.zeros((len(group), longest, len(TAGS)))
         for b, i in enumerate(group):
@@ -370,7 +390,7 @@ def find_private(docs: DataFrame, field: Field | None, text: str = "text", id_co
             for part in slices(batch):
                 texts = [t.decode() if t else "" for t in column_bytes(part, "text")]
                 seqs = [sequences(t) if f is not None and f.names and MARK.search(t) else [] for t in texts]
-                scores = [f.scores(f.numbers([t[a:b] for a, b in s])) for t, own in zip(texts, seqs, strict=True) for s in own]
+                scores = [f.token_scores([t[a:b] for a, b in s]) for t, own in zip(texts, seqs, strict=True) for s in own]
                 paths = iter(viterbi(scores, f) if scores else [])
                 rows = []
                 for t, own in zip(texts, seqs, strict=True):

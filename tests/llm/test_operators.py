@@ -362,6 +362,19 @@ def test_viterbi_is_the_best_path(spark):
     assert pii.viterbi([scores, scores[:2]], field)[0].tolist() == list(best)
 
 
+def test_long_sequences_are_decoded_in_groups_of_bounded_size(spark):
+    field = pii.train(pii.labelled_table(spark), steps=20)
+    sizes = [3, 100, 2, 5000, 5, 4, 90] + [7] * 600
+    for group in (parts := pii.groups(sizes, 256)):
+        assert len(group) == 1 or len(group) * max(sizes[i] for i in group) <= 256
+    assert sorted(i for g in parts for i in g) == list(range(len(sizes)))
+    tokens = [["call", "+1", "(212)", "555-0199", "now", "7", "10.0.0.1"][i % 7] for i in range(pii.STEP + 50)]
+    scores = field.token_scores(tokens)
+    assert np.array_equal(scores, field.scores(field.numbers(tokens)))
+    some = [scores[a:a + n] for a, n in zip(range(40), sizes, strict=False)]
+    assert all(np.array_equal(a, b) for a, b in zip(pii.viterbi(some, field, 64), pii.viterbi(some, field, 10 ** 6), strict=True))
+
+
 # --- 8 LM scoring
 
 def test_backoff_scores_match_brute_force(docs, rows, none):
