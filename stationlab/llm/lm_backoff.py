@@ -8,7 +8,7 @@ blocks of about ``BLOCK_BYTES`` of text:
    one packed row for each hash partition of the count tables (about one partition per
    ``BUCKET_BYTES`` of text, so a partition's size does not grow with the corpus);
 2. a partition's count table is the sum of these rows by key; n-grams of order 2 and 3
-   that occur once in the whole corpus are not in the tables;
+   that occur less than ``least_count`` times in the whole corpus are left out (1: none);
 3. the table is joined to the blocks' n-grams of the partition in the same pass, and every
    packed row is answered by the counts of its keys outside the block, in the row's order,
    so that keys travel once;
@@ -126,9 +126,9 @@ def _blocks(docs: DataFrame, path: str, text: str, id_column: str, n: int) -> Da
 
 
 def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "text", id_column: str = "doc_id",
-                   block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, least_count: int = LEAST_COUNT) -> DataFrame:
     """Per row: doc_id, n_tokens, n_order3, n_order2, n_order1 (tokens scored at each order), log_score (natural
-    log, summed) and mean_log_score."""
+    log, summed) and mean_log_score.  N-grams of order 2 and 3 with fewer than ``least_count`` occurrences are not used."""
     path = vocabulary or tokenizer_path(VOCABULARY)
     total = docs.agg(F.sum(F.octet_length(text))).collect()[0][0] or 0
     blocks = _blocks(docs, path, text, id_column, max(1, -(-total // block_bytes)))
@@ -167,7 +167,7 @@ def backoff_scores(docs: DataFrame, vocabulary: str | None = None, text: str = "
         totals = g.counts.copy()
         totals[g.dealt] += np.concatenate([unpack(e) for e in answers_of.column("elsewhere").to_pylist()])
         n_all = int(totals[0])
-        pruned = np.where((g.keys >> ORDER_AT < 2) | (totals >= LEAST_COUNT), totals, 0)
+        pruned = np.where((g.keys >> ORDER_AT < 2) | (totals >= least_count), totals, 0)
 
         # what a token costs for the orders above its own that fit in its document
         fits = np.minimum(place, ORDER - 1)

@@ -54,7 +54,7 @@ def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_backoff.backoff_scores(table(spark, sf_dir, "documents"))
+    return lm_backoff.backoff_scores(table(spark, sf_dir, "documents"), least_count=1)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

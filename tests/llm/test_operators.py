@@ -408,6 +408,23 @@ def test_backoff_of_tables_without_tokens_and_of_repeated_rows(spark):
     assert sorted((r["doc_id"], r["n_tokens"], r["log_score"]) for r in got) == [(1, 1, 0.0), (1, 1, 0.0), (2, 0, 0.0)]
 
 
+def test_registered_backoff_uses_ngrams_of_one_occurrence(spark, tmp_path):
+    from stationlab.llm.queries import QUERIES
+    texts = ["one two three four five six", "one two three seven eight nine", "ten"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    lib = library(lm_backoff.VOCABULARY)
+    ids = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    count = collections.Counter(tuple(t[i:i + o]) for t in ids for o in (1, 2, 3) for i in range(len(t) - o + 1))
+    n = sum(map(len, ids))
+    want = {}
+    for i, t in enumerate(ids):
+        grams = [tuple(t[max(0, j - 2):j + 1]) for j in range(len(t))]
+        want[i] = sum(math.log(count[g] / (count[g[:-1]] if len(g) > 1 else n)) for g in grams)
+    got = {r["doc_id"]: r for r in QUERIES["op8_stupid_backoff"](spark, str(tmp_path)).collect()}
+    assert all(got[i]["log_score"] == pytest.approx(w, abs=1e-5) for i, w in want.items())
+    assert all(r["n_order3"] == max(0, r["n_tokens"] - 2) for r in got.values())
+
+
 # --- 9 Jaccard join
 
 def brute_components(rows, k, percent):
