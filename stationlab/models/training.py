@@ -125,13 +125,13 @@ def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: l
          configs: list[dict], baseline_mae: float) -> DataFrame:
     """Fit every config on ``train``, score on the fixed ``test`` hold-out, rank.
 
-    A config that fails is skipped.  Tree configs: ``{"name", "params"}``;
+    A config that fails is a row with its ``error``, without metrics and rank.  Tree configs: ``{"name", "params"}``;
     network configs: ``{"name", "hidden", "alpha", "iter"}``.
     """
     tr = ES.training_frame(ES.assemble(train, feature_cols))
     te = ES.assemble(test, feature_cols)
     sc = ES.scaler(tr)
-    rows = []
+    rows, failed = [], []
     for cfg in configs:
         try:
             if "params" in cfg:
@@ -142,11 +142,12 @@ def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: l
                 p = m.fit(sc.transform(tr)).transform(sc.transform(te))
             r = ST.regression_metrics(p, LABEL, {"p": "p"}).first()
             rows.append((cfg["name"], float(r.mae), float(r.rmse), float(r.r2)))
-        except Exception:  # noqa: BLE001 - failed config skipped, as the source does
-            continue
+        except Exception as e:  # noqa: BLE001 - the other configs go on, as in the source
+            failed.append((cfg["name"], f"{type(e).__name__}: {e}"[:500]))
     tr.unpersist()
     res = spark.createDataFrame(rows, "name string, mae double, rmse double, r2 double")
-    return RP.leaderboard(res, baseline_mae)
+    board = RP.leaderboard(res, baseline_mae).withColumn("error", F.lit(None).cast("string"))
+    return board.unionByName(spark.createDataFrame(failed, "name string, error string"), allowMissingColumns=True)
 
 
 # --------------------------------------------------------------------------- M10

@@ -137,6 +137,15 @@ def test_model_queries_run_the_whole_job(spark, monkeypatch):
     assert len(asked["fit_gbt"][0]) == 2 and not asked["fit_gbt"][1]
 
 
+def test_grid_returns_failed_configs_as_rows(spark):
+    df = _linear(spark)
+    configs = [{"name": "good", "params": {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3}},
+               {"name": "bad", "params": {"n_estimators": 2, "reg_alpha": 0.1}}]
+    got = {r["name"]: r for r in TR.grid(spark, df, df, ["a", "b"], configs, baseline_mae=1.0).collect()}
+    assert (got["good"]["rank"], got["good"]["error"]) == (1, None) and got["good"]["mae"] is not None
+    assert (got["bad"]["rank"], got["bad"]["mae"]) == (None, None) and "reg_alpha" in got["bad"]["error"]
+
+
 def test_attribution_finds_the_driving_feature(spark):
     df = _linear(spark).withColumn("region", F.lit("r")).withColumn("datetime", F.monotonically_increasing_id())
     m = ES.fit_gbt(ES.assemble(df, ["a", "b"]), "temperature", {"n_estimators": 20, "max_depth": 4,
