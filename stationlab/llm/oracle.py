@@ -83,4 +83,57 @@ summed AS (
 SELECT doc_id, size, source_size, target,
        CAST((whole + CASE WHEN before + size / 2.0::DOUBLE <= rest THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM summed""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE bytes AS MATERIALIZED (
+  SELECT doc_id, source, lang, n_chars, text, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)) AS ascii_codes FROM documents),
+crc AS MATERIALIZED (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(ascii_codes, lambda b: CAST(b AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+                            lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc FROM bytes),
+fields AS MATERIALIZED (
+  SELECT doc_id, source, crc % 2 = 0 AS altered,
+         coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-') || coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-')
+         || coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+         text, replace(text, chr(10), '') AS changed FROM crc),
+digests AS MATERIALIZED (
+  SELECT doc_id, source, sha256(head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+         CASE WHEN altered THEN sha256(head || coalesce(CAST(strlen(changed) AS VARCHAR) || ':' || changed, '-')) END AS other FROM fields),
+leaves AS MATERIALIZED (
+  SELECT doc_id, source, leaf, coalesce(other, leaf) AS tampered,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM digests),
+nodes AS (
+  SELECT source, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3, n),
+subroots AS MATERIALIZED (
+  SELECT source, digest, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, pos, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM upper WHERE n > 1 GROUP BY level, pos // 3, n),
+runs AS MATERIALIZED (SELECT source, level, pos // 3 AS run, list(digest ORDER BY pos) AS members FROM nodes WHERE n > 1 GROUP BY ALL),
+upper_runs AS MATERIALIZED (SELECT level, pos // 3 AS run, list(digest ORDER BY pos) AS members FROM upper WHERE n > 1 GROUP BY ALL),
+rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, l.*, s.digest AS subroot, s.height, s.pos AS s_pos FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source),
+wanted AS (
+  SELECT r, source, FALSE AS top, unnest(range(height)) AS level, pos, unnest(range(height)) AS step FROM rows
+  UNION ALL
+  SELECT r, NULL, TRUE, unnest(range(h)), s_pos, height + unnest(range(h)) FROM rows, (SELECT max(level) AS h FROM upper)),
+places AS (SELECT r, source, top, level, step, pos // CAST(power(3, level) AS BIGINT) AS place FROM wanted),
+members AS MATERIALIZED (
+  SELECT FALSE AS top, source, level, run, members FROM runs UNION ALL SELECT TRUE, NULL, level, run, members FROM upper_runs),
+steps AS (
+  SELECT r, step, array_to_string(members[:place % 3], '') AS before, array_to_string(members[place % 3 + 2:], '') AS after
+  FROM places p JOIN members m ON p.top = m.top AND p.level = m.level AND p.place // 3 = m.run AND p.source IS NOT DISTINCT FROM m.source),
+paths AS (
+  SELECT r, list(before || '|' || after ORDER BY step) AS path, string_agg(before || after, '' ORDER BY step) AS siblings FROM steps GROUP BY r),
+folds AS (
+  SELECT rows.*, coalesce(siblings, '') AS siblings,
+         list_reduce(list_prepend(tampered, coalesce(path, [])),
+                     lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2))) AS folded_root
+  FROM rows LEFT JOIN paths USING (r))
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folds, (SELECT digest AS root FROM upper WHERE n = 1)""",
 }

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from stationlab.llm import (
     binary_records,
     decontamination,
+    fingerprints,
     jaccard_join,
     lm_backoff,
+    merkle,
     mixing,
     pii,
     prefix_counts,
     quality_rules,
     substring_dedup,
     toxicity,
+    whitening,
 )
 from stationlab.llm.common import table
 
@@ -65,6 +68,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.pareto_mix(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_rows(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_versions(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tokeniser_fertility, op2_benchmark_decontamination, op3_prefix_token_counts, op4_substring_dedup, op5_binary_records,
-    op6_toxicity, op7_private_data, op8_stupid_backoff, op9_jaccard_join, op10_source_mixing)}
+    op6_toxicity, op7_private_data, op8_stupid_backoff, op9_jaccard_join, op10_source_mixing,
+    op11_merkle_manifest, op12_embedding_whitening, op13_document_fingerprints)}
