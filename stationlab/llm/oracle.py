@@ -91,7 +91,7 @@ crc AS MATERIALIZED (
       lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
                             lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc FROM bytes),
 fields AS MATERIALIZED (
-  SELECT doc_id, source, crc % 2 = 0 AS altered,
+  SELECT doc_id, source, doc_id IS NOT NULL AND crc % 2 = 0 AS altered,
          coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR), '-')
          || coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-') || coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-')
          || coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
