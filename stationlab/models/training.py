@@ -1,26 +1,31 @@
 """Training flows: hold-out evaluation, tuning, config grid, scoring, backtest,
 attribution (M6, M7, M10, M11, M13, with A8, T3 and P9/P10).
 
-The driver orchestrates (a loop over configs or days); every fit, transform
-and metric is a distributed Spark job.
+Candidates, configs and days are independent fits over much the same rows, so
+they train together: rows are packed once, every fit names its rows by a
+condition on their key (fold, side of the split, day), and each Spark job
+serves all of them (``boosting.train``, ``mlp.fit_networks``).
 """
 
 from __future__ import annotations
 
+import datetime
 import itertools
 import random
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.numeric import round_half_even
 from ..operators import report as RP
 from ..operators import stats as ST
+from ..session import materialize
+from . import boosting as BO
 from . import estimators as ES
+from . import mlp as NN
+from .blocks import pack
 from .mlp import MlpRegressor
 
 LABEL = "temperature"
@@ -57,8 +62,7 @@ def fit_models(train: DataFrame, feature_cols: list[str], gbt_params: dict | Non
 def predict(df: DataFrame, models: dict, feature_cols: list[str]) -> DataFrame:
     """All fitted models' predictions on one frame (M9)."""
     x = ES.assemble(df, feature_cols)
-    chain = [models["scaler"], models["xgb"], models["nn"]] + ([models["rf"]] if "rf" in models else [])
-    return ES.score(x, chain)
+    return ES.score(x, [models[k] for k in ("scaler", "xgb", "nn", "rf") if k in models])
 
 
 def evaluate(df: DataFrame, models: dict, feature_cols: list[str], stage: str) -> DataFrame:
@@ -69,56 +73,36 @@ def evaluate(df: DataFrame, models: dict, feature_cols: list[str], stage: str) -
 
 
 # --------------------------------------------------------------------------- M6
-TUNE_GRID = {"n_estimators": [100, 200], "max_depth": [8, 10, 12], "learning_rate": [0.05, 0.1]}
+def _inputs(feature_cols: list[str]):
+    return F.array(*[F.col(c).cast("double") for c in feature_cols])
 
 
 def tune(train: DataFrame, feature_cols: list[str], n_candidates: int = 5, folds: int = 3,
-         parallelism: int = 2, seed: int = 42, space: dict | None = None) -> dict:
-    """Random search: ``n_candidates`` of the 12-point grid, k-fold CV on MAE (M6)."""
-    sp = space or TUNE_GRID
+         seed: int = 42, space: dict | None = None) -> dict:
+    """Random search: ``n_candidates`` of the 12-point grid, k-fold CV on MAE (M6).
+
+    A row's fold is a hash of its inputs and label, so folds do not depend on
+    partitioning.  All candidates and folds train together.
+    """
+    sp = space or S.TUNE_GRID
     grid = list(itertools.product(sp["n_estimators"], sp["max_depth"], sp["learning_rate"]))
     pick = random.Random(seed).sample(grid, min(n_candidates, len(grid)))
-    gbt = GBTRegressor(featuresCol="features", labelCol=LABEL, seed=seed)
-    maps = []
-    for n, d, lr in pick:
-        maps += ParamGridBuilder().baseOn({gbt.maxIter: n, gbt.maxDepth: d, gbt.stepSize: lr}).build()
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=maps, numFolds=folds, parallelism=parallelism,
-                        evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae"),
-                        seed=seed)
-    tr = ES.training_frame(ES.assemble(train, feature_cols))
-    model = cv.fit(tr)
-    tr.unpersist()
-    best = maps[min(range(len(maps)), key=lambda i: model.avgMetrics[i])]
-    return {"n_estimators": best[gbt.maxIter], "max_depth": best[gbt.maxDepth],
-            "learning_rate": best[gbt.stepSize], "cv_mae": float(min(model.avgMetrics))}
+    params = [{"n_estimators": n, "max_depth": d, "learning_rate": lr} for n, d, lr in pick]
+    fold = F.pmod(F.xxhash64(*feature_cols, LABEL, F.lit(seed)), F.lit(folds))
+    x = _inputs(feature_cols)
+    blocks = pack(train, x, F.col(LABEL), fold)
+    cases = [(i, f) for i in range(len(params)) for f in range(folds)]
+    fitted = BO.train(blocks, BO.bin_edges(train, x, len(feature_cols)),
+                      [BO.spec_of(params[i], ("not", f), seed) for i, f in cases])
+    mae = {r.model: r.mae for r in fitted.errors([("equal", f) for _, f in cases]).collect()}     # one row a fit
+    score = [[mae[m] for m, (j, _) in enumerate(cases) if j == i and m in mae] for i in range(len(params))]
+    means = [sum(v) / len(v) if v else float("inf") for v in score]
+    best = min(range(len(params)), key=means.__getitem__)
+    return {**params[best], "cv_mae": float(means[best])}
 
 
 # --------------------------------------------------------------------------- M7 + T3
-TREE_CONFIGS = [
-    {"name": "XGB-A", "params": {"n_estimators": 200, "max_depth": 10, "learning_rate": 0.1}},
-    {"name": "XGB-B", "params": {"n_estimators": 300, "max_depth": 12, "learning_rate": 0.05}},
-    {"name": "XGB-C", "params": {"n_estimators": 500, "max_depth": 10, "learning_rate": 0.05}},
-    {"name": "XGB-D", "params": {"n_estimators": 300, "max_depth": 8, "learning_rate": 0.1, "subsample": 0.8,
-                                 "colsample_bytree": 0.8}},
-    {"name": "XGB-E", "params": {"n_estimators": 500, "max_depth": 12, "learning_rate": 0.03, "subsample": 0.9,
-                                 "colsample_bytree": 0.9}},
-    {"name": "XGB-F", "params": {"n_estimators": 400, "max_depth": 14, "learning_rate": 0.05, "min_child_weight": 3}},
-    {"name": "XGB-G", "params": {"n_estimators": 600, "max_depth": 10, "learning_rate": 0.05, "subsample": 0.85,
-                                 "reg_alpha": 0.1, "reg_lambda": 1.0}},
-]
-NETWORK_CONFIGS = [
-    {"name": name, "hidden": hidden, "alpha": alpha, "lr": lr, "iter": epochs}
-    for name, hidden, alpha, lr, epochs in (
-        ("NN-01 (current)", (150,), 1e-3, 1e-3, 500), ("NN-02 (proven)", (128, 64, 32), 1e-3, 1e-3, 500),
-        ("NN-03 wide", (256,), 1e-4, 1e-3, 500), ("NN-04 pyramid", (256, 128, 64), 1e-4, 1e-3, 500),
-        ("NN-05 deep", (256, 128, 64, 32), 1e-4, 1e-3, 600), ("NN-06 very-deep", (512, 256, 128, 64), 1e-4, 5e-4, 600),
-        ("NN-07 wide2", (512, 256), 1e-4, 1e-3, 500), ("NN-08 wide3", (256, 256), 1e-4, 1e-3, 500),
-        ("NN-09 lo-reg", (256, 128, 64), 1e-5, 1e-3, 600), ("NN-10 hi-reg", (256, 128, 64), 1e-2, 1e-3, 500),
-        ("NN-11 fast-lr", (256, 128, 64), 1e-4, 5e-3, 400), ("NN-12 slow-lr", (256, 128, 64), 1e-4, 5e-4, 800),
-        ("NN-13 compact", (128, 64), 1e-4, 1e-3, 500), ("NN-14 mid", (200, 100, 50), 1e-4, 1e-3, 500),
-        ("NN-15 beast", (512, 256, 128), 5e-5, 1e-3, 700))
-]
-GRID_CONFIGS = TREE_CONFIGS + NETWORK_CONFIGS
+GRID_CONFIGS = S.TREE_CONFIGS + S.NETWORK_CONFIGS
 
 
 def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: list[str],
@@ -126,25 +110,41 @@ def grid(spark: SparkSession, train: DataFrame, test: DataFrame, feature_cols: l
     """Fit every config on ``train``, score on the fixed ``test`` hold-out, rank.
 
     A config that fails is a row with its ``error``, without metrics and rank.  Tree configs: ``{"name", "params"}``;
-    network configs: ``{"name", "hidden", "alpha", "iter"}``.
+    network configs: ``{"name", "hidden", "alpha", "iter"}``.  The trees of all configs grow together, then
+    the networks.
     """
-    tr = ES.training_frame(ES.assemble(train, feature_cols))
-    te = ES.assemble(test, feature_cols)
-    sc = ES.scaler(tr)
-    rows, failed = [], []
+    x, train_side, test_side = _inputs(feature_cols), ("equal", 0), ("equal", 1)
+    both = train.withColumn("_side", F.lit(0)).unionByName(test.withColumn("_side", F.lit(1)))
+    blocks = pack(both, x, F.col(LABEL), F.col("_side"))
+    trees, networks, rows, failed = [], [], [], []
     for cfg in configs:
         try:
             if "params" in cfg:
-                p = ES.fit_gbt(tr, LABEL, cfg["params"], pred="p").transform(te)
+                trees.append((cfg["name"], BO.spec_of({**S.DEFAULT_GBT_PARAMS, **cfg["params"]}, train_side)))
             else:
-                m = MlpRegressor(hidden=cfg.get("hidden", (64,)), alpha=cfg.get("alpha", 1e-3),
-                                 max_iter=cfg.get("iter", 50), learning_rate=cfg.get("lr", 1e-2), pred="p")
-                p = m.fit(sc.transform(tr)).transform(sc.transform(te))
-            r = ST.regression_metrics(p, LABEL, {"p": "p"}).first()
-            rows.append((cfg["name"], float(r.mae), float(r.rmse), float(r.r2)))
-        except Exception as e:  # noqa: BLE001 - the other configs go on, as in the source
+                networks.append((cfg["name"], NN.NetworkSpec(
+                    tuple(cfg.get("hidden", (64,))), cfg.get("alpha", 1e-3), cfg.get("lr", 1e-2), cfg.get("iter", 50), rows=train_side)))
+        except (ValueError, TypeError) as e:
             failed.append((cfg["name"], f"{type(e).__name__}: {e}"[:500]))
-    tr.unpersist()
+
+    def fit_trees(specs):
+        return BO.train(blocks, BO.bin_edges(train, x, len(feature_cols)), specs).errors([test_side] * len(specs))
+
+    def fit_networks(specs):
+        return NN.fit_networks(blocks, len(feature_cols), specs).errors(blocks, [test_side] * len(specs))
+    for named, fit in ((trees, fit_trees), (networks, fit_networks)):
+        if not named:
+            continue
+        try:
+            found = {r.model: r for r in fit([spec for _, spec in named]).collect()}       # one row a config
+        except Exception as e:  # noqa: BLE001 - the other kind goes on, as in the source
+            failed += [(name, f"{type(e).__name__}: {e}"[:500]) for name, _ in named]
+            continue
+        for i, (name, _) in enumerate(named):
+            if i in found:
+                rows.append((name, found[i].mae, found[i].rmse, found[i].r2))
+            else:
+                failed.append((name, "no rows to fit or to score"))
     res = spark.createDataFrame(rows, "name string, mae double, rmse double, r2 double")
     board = RP.leaderboard(res, baseline_mae).withColumn("error", F.lit(None).cast("string"))
     return board.unionByName(spark.createDataFrame(failed, "name string, error string"), allowMissingColumns=True)
@@ -163,8 +163,7 @@ def score_requests(requests: DataFrame, features: DataFrame, models: dict, featu
     attached = RP.attach_latest(req, features)
     unread = attached.where(F.col("target_datetime").isNull())
     j = RP.inject_datetime(attached.where(F.col("target_datetime").isNotNull()))
-    p = predict(j, models, feature_cols) if "xgb" in models else \
-        models["nn"].transform(models["scaler"].transform(ES.assemble(j, feature_cols)))
+    p = predict(j, models, feature_cols)
     xgb = F.col("xgb_pred") if "xgb" in models else F.col("nn_pred")
     none = F.lit(None).cast("double")
     return p.select("region", F.col("date").cast("string").alias("date"),
@@ -174,38 +173,51 @@ def score_requests(requests: DataFrame, features: DataFrame, models: dict, featu
 
 
 # --------------------------------------------------------------------------- M11
+EPOCH = datetime.date(1970, 1, 1)
+TOGETHER = 16                   # days whose fits share their jobs, and whose rows are written together
+
+
 def backtest(features: DataFrame, days: list[str], feature_cols: list[str], gbt_params: dict | None = None,
              hidden=(150,), mlp_iter: int = 500, every: int = 1, sink=None,
-             save_to: str | None = None) -> DataFrame | None:
+             save_to: str | None = None, together: int = TOGETHER) -> DataFrame | None:
     """Expanding-window daily backtest -> (date, xgb_mae, nn_mae).
 
     For each day (every ``every``-th): train on all rows before it, test on
-    that day; an empty side skips the day.  ``sink(row_df)`` is called after
-    each day (e.g. ``sinks.append_drift``) so a crash loses at most one day.
+    that day; an empty side skips the day.  The features are computed and
+    packed once, with the day as the rows' key.  ``together`` days train in the
+    same jobs; ``sink(rows_df)`` receives their rows (e.g. ``sinks.append_drift``)
+    before the next ones start, so a run that is cut short repeats these days
+    at most.  Bins are made from the rows before the first of them.
     ``save_to`` keeps the latest day's models there, for scoring from disk.
     """
     spark = features.sparkSession
-    out = []
-    for day in days[::every]:
-        train, test = day_fold(features, day)
-        models = ES.fit_if_both_sides(train, test, lambda t: fit_models(
-            t, feature_cols, gbt_params, hidden, mlp_iter, 1e-2, forest=False))
-        if models is None:
-            continue
-        m = evaluate(test, models, feature_cols, day)
-        row = m.groupBy().pivot("model", ["xgb", "nn"]).agg(F.first("mae")) \
-               .select(F.lit(day).alias("date"), F.col("xgb").alias("xgb_mae"), F.col("nn").alias("nn_mae"))
+    features = materialize(features.select("datetime", LABEL, *feature_cols))
+    day = F.unix_date(F.to_date("datetime"))
+    held = [r.d for r in features.select(day.alias("d")).where("d IS NOT NULL").distinct().collect()]     # calendar-sized
+    numbers = {d: (datetime.date.fromisoformat(d) - EPOCH).days for d in days[::every]}
+    wanted = [d for d, n in numbers.items() if n in set(held) and min(held) < n]
+    if not wanted:
+        return None
+    x, out = _inputs(feature_cols), []
+    blocks = pack(features.where(day.isNotNull()), x, F.col(LABEL), day)
+    params = {**S.DEFAULT_GBT_PARAMS, **(gbt_params or {})}
+    for start in range(0, len(wanted), together):
+        now = wanted[start:start + together]
+        before = [("below", numbers[d]) for d in now]
+        test = [("equal", numbers[d]) for d in now]
+        edges = BO.bin_edges(features.where(day < numbers[now[0]]), x, len(feature_cols))
+        trees = BO.train(blocks, edges, [BO.spec_of(params, rows, ES.SEED) for rows in before])
+        networks = NN.fit_networks(blocks, len(feature_cols), [
+            NN.NetworkSpec(tuple(hidden), learning_rate=1e-2, max_iter=mlp_iter, rows=rows) for rows in before])
+        xgb, nn = ({r.model: r.mae for r in e.collect()} for e in (trees.errors(test), networks.errors(blocks, test)))
+        rows = [(d, xgb.get(i), nn.get(i)) for i, d in enumerate(now)]
         if save_to is not None:
-            ES.save_models(spark, models, save_to, {"day": day, "features": feature_cols})
+            models = {"xgb": BO.models_of(trees)[-1], "nn": networks.models[-1]}
+            ES.save_models(spark, {k: m for k, m in models.items() if m is not None}, save_to, {"day": now[-1], "features": feature_cols})
         if sink is not None:
-            sink(row)
-        out.append(row)
-    if not out:
-        return None
-    res = out[0]
-    for r in out[1:]:
-        res = res.unionByName(r)
-    return res
+            sink(spark.createDataFrame(rows, "date string, xgb_mae double, nn_mae double"))
+        out += rows
+    return spark.createDataFrame(out, "date string, xgb_mae double, nn_mae double")
 
 
 # --------------------------------------------------------------------------- M13
@@ -237,7 +249,7 @@ def attribution(model, df: DataFrame, feature_cols: list[str], n: int = 500, per
                         lambda i: F.when(F.element_at(rank, i + 1) < F.col("_step"), F.element_at("_xa", i + 1))
                         .otherwise(F.element_at("_bg", i + 1)))
     t = t.withColumn("features", array_to_vector(mixed))
-    pred_col = model.getOrDefault("predictionCol")
+    pred_col = model.pred if isinstance(model, BO.BoostedModel) else model.getOrDefault("predictionCol")
     scored = model.transform(t)
     w = Window.partitionBy("_row", "_p").orderBy("_step")      # groups of k + 1 rows
     contrib = (scored.withColumn("_d", F.col(pred_col) - F.lag(pred_col).over(w))

@@ -2,14 +2,21 @@
 
 import os
 
+import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from stationlab.models import blocks as BL
+from stationlab.models import boosting as BO
 from stationlab.models import estimators as ES
+from stationlab.models import mlp as NN
 from stationlab.models import training as TR
 from stationlab.models.mlp import MlpRegressor
 from stationlab.operators import stats as ST
 from stationlab.sources import testbed as TB
+from stationlab.streaming import catch_up as CU
 
 
 def _linear(spark):
@@ -140,10 +147,10 @@ def test_model_queries_run_the_whole_job(spark, monkeypatch):
 def test_grid_returns_failed_configs_as_rows(spark):
     df = _linear(spark)
     configs = [{"name": "good", "params": {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3}},
-               {"name": "bad", "params": {"n_estimators": 2, "reg_alpha": 0.1}}]
+               {"name": "bad", "params": {"n_estimators": 2, "grow_policy": 0.1}}]
     got = {r["name"]: r for r in TR.grid(spark, df, df, ["a", "b"], configs, baseline_mae=1.0).collect()}
     assert (got["good"]["rank"], got["good"]["error"]) == (1, None) and got["good"]["mae"] is not None
-    assert (got["bad"]["rank"], got["bad"]["mae"]) == (None, None) and "reg_alpha" in got["bad"]["error"]
+    assert (got["bad"]["rank"], got["bad"]["mae"]) == (None, None) and "grow_policy" in got["bad"]["error"]
 
 
 def test_attribution_finds_the_driving_feature(spark):
@@ -180,3 +187,177 @@ def test_batch_run_writes_every_stage_and_skips_on_rerun(spark, tmp_out):
     mtime = os.path.getmtime(os.path.join(out, "null_counts"))
     run_batch(spark, master, out, split_at="2099-01-01")      # empty test side: stops after features
     assert os.path.getmtime(os.path.join(out, "null_counts")) == mtime
+
+
+# --------------------------------------------------------------------------- boosting
+def _numbers(spark, n=900, key="i % 3"):
+    """Rows whose label is a made function of three inputs, one of them with missing values."""
+    return spark.range(n).selectExpr(
+        "id AS i", "CAST((id * 7919) % 101 AS DOUBLE) AS a", "CAST((id * 104729) % 37 AS DOUBLE) AS b",
+        "CASE WHEN id % 11 = 0 THEN NULL ELSE CAST((id * 31) % 5 AS DOUBLE) END AS c").selectExpr(
+        "*", "a / 10 + CASE WHEN b > 20 THEN 5 ELSE 0 END + coalesce(c, -3.0) * a / 50 AS temperature", f"{key} AS key")
+
+
+def _blocks(df):
+    x = F.array("a", "b", "c")
+    return BL.pack(df, x, F.col("temperature"), F.col("key")), BO.bin_edges(df, x, 3)
+
+
+def _shape(tree, i=0):
+    return None if tree.feature[i] < 0 else (tree.feature[i], tree.code[i], _shape(tree, tree.left[i]), _shape(tree, tree.right[i]))
+
+
+def _brute(codes, g, spec, depth):
+    """Exhaustive search over all features and bounds; of equal gains the first."""
+    def q(s, n):
+        s = np.sign(s) * max(abs(s) - spec.reg_alpha, 0.0)
+        return s * s / (n + spec.reg_lambda)
+    best, at = 1e-9, None
+    for f in range(codes.shape[1] if depth else 0):
+        for c in np.unique(codes[:, f])[:-1]:
+            left = codes[:, f] <= c
+            n = int(left.sum())
+            if min(n, len(g) - n) >= spec.min_child_weight:
+                gain = q(g[left].sum(), n) + q(g[~left].sum(), len(g) - n) - q(g.sum(), len(g))
+                if gain > best + 1e-12:
+                    best, at = gain, (f, int(c))
+    if at is None:
+        return None
+    left = codes[:, at[0]] <= at[1]
+    return (*at, _brute(codes[left], g[left], spec, depth - 1), _brute(codes[~left], g[~left], spec, depth - 1))
+
+
+@pytest.mark.parametrize("spec", [BO.BoostSpec(max_depth=4), BO.BoostSpec(max_depth=3, min_child_weight=9, reg_alpha=2.5, reg_lambda=0.5)])
+def test_grown_tree_is_the_exhaustive_one(spec):
+    rng = np.random.default_rng(3)
+    codes = rng.integers(0, 9, (160, 4)).astype(np.uint8)
+    g = rng.standard_normal(160) + codes[:, 1]
+    tree = BO.grow(codes, g, spec, spec.max_depth, np.arange(4))
+    assert _shape(tree) == _brute(codes, g, spec, spec.max_depth)
+    leaf = BO.nodes_of(tree, codes)
+    for i in np.unique(leaf):
+        mine = leaf == i
+        s = g[mine].sum()
+        s = np.sign(s) * max(abs(s) - spec.reg_alpha, 0.0)
+        assert tree.rows[i] == mine.sum() and abs(tree.value[i] + spec.learning_rate * s / (mine.sum() + spec.reg_lambda)) < 1e-12
+
+
+def test_trees_split_by_spark_equal_trees_grown_in_a_task(spark):
+    blocks, edges = _blocks(_numbers(spark))
+    specs = [BO.BoostSpec(3, 4, 0.3, rows=("not", 2)), BO.BoostSpec(2, 3, 0.3, subsample=0.7, colsample_bytree=0.7, reg_alpha=0.3, rows=("not", 1))]
+    whole = BO.train(blocks, edges, specs)
+    parts = BO.train(blocks, edges, specs, local_rows=120, rounds=2)
+    for m, s in enumerate(specs):
+        assert len(whole.trees[m]) == s.n_estimators
+        assert [_shape(t) for t in whole.trees[m]] == [_shape(t) for t in parts.trees[m]]
+    test = [("equal", 2), ("equal", 1)]
+    a, b = ({r.model: (r.n, r.mae) for r in x.errors(test).collect()} for x in (whole, parts))
+    assert {m: n for m, (n, _) in a.items()} == {0: 300, 1: 300} and all(abs(a[m][1] - b[m][1]) < 1e-9 for m in a)
+
+
+def test_boosted_model_scores_saves_and_counts_its_splits(spark, tmp_out):
+    df = _numbers(spark, 600)
+    blocks, edges = _blocks(df)
+    batch = BO.train(blocks, edges, [BO.BoostSpec(12, 3, 0.4), BO.BoostSpec(3, 2, 0.4, rows=("equal", 9))])
+    model, none = BO.models_of(batch)
+    assert none is None                                      # no rows
+    fitted = {r.model: r.mae for r in batch.errors([None, None]).collect()}
+    x = df.select("i", "temperature", array_to_vector(F.array(*[F.coalesce(c, F.lit(float("nan"))) for c in ("a", "b", "c")])).alias("features"))
+    scored = ST.regression_metrics(model.transform(x), "temperature", {"p": "xgb_pred"}).first()
+    assert abs(scored.mae - fitted[0]) < 1e-9 and scored.r2 > 0.9 and set(fitted) == {0}
+    ES.save_models(spark, {"xgb": model}, f"{tmp_out}/m", {"v": 1})
+    again = ES.load_models(spark, f"{tmp_out}/m", {"v": 1})["xgb"]
+    assert [m.transform(x).orderBy("i").select("xgb_pred").collect() for m in (again,)] == [model.transform(x).orderBy("i").select("xgb_pred").collect()]
+    nodes = model.tree_rows(spark).where("feature >= 0").groupBy("feature").agg(F.count("*").alias("n"), F.avg("gain").alias("g")).collect()
+    table = {r.feature: r for r in ES.importances(spark, model, ["a", "b", "c"]).collect()}
+    assert {("a", "b", "c")[r.feature]: r.n for r in nodes} == {f: r.weight for f, r in table.items() if r.weight}
+    assert all(abs(table[("a", "b", "c")[r.feature]].gain - r.g) < 1e-9 * max(r.g, 1) for r in nodes)
+    top = ES.top_importance(spark, model, ["a", "b", "c"], 2).collect()
+    assert sorted((r.kind, r["rank"]) for r in top) == [("gain", 1), ("gain", 2), ("weight", 1), ("weight", 2)]
+
+
+def test_boosting_refuses_what_it_cannot_do(spark):
+    with pytest.raises(ValueError, match="grow_policy"):
+        BO.spec_of({"grow_policy": 1})
+    with pytest.raises(ValueError, match="out of range"):
+        BO.spec_of({"subsample": 0})
+    with pytest.raises(ValueError, match="empty"):
+        ES.fit_gbt(ES.assemble(_linear(spark).limit(0), ["a", "b"]))
+
+
+def test_networks_of_one_batch_keep_to_their_rows(spark):
+    df = _numbers(spark).where("c IS NOT NULL OR i < 50")
+    blocks, _ = _blocks(df)
+    specs = [NN.NetworkSpec((16,), learning_rate=0.02, max_iter=120, rows=rows) for rows in (("not", 2), ("equal", 0), ("equal", 7))]
+    fitted = NN.fit_networks(blocks, 3, specs)
+    assert fitted.models[2] is None and fitted.epochs[2] == 0
+    assert fitted.skipped[0] == df.where("key <> 2 AND c IS NULL").count() > 0
+    errors = {r.model: r for r in fitted.errors(blocks, [("equal", 2)] * 3).collect()}
+    assert set(errors) == {0, 1} and errors[0].n == df.where("key = 2 AND c IS NOT NULL").count()
+    assert all(r.r2 > 0.7 for r in errors.values()), errors
+    alone = NN.fit_networks(blocks, 3, specs[1:2])
+    assert np.allclose(alone.models[0].weights, fitted.models[1].weights, atol=1e-6) and alone.epochs == fitted.epochs[1:2]
+
+
+def test_full_solver_does_not_depend_on_partitions(spark):
+    df = ES.assemble(_linear(spark), ["a", "b"], "scaled")
+    fits = [MlpRegressor(hidden=(6,), max_iter=15, solver="full").fit(df.repartition(n)).weights for n in (1, 5)]
+    assert np.allclose(*fits, atol=1e-9)
+
+
+def test_partitions_follow_from_size():
+    assert BL.partitions_for(100, 200, 8) == 1 and BL.partitions_for(10_000, 200, 8) == 8
+    assert BL.partitions_for(10_000_000, 200, 8) == 60
+
+
+def test_tuning_takes_the_best_of_its_candidates(spark):
+    df = _numbers(spark, 600).na.fill(0.0)
+    space = {"n_estimators": [1, 15], "max_depth": [1, 4], "learning_rate": [0.3]}
+    got = TR.tune(df, ["a", "b", "c"], n_candidates=4, space=space)
+    assert (got["n_estimators"], got["max_depth"]) == (15, 4) and 0 < got["cv_mae"] < 1.0
+
+
+# --------------------------------------------------------------------------- backtest
+def _days(spark, n_days=6):
+    return spark.range(24 * n_days).selectExpr(
+        "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS datetime", "CAST(id % 24 AS DOUBLE) AS a",
+        "CAST(id % 7 AS DOUBLE) AS b", "CAST(id % 24 AS DOUBLE) / 2 + id % 7 AS temperature")
+
+
+def test_backtest_is_the_same_however_days_are_grouped(spark):
+    days = [f"2024-01-0{d}" for d in range(1, 8)]
+    params = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.5}
+    runs = [{r.date: r for r in TR.backtest(_days(spark), days, ["a", "b"], params, (4,), 5, together=t).collect()} for t in (1, 4)]
+    assert list(runs[0]) == days[1:6]                        # no day before the first, no rows on the last
+    one = {r.date: r.xgb_mae for r in runs[0].values()}
+    assert one["2024-01-02"] > one["2024-01-06"] and all(r.nn_mae is not None for x in runs for r in x.values())
+    assert [r.date for r in TR.backtest(_days(spark), days, ["a", "b"], params, (4,), 5, every=2).collect()] == ["2024-01-03", "2024-01-05"]
+
+
+def test_killed_backtest_repeats_no_written_day_and_every_leaves_no_hole(spark, tmp_out, monkeypatch):
+    drift, landing, root = f"{tmp_out}/drift", f"{tmp_out}/landing", f"{tmp_out}/root"
+    _days(spark).withColumn("region", F.lit("r")).write.parquet(landing)
+    fitted, real = [], BO.train
+
+    def train(blocks, edges, specs, *args):
+        fitted.extend(s.rows[1] for s in specs)
+        if len(fitted) == 3:
+            raise RuntimeError("killed")
+        return real(blocks, edges, specs, *args)
+    monkeypatch.setattr(BO, "train", train)
+    monkeypatch.setattr(TR, "TOGETHER", 1)
+    monkeypatch.setattr(TR.backtest, "__defaults__", (*TR.backtest.__defaults__[:-1], 1))
+
+    def call(**kwargs):
+        feats = _days(spark).withColumn("region", F.lit("r"))
+        monkeypatch.setattr(CU.SJ, "run_features", lambda *a: type("Q", (), {"awaitTermination": lambda self: None})())
+        monkeypatch.setattr(CU.SJ, "read_features", lambda *a: feats)
+        return CU.catch_up(spark, landing, spark.read.parquet(landing).schema, root, "2024-01-07", drift,
+                           {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.5}, (4,), 2, default_last="2024-01-01", **kwargs)
+    with pytest.raises(RuntimeError, match="killed"):
+        call()
+    assert [r.date for r in CU.SK.read_drift(spark, drift).orderBy("date").collect()] == ["2024-01-02", "2024-01-03"]
+    assert call(every=2) == ["2024-01-04", "2024-01-06"]
+    assert call() == ["2024-01-05"] and call() == []
+    counts = [fitted.count(d) for d in sorted(set(fitted))]
+    assert counts == [1, 1, 2, 1, 1]                         # only the day in flight was fitted again
