@@ -8,6 +8,7 @@ points 0x20 and 0x09-0x0D.
 from __future__ import annotations
 
 import os
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,14 @@ def keep(df: DataFrame) -> DataFrame:
     return out
 
 
+def keep_table(df: DataFrame) -> DataFrame:
+    """As ``keep`` for large rows: a Parquet table in the shared folder, written once and read by column."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -79,15 +88,18 @@ def slices(batch: pa.RecordBatch, text: str = "text", most: int = 8 << 20):
         yield batch.slice(start)
 
 
+LONG_WORD = 64          # bytes of the longest word that is remembered
+
+
 class WordHashes:
-    """64-bit hash of a word, remembered up to a bound and then started anew."""
+    """64-bit hash of a word, remembered up to a bound and then started anew; long words are hashed each time."""
 
     def __init__(self, most: int = 400_000):
         self.most, self.known = most, {}
 
     def __call__(self, words: list) -> np.ndarray:
         import xxhash
-        known = self.known
+        known, long = self.known, {}
         new = set(words).difference(known)
         if new:
             if len(known) + len(new) > self.most:
@@ -95,8 +107,12 @@ class WordHashes:
                 new = set(words)
             digest = xxhash.xxh3_64_intdigest
             for w in new:
-                known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=U64, count=len(words))
+                if len(w) <= LONG_WORD:
+                    known[w] = digest(w)
+                else:
+                    long[w] = digest(w)
+        find = known.__getitem__ if not long else (lambda w: known[w] if len(w) <= LONG_WORD else long[w])
+        return np.fromiter(map(find, words), dtype=U64, count=len(words))
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

@@ -4,8 +4,8 @@ A document's set is its distinct word shingles (64-bit hashes); documents of equ
 sets are one class, so copies never meet in pairs.  The global order of all shingles
 (their hashes) is cut into fragments, and overlaps are counted fragment by fragment:
 
-1. In the first fragment, a shingle that only one class holds is missing from any
-   partner.  A class of n shingles may miss n - ceil(t n) at most; classes that miss
+1. Documents are hashed once, and keep their shingles of the first fragment.  There, a
+   shingle that only one class holds is missing from any partner.  A class of n shingles may miss n - ceil(t n) at most; classes that miss
    more in this fragment alone are done.  (Rows: 1 / fragments of all shingles.)
 2. For the classes left, shingles of one class only are counted over all fragments,
    and each class's prefix, its rarest n - ceil(t n) + 1 shingles (frequency, then
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import LOWER, U64, WordHashes, column_bytes, keep, shingle_hashes, slices, small
+from stationlab.llm.common import LOWER, U64, WordHashes, column_bytes, fresh, keep, keep_table, shingle_hashes, slices, small
 from stationlab.llm.components import components
 
 BLOCK = 1500
@@ -66,57 +66,73 @@ def least_partner_share(n, percent: int):
 
 
 def document_classes(docs: DataFrame, k: int, percent: int, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, rid (hash of the text), cls, n (set size), n_first (of them in the first fragment)."""
-    fragments = fragments_for(percent)
+    """Per row: doc_id, rid (hash of the text), cls, n (set size), n_first (of them in the first fragment) and,
+    unless its task has met the class before or the set is too small for a partner, these shingles (``first``)."""
+    fragments, least = fragments_for(percent), least_size(percent)
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
 
     def run(batches):
-        hashes = WordHashes()
+        hashes, met = WordHashes(), Met()
         for batch in batches:
-            for part in slices(batch):
-                rows = []
+            for part in slices(batch, most=4 << 20):
+                rows, lists = [], []
                 for data in column_bytes(part, "text"):
                     s = shingle_set(data, hashes, k)
-                    rows.append((class_id(s) if len(s) else None, len(s), len(first_fragment(s, fragments))))
+                    cls, first = class_id(s) if len(s) else None, first_fragment(s, fragments)
+                    rows.append((cls, len(s), len(first)))
+                    lists.append(None if len(s) < least or met(cls) else first.astype(np.int64))
                 c = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(x, pa.int64()) for x in c]],
-                                                 ["doc_id", "rid", "cls", "n", "n_first"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *[pa.array(x, pa.int64()) for x in c], pa.array(lists, pa.list_(pa.int64()))],
+                    ["doc_id", "rid", "cls", "n", "n_first", "first"])
+
+    return source.mapInArrow(run, "doc_id long, rid long, cls long, n long, n_first long, first array<long>")
+
+
+class Met:
+    """Whether a task has met a class (up to a million are remembered; the others count as new)."""
+
+    def __init__(self, most: int = 1_000_000):
+        self.most, self.seen = most, set()
+
+    def __call__(self, cls: int) -> bool:
+        if cls in self.seen:
+            return True
+        if len(self.seen) < self.most:
+            self.seen.add(cls)
+        return False
+
 
-    return source.mapInArrow(run, "doc_id long, rid long, cls long, n long, n_first long")
+def least_size(percent: int) -> int:
+    """The size of the smallest sets that may be linked with another set."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
 
 
-def _shingles(texts: DataFrame, k: int, first_of: int | None = None, least: int = 1) -> DataFrame:
-    """(shingle, cls) of rows with a text; with ``first_of``, of the first of so many fragments only."""
+def _shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(shingle, cls) of rows with a text."""
     def run(batches):
-        hashes, met = WordHashes(), set()
+        hashes, met = WordHashes(), Met()
         for batch in batches:
             for part in slices(batch, most=4 << 20):
                 out, classes = [], []
                 for data in column_bytes(part, "text"):
                     s = shingle_set(data, hashes, k)
-                    if len(s) < least:
-                        continue
                     c = class_id(s)
-                    if c in met:        # copies met by this task say nothing new
-                        continue
-                    if len(met) < 1_000_000:
-                        met.add(c)
-                    s = first_fragment(s, first_of) if first_of else s
-                    out.append(s.astype(np.int64))
-                    classes.append(np.full(len(s), c, np.int64))
+                    if not met(c):          # copies met by this task say nothing new
+                        out.append(s.astype(np.int64))
+                        classes.append(np.full(len(s), c, np.int64))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(classes))], ["shingle", "cls"])
 
     return texts.mapInArrow(run, "shingle long, cls long")
 
 
-def _survivors(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str) -> DataFrame:
+def _survivors(rows: DataFrame, percent: int) -> DataFrame:
     """Classes that the first fragment does not rule out: cls, n, and a row (rid, doc_id) that holds the set."""
-    least = next(n for n in range(1, 1000) if 100 * n >= percent * (n + 1))      # smaller sets have no partner
-    e = _shingles(docs.select(F.col(text).alias("text")), k, fragments_for(percent), least)
+    e = rows.filter("first IS NOT NULL").select("cls", F.explode("first").alias("shingle"))
     several = e.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("shingle")
     shared = e.join(several, "shingle").groupBy("cls").agg(F.countDistinct("shingle").alias("n_shared"))
-    classes = (rows.filter(F.col("n") >= least).groupBy("cls")
+    classes = (rows.filter(F.col("n") >= least_size(percent)).groupBy("cls")
                .agg(F.first("n").alias("n"), F.first("n_first").alias("n_first"), F.min(F.struct("rid", "doc_id")).alias("at")))
     may_miss = F.col("n") - F.ceil(F.col("n") * percent / 100)
     return (classes.join(shared, "cls", "left").filter(F.col("n_first") - F.coalesce("n_shared", F.lit(0)) <= may_miss)
@@ -126,15 +142,15 @@ def _survivors(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str
 def class_components(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str = "text", id_column: str = "doc_id",
                      block: int = BLOCK) -> DataFrame:
     """(cls, root, n_links) of the classes that may have a partner."""
-    left = small(_survivors(docs, rows, k, percent, text))
+    left = small(_survivors(rows, percent))
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
     texts = source.join(left.select("rid", "at_doc"), "rid").filter(F.col("doc_id").eqNullSafe(F.col("at_doc"))).select("text")
-    e = keep(_shingles(texts, k).distinct())
+    e = keep_table(_shingles(texts, k).distinct())
     frequency = e.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     shared = e.join(frequency, "shingle").join(left.select("cls", "n"), "cls")
     may_miss = F.col("n") - F.ceil(F.col("n") * percent / 100)
     of_class = Window.partitionBy("cls")
-    shared = keep(shared.withColumn("n_shared", F.count("*").over(of_class)).filter(F.col("n") - F.col("n_shared") <= may_miss)
+    shared = keep_table(shared.withColumn("n_shared", F.count("*").over(of_class)).filter(F.col("n") - F.col("n_shared") <= may_miss)
                   .withColumn("place", F.row_number().over(of_class.orderBy("df", "shingle"))))
     prefix = shared.filter(F.col("place") <= may_miss + 1 - (F.col("n") - F.col("n_shared"))).select("shingle", "cls")
     heads = prefix.groupBy("shingle").agg(F.min("cls").alias("head"), F.max("cls").alias("tail")).filter("head < tail")
@@ -239,9 +255,9 @@ def linked(table: pa.Table, percent: int) -> pa.Table:
 
 
 def _rows_with_roots(docs: DataFrame, k: int, percent: int, text: str, id_column: str, block: int) -> DataFrame:
-    rows = keep(document_classes(docs, k, percent, text, id_column))
+    rows = keep_table(document_classes(docs, k, percent, text, id_column))
     found = small(class_components(docs, rows, k, percent, text, id_column, block))
-    return rows.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return rows.drop("first", "n_first").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text", id_column: str = "doc_id",
@@ -257,19 +273,25 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, text: str
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id", block: int = BLOCK) -> DataFrame:
-    """``docs`` with one row of each component, that of the least doc_id (ties: least hash of the text); wordless rows stay."""
+    """``docs`` with one row of each component, that of the least doc_id (ties: least hash of the text, then of
+    all columns, as JSON); wordless rows stay."""
     rows = _rows_with_roots(docs, k, percent, text, id_column, block)
     worded = rows.filter(F.col("root").isNotNull())
     best = worded.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("best"), F.count("*").alias("n"))
     out = best.filter("n > 1")
+    l_doc, l_rid = fresh(docs, "l_doc"), fresh(docs, "l_rid")
     # rows to drop: of components with several rows, all that are not the best; equal best rows are told apart below
     losers = small(worded.join(small(out), "root").groupBy("doc_id", "rid")
                    .agg(F.max((F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("rid") == F.col("best.rid"))).cast("int")).alias("is_best"),
                         F.count("*").alias("n_same"))
-                   .select(F.col("doc_id").alias("l_doc"), F.col("rid").alias("l_rid"), "is_best", "n_same"))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("l_doc")) & (F.xxhash64(text) == F.col("l_rid"))
-    kept = docs.join(losers.filter("is_best = 0 or n_same > 1").select("l_doc", "l_rid"), same, "left_anti")
-    again = losers.filter("is_best = 1 and n_same > 1").select("l_doc", "l_rid")
+                   .select(F.col("doc_id").alias(l_doc), F.col("rid").alias(l_rid), "is_best", "n_same"))
+    source, rid = F.col(f"`{id_column}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    same = source.eqNullSafe(F.col(l_doc)) & (rid == F.col(l_rid))
+    kept = docs.join(losers.filter("is_best = 0 or n_same > 1").select(l_doc, l_rid), same, "left_anti")
+    again = losers.filter("is_best = 1 and n_same > 1").select(l_doc, l_rid)
     if again.isEmpty():
         return kept
-    return kept.unionByName(docs.join(again, same, "left_semi").dropDuplicates([id_column, text]))
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    first = (docs.join(again, same, "left_semi").groupBy(source.alias("i"), rid.alias("r"))
+             .agg(F.min_by(every, F.xxhash64(F.to_json(every))).alias("row")))
+    return kept.unionByName(first.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
