@@ -8,7 +8,9 @@ of bounded bytes.  On its centred rows X the bidiagonalisation alternates distri
 both with full reorthogonalisation, and the singular values and right vectors of the small bidiagonal
 matrix give deviations and components.  A left vector has an entry per row; it is never stored, as
 u_j = X p_j with a p_j of one vector's length, so a task that runs again needs the block and the p_j alone.
-Two jobs a step, each returning sums of vector length; the driver holds vectors and the bidiagonal matrix.
+One job a step: a pass takes y = X q for the next left vector before its reorthogonalisation and returns
+its products with all left vectors, with itself and X^T y; what reorthogonalisation takes from y it takes
+from X^T y by the X^T u_j known.  The driver holds vectors of one row's length and the bidiagonal matrix.
 
 The steps end when the wanted components have converged and what the basis has not captured (the
 squared norm of X less that of the matrix) is below the last wanted squared value, so that no component,
@@ -28,6 +30,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +39,8 @@ from stationlab.llm.common import keep
 
 SCALE = 256
 BLOCK_BYTES = 2 << 20           # of packed vectors in a row of the fit list
+PART_BYTES = 32 << 20           # of packed vectors in a partition of it; of small lists, a partition a core
+SMALLEST = 2048                 # with at least so many vectors
 ZERO = 1e-13                    # of the norm of X: smaller values are rounding
 
 
@@ -66,15 +72,18 @@ def _integers(column: pa.Array, dim: int) -> tuple:
     return place[valid], values[valid].astype("<i8")
 
 
-def dimension(df: DataFrame, vector: str = "embedding") -> int:
-    """The commonest length of a vector, 0 if there is none."""
+def dimension(df: DataFrame, vector: str = "embedding") -> tuple:
+    """The commonest length of a vector and the number of such vectors, (0, 0) if there is none."""
     sizes = df.select(F.size(F.col(vector)).alias("d")).where("d > 0").groupBy("d").count()
     most = sizes.orderBy(F.desc("count"), F.desc("d")).first()
-    return most["d"] if most else 0
+    return (most["d"], most["count"]) if most else (0, 0)
 
 
-def fit_list(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
-    """The distinct integer vectors, packed: (block, n)."""
+def fit_list(df: DataFrame, dim: int, most: int, vector: str = "embedding") -> DataFrame:
+    """The distinct integer vectors, packed: (block, n), in partitions sized for ``most`` vectors."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-most * dim * 8 // PART_BYTES), min(cores, most // SMALLEST))
+
     def pack(batches):
         for batch in batches:
             _, x = _integers(batch.column(0), dim)
@@ -93,13 +102,11 @@ def fit_list(df: DataFrame, dim: int, vector: str = "embedding") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)]), pa.array([len(held)])], ["block", "n"])
 
     distinct = df.select(F.col(vector).alias("v")).mapInArrow(pack, "x binary").distinct()
-    return keep(distinct.mapInArrow(blocks, "block binary, n long"))
-
+    return keep(distinct.coalesce(parts).mapInArrow(blocks, "block binary, n long"))
 
-def block_sums(fit: DataFrame, dim: int, of_block, kind: str = "double") -> np.ndarray:
-    """Sum over all blocks of ``of_block(matrix)``, a vector of fixed length."""
-    arrow = pa.float64() if kind == "double" else pa.int64()
 
+def _sums(of_block, dim: int, arrow: pa.DataType):
+    """One row a task: the sum of ``of_block`` over its blocks."""
     def sums(batches):
         total = None
         for batch in batches:
@@ -107,10 +114,21 @@ def block_sums(fit: DataFrame, dim: int, of_block, kind: str = "double") -> np.n
                 part = of_block(np.frombuffer(data, "<i8").reshape(-1, dim))
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total, arrow)], ["i", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(arrow))], ["part"])
+    return sums
+
+
+def block_sums(fit: DataFrame, dim: int, of_block) -> np.ndarray:
+    """Sum over all blocks of ``of_block(matrix)``, a vector of fixed length."""
+    parts = fit.select("block").mapInArrow(_sums(of_block, dim, pa.float64()), "part array<double>")
+    return parts.select(array_to_vector("part").alias("part")).agg(Summarizer.sum(F.col("part")).alias("s")).first()["s"].toArray()
+
 
-    rows = fit.select("block").mapInArrow(sums, f"i long, part {kind}").groupBy("i").agg(F.sum("part").alias("s")).collect()
-    return np.array([r["s"] for r in sorted(rows, key=lambda r: r["i"])], np.float64 if kind == "double" else np.int64)
+def column_totals(fit: DataFrame, dim: int) -> np.ndarray:
+    """Exact sums per dimension."""
+    parts = fit.select("block").mapInArrow(_sums(lambda x: x.sum(axis=0), dim, pa.int64()), "part array<long>")
+    rows = parts.select(F.posexplode("part").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s")).collect()
+    return np.array([r["s"] for r in sorted(rows, key=lambda r: r["i"])], np.int64)
 
 
 def _orthogonal(v: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -127,24 +145,26 @@ def bidiagonalise(fit: DataFrame, mean: np.ndarray, norm2: float, want: int, tol
     v = rng.standard_normal(dim)
     v /= np.linalg.norm(v)
     right, left = v[:, None], np.zeros((dim, 0))            # columns v_j, and p_j with u_j = X p_j
+    known = np.zeros((dim, 0))                              # columns X^T u_j
     alphas, betas = [], []
     while True:
         q = right[:, -1] - (betas[-1] * left[:, -1] if betas else 0.0)
-        if left.shape[1]:                                   # X q against all left vectors
-            both = np.column_stack([left, q])
-            dots = block_sums(fit, dim, lambda x, both=both: (lambda y: y[:, :-1].T @ y[:, -1])((x - mean) @ both))
-            q = q - left @ dots
+        both = np.column_stack([left, q])
 
-        def both_products(x, q=q):
+        def products(x, both=both):
             c = x - mean
-            y = c @ q
-            return np.append(c.T @ y, y @ y)
-        sums = block_sums(fit, dim, both_products)
-        alpha = np.sqrt(sums[-1])
+            y = c @ both
+            return np.concatenate([y.T @ y[:, -1], c.T @ y[:, -1]])
+        sums = block_sums(fit, dim, products)
+        j = left.shape[1]
+        dots, square, z = sums[:j], sums[j], sums[j + 1:]
+        q, z = q - left @ dots, z - known @ dots            # reorthogonalised against all left vectors
+        alpha = np.sqrt(max(square - dots @ dots, 0.0))
         if alpha <= least:
             alpha, p, z = 0.0, np.zeros(dim), np.zeros(dim)
         else:
-            p, z = q / alpha, sums[:-1] / alpha
+            p, z = q / alpha, z / alpha
+        known = np.column_stack([known, z])
         left = np.column_stack([left, p])
         alphas.append(alpha)
         j = len(alphas)
@@ -168,7 +188,7 @@ def fit_components(fit: DataFrame, dim: int, want: int) -> Fit | None:
     n = fit.agg(F.sum("n")).first()[0]
     if not n:
         return None
-    total = block_sums(fit, dim, lambda x: x.sum(axis=0), "long")
+    total = column_totals(fit, dim)
     mean = total / n
     norm2 = float(block_sums(fit, dim, lambda x: np.array([np.sum((x - mean) ** 2)]))[0])
     if norm2 <= 0:
@@ -205,8 +225,8 @@ def whiten(df: DataFrame, components: int = 4, vector: str = "embedding", id_col
     vector and component."""
     spark = df.sparkSession
     schema = ("vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
-    dim = dimension(df, vector)
-    fit = fit_list(df, dim, vector) if dim else None
+    dim, most = dimension(df, vector)
+    fit = fit_list(df, dim, most, vector) if dim else None
     made = fit_components(fit, dim, components) if dim else None
     if made is None:
         return spark.createDataFrame([], schema)
