@@ -60,8 +60,9 @@ def keys_of(ids: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
 
 def _ids(packed: list) -> tuple:
     """(ids of all documents in a row, the tokens' places in their documents, sizes of the documents)."""
-    import zlib
-    data = [zlib.decompress(p) if p else b"" for p in packed]
+    import zstandard
+    open_ = zstandard.ZstdDecompressor().decompress
+    data = [open_(p) if p else b"" for p in packed]
     sizes = np.array([len(d) // 2 for d in data], np.int64)
     ids = np.frombuffer(b"".join(data), np.uint16).astype(np.int64)
     place = np.arange(len(ids), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
@@ -70,13 +71,14 @@ def _ids(packed: list) -> tuple:
 
 def pack(values: np.ndarray) -> bytes:
     """64-bit integers, the bytes of equal rank side by side, compressed."""
-    import zlib
-    return zlib.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+    import zstandard
+    planes = np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    import zlib
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
@@ -85,20 +87,31 @@ class Grams:
 
     def __init__(self, ids: np.ndarray, place: np.ndarray, buckets: int):
         keys, counts, self.place, self.rank = [np.array([ALL_TOKENS])], [np.array([len(ids)])], place, []
-        begin = 1
+        begin, order_of = 1, np.arange(len(ids), dtype=np.int32)
+        short = ids.astype(np.uint16)
         for order in range(1, ORDER + 1):
-            u, rank, c = np.unique(keys_of(ids, place, order)[place >= order - 1], return_inverse=True, return_counts=True)
-            keys.append(u)
-            counts.append(c)
-            self.rank.append(rank.astype(np.int32) + np.int32(begin))
-            begin += len(u)
+            # sorted by the ids from the last back: each order's sort goes on from the one before (16-bit radix passes)
+            back = np.zeros_like(short)
+            back[order - 1:] = short[:len(short) - order + 1]
+            order_of = order_of[np.argsort(back[order_of], kind="stable")]
+            at = order_of[place[order_of] >= order - 1]
+            k = keys_of(ids, place, order)[at]
+            new = np.ones(len(k), bool)
+            new[1:] = k[1:] != k[:-1]
+            first = np.flatnonzero(new)
+            rank = np.empty(len(ids), np.int32)
+            rank[at] = np.cumsum(new, dtype=np.int32) + np.int32(begin - 1)
+            keys.append(k[first])
+            counts.append(np.diff(np.append(first, len(k))))
+            self.rank.append(rank[place >= order - 1])
+            begin += len(first)
         self.keys, self.counts = np.concatenate(keys), np.concatenate(counts)
-        bucket = (mix64(self.keys.astype(U64)) % U64(buckets)).astype(np.int32)
+        bucket = (mix64(self.keys.astype(U64)) % U64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
         #: the n-grams by hash partition, then key; the partitions held and where each one begins
         self.dealt = np.argsort(bucket, kind="stable")
         bucket = bucket[self.dealt]
         self.starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        self.buckets = bucket[self.starts]
+        self.buckets = bucket[self.starts].astype(np.int32)
 
     def at_tokens(self, values: np.ndarray, order: int) -> np.ndarray:
         """Of ``values`` by key, the one of the n-gram that ends at each token; 0 where there is none."""
@@ -113,13 +126,13 @@ def _blocks(docs: DataFrame, path: str, text: str, id_column: str, n: int) -> Da
                        F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def encode(batches):
-        import zlib
-        enc = WordEncoder(path)
+        import zstandard
+        enc, press = WordEncoder(path), zstandard.ZstdCompressor(level=1).compress
         if enc.size > 1 << SHIFT:
             raise ValueError("the vocabulary does not fit the key's fields")
         for batch in batches:
             for part in slices(batch):
-                packed = [zlib.compress(enc.encode(t), 1) if t else None for t in column_bytes(part, "text")]
+                packed = [press(enc.encode(t)) if t else None for t in column_bytes(part, "text")]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], ["block", "doc_id", "packed"])
 
     return rows.mapInArrow(encode, "block int, doc_id long, packed binary")
