@@ -172,6 +172,15 @@ def score_requests(requests: DataFrame, features: DataFrame, models: dict, featu
         unread.select("region", F.col("date").cast("string").alias("date"), none.alias("nn_pred"), none.alias("xgb_pred")))
 
 
+def live_scorer(models: dict, feature_cols: list[str]):
+    """Fitted or loaded models as the ``score`` of ``report.live_error``."""
+    def score(df: DataFrame) -> DataFrame:
+        p = predict(df, models, feature_cols)
+        return p.withColumns({RP.PRED_COLS["nn"]: F.col("nn_pred"),
+                              RP.PRED_COLS["xgb"]: F.col("xgb_pred" if "xgb" in models else "nn_pred")})
+    return score
+
+
 # --------------------------------------------------------------------------- M11
 EPOCH = datetime.date(1970, 1, 1)
 TOGETHER = 16                   # days whose fits share their jobs, and whose rows are written together

@@ -22,9 +22,11 @@ them into broadcast joins only after measuring the materialised side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.search import floor_entry
+
 BKT, RN, IDX, HALO = "_bkt", "_rn", "_idx", "_halo"
 
 
@@ -77,7 +79,38 @@ def _halo_targets(buckets: DataFrame, k: list[str], halo: int) -> DataFrame:
                  .alias("_targets")))
 
 
-REFINE = ("hour", "minute", "second")
+REFINE = ("hour", "minute", "second", "millisecond", "microsecond")
+# bucket starts carried in the plan as one sorted array: at most this many bytes (key and start each)
+MAX_START_BYTES = 8 << 20
+_ZERO = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _micros(c: str) -> Column:
+    return F.expr(f"timestampdiff(MICROSECOND, {_ZERO}, `{c}`)")
+
+
+class Starts:
+    """Sorted (key, start) pairs that travel in the plan."""
+
+    def __init__(self, rows: DataFrame, k: list[str], start: str):
+        fields = [f"`{c}`:{rows.schema[c].dataType.simpleString()}" for c in k]
+        self.k, self.schema = k, f"struct<{','.join(fields)},s:bigint>"
+        sized = rows.select(*k, _micros(start).alias("s"))
+        text = F.to_json(F.struct(*k, "s"))
+        size = sized.agg(F.sum(F.octet_length(text)).alias("b")).first().b or 0     # one number back
+        self.fits = size <= MAX_START_BYTES
+        self.entries = [r.j for r in sized.orderBy(*k, "s").select(text.alias("j")).collect()] if self.fits else []
+
+    def floor(self, order: str) -> Column:
+        """The start at or before a row's time, of its key; NULL if there is none."""
+        if not self.entries:
+            return F.lit(None).cast("timestamp_ntz")
+        table = F.from_json(F.lit("[" + ",".join(self.entries) + "]"), f"array<{self.schema}>")      # folded to one literal
+        found = floor_entry(table, len(self.entries), F.struct(*[F.col(c) for c in self.k], _micros(order).alias("s")))
+        same = F.lit(True)
+        for c in self.k:
+            same = same & (found[c] == F.col(c))
+        return F.when(same, F.timestamp_add("MICROSECOND", found["s"], F.expr(_ZERO)))
 
 
 def assign_buckets(df: DataFrame, key, order: str, target_rows: int, base: str = "day",
@@ -96,10 +129,50 @@ def assign_buckets(df: DataFrame, key, order: str, target_rows: int, base: str =
       aggregates only the rows of hot units and is skipped when none is hot.
 
     A bucket's key is the timestamp its range starts at; ranges are disjoint,
-    so ordering by ``_bkt`` is ordering by time.
+    so ordering by ``_bkt`` is ordering by time.  Only rows of one key and one
+    microsecond cannot be told apart and stay in one bucket.
+
+    The starts, one per bucket, are a sorted array in the plan, and a row finds
+    its own by binary search: assigning buckets moves no rows.  Beyond
+    ``MAX_START_BYTES`` of starts the rows are joined to the table of units.
     """
     from ..session import materialize
     k = _keys(key)
+    levels, open_rows, starts = (base, *refine), df, None
+    for i, unit in enumerate(levels):
+        last = i == len(levels) - 1
+        grp = [*k] + (["_p"] if i else [])
+        src = open_rows.withColumn("_u", F.date_trunc(unit, F.col(order)))
+        if i:
+            src = src.withColumn("_p", F.date_trunc(levels[i - 1], F.col(order)))
+        wp = Window.partitionBy(*grp).orderBy("_u")
+        units = (src.groupBy(*grp, "_u").agg(F.count(F.lit(1)).alias("_c"))
+                 .withColumn("_before", F.coalesce(F.sum("_c").over(wp.rowsBetween(Window.unboundedPreceding, -1)),
+                                                   F.lit(0)))
+                 .withColumn("_pack", F.floor(F.col("_before") / F.lit(target_rows)))
+                 .withColumn("_hot", F.lit(False) if last else F.col("_c") > target_rows))
+        packs = units.where(~F.col("_hot")).groupBy(*grp, "_pack").agg(F.min("_u").alias("_start"))
+        found = materialize(packs.select(*k, "_start", F.lit(False).alias("_hot")).unionByName(
+            units.where("_hot").select(*k, F.col("_u").alias("_start"), "_hot")))
+        closed = found.where(~F.col("_hot"))
+        starts = closed if starts is None else starts.unionByName(closed)
+        hot = found.where("_hot")
+        if hot.isEmpty():
+            break
+        held = Starts(hot, k, "_start")
+        if not held.fits:
+            return _assign_by_join(df, key, order, target_rows, base, refine)
+        # the rows of hot units: the greatest hot start at or before their unit is the unit itself
+        probe = df.withColumn("_u", F.date_trunc(unit, F.col(order)))
+        open_rows = probe.where(F.coalesce(held.floor("_u") == F.col("_u"), F.lit(False))).drop("_u")
+    held = Starts(starts, k, "_start")
+    return df.withColumn(BKT, held.floor(order)) if held.fits else _assign_by_join(df, key, order, target_rows, base, refine)
+
+
+def _assign_by_join(df: DataFrame, key, order: str, target_rows: int, base: str, refine: tuple[str, ...]) -> DataFrame:
+    """``assign_buckets`` with a join per level, for more starts than a plan should carry."""
+    from ..session import materialize
+    k = _keys(key)
     levels = (base, *refine)
     d = df.withColumn(BKT, F.lit(None).cast("timestamp_ntz")).withColumn("_open", F.lit(True))
     parent = None
@@ -179,8 +252,9 @@ def index_rows(df: DataFrame, key, order: str, unit: str = "day", tie: tuple[str
     Buckets: fixed ``unit`` ranges, or with ``target_rows`` the adaptive
     buckets of ``assign_buckets`` (packed light days, split hot ones).
 
-    Shuffles: the input by (key, bucket) once; the small bucket table; the
-    final window shuffles rows (with their copies) by (key, bucket) again.
+    Shuffles of the rows: two.  By (key, bucket) for the numbering, and with
+    their copies by (key, bucket) again for the final window; the bucket
+    table and the unit counts are small.
     """
     k = _keys(key)
     fill = list(fill or [])

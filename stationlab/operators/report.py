@@ -191,21 +191,49 @@ def drift_summary(drift: DataFrame) -> DataFrame:
             .withColumn("health", B.health_status(F.col("last_date"))))
 
 
-def live_error(obs: DataFrame, preds: DataFrame, summary: DataFrame) -> DataFrame:
-    """Latest observation per region -> champion prediction and its error.
+def nearest_hour(obs: DataFrame, rows: DataFrame, key: str = "region", ts: str = "datetime") -> DataFrame:
+    """``obs`` (one row per key and ``ts``) with the row of ``rows`` that is nearest in time, as struct ``near``.
 
-    ``summary`` is the one-row drift summary (a global aggregate): its
-    champion label is read as one value; the observation/prediction join is
-    an equi-join on the key.
+    Candidates are rows of the same key in the observation's hour or the hour on either side (an
+    equi-join on key and hour); the least distance wins, of equal ones the earlier row.  An
+    observation without a candidate, or without a time, is kept with a NULL ``near``.
+    """
+    hour = F.date_trunc("hour", F.col(ts))
+    asked = small_side(obs.select(F.col(key).alias("_key"), F.col(ts).alias("_at")).distinct())
+    hours = asked.withColumn("_hour", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda h: F.timestamp_add(
+        "HOUR", h, F.date_trunc("hour", F.col("_at"))))))
+    near = (rows.select(F.struct(*rows.columns).alias("near"), F.col(key).alias("_k"), hour.alias("_h"), F.col(ts).alias("_t"))
+            .join(hours, (F.col("_k") == F.col("_key")) & (F.col("_h") == F.col("_hour"))))
+    gap = F.abs(F.timestamp_diff("MICROSECOND", F.col("_at"), F.col("_t")))
+    best = near.groupBy("_key", "_at").agg(F.min_by("near", F.struct(gap, F.col("_t"))).alias("near"))
+    return obs.join(small_side(best), (F.col(key) == F.col("_key")) & (F.col(ts) == F.col("_at")), "left").drop("_key", "_at")
+
+
+def live_error(obs: DataFrame, archive: DataFrame, summary: DataFrame, score=None) -> DataFrame:
+    """Latest observation per region -> champion prediction for its nearest hour, and the error.
+
+    ``archive`` holds both models' predictions, or, with ``score``, feature rows: the nearest one of a
+    region gets the observation's time (P22), and ``score`` (a function of DataFrames, such as the
+    loaded models of ``training.live_scorer``) adds the predictions.  ``summary`` is the one-row drift
+    summary; its champion label is read as one value.  A region without a row near its observation
+    is kept, without prediction and error.
     """
     champ = summary.select("champion").first()
     latest = latest_per_region(obs.select("region", "datetime", F.col("temperature").alias("actual")))
-    j = (preds.select("region", "datetime", *PRED_COLS.values()).join(small_side(latest), ["region", "datetime"])
-         .withColumn("champion", F.lit(champ.champion if champ else B.MODEL_TREE)))
+    if score is None:
+        near = nearest_hour(latest, archive.select("region", "datetime", *PRED_COLS.values()))
+        j = near.select("region", "datetime", "actual", *[F.col(f"near.{c}").alias(c) for c in PRED_COLS.values()])
+    else:
+        near = nearest_hour(latest, archive)
+        found = near.where("near IS NOT NULL").select(F.col("datetime").alias("_seen"), "actual", "near.*")
+        scored = score(inject_datetime(found.withColumn("target_datetime", F.col("_seen"))))
+        j = scored.select("region", F.col("_seen").alias("datetime"), "actual", *PRED_COLS.values()).unionByName(
+            near.where("near IS NULL").select("region", "datetime", "actual"), allowMissingColumns=True)
+    j = j.withColumn("champion", F.lit(champ.champion if champ else B.MODEL_TREE))
     pred = F.when(F.col("champion") == B.MODEL_NETWORK, F.col(PRED_COLS["nn"])).otherwise(F.col(PRED_COLS["xgb"]))
     return (j.select("region", "datetime", "actual", "champion", pred.alias("prediction"))
             .withColumn("error", F.abs(F.col("prediction") - F.col("actual")))
-            .withColumn("error_band", B.error_band(F.col("error"))))
+            .withColumn("error_band", F.when(F.col("error").isNotNull(), B.error_band(F.col("error")))))
 
 
 # --------------------------------------------------------------------------- requests

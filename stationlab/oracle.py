@@ -318,13 +318,53 @@ LEFT JOIN first_row f ON r.region = f.region AND r.date = f.date""")
 SQL["live_error"] = _w(f"{PREDICTIONS}, {DRIFT}", f""", champ AS (
   SELECT CASE WHEN max_by(nn_mae, date) IS NOT NULL AND max_by(nn_mae, date) < max_by(xgb_mae, date)
               THEN 'Neural Network' ELSE 'XGBoost' END AS champion FROM drift),
-latest AS (SELECT event_type AS region, max(ts) AS datetime, max_by(value, ts) AS actual FROM events GROUP BY 1),
+latest AS (
+  SELECT event_type AS region, max(ts) + INTERVAL 5 MINUTE AS datetime, max_by(value, ts) AS actual FROM events GROUP BY 1
+  UNION ALL SELECT 'Atlantis', max(ts) + INTERVAL 5 MINUTE, max(value) FROM events),
+near AS (
+  SELECT l.region, arg_min(p, row(abs(epoch_us(p.datetime) - epoch_us(l.datetime)), p.datetime)) AS p
+  FROM latest l JOIN preds p ON l.region = p.region
+    AND date_trunc('hour', p.datetime) BETWEEN date_trunc('hour', l.datetime) - INTERVAL 1 HOUR AND date_trunc('hour', l.datetime) + INTERVAL 1 HOUR
+  GROUP BY l.region),
 j AS (SELECT l.region, l.datetime, l.actual, c.champion,
-        CASE WHEN c.champion = 'Neural Network' THEN p.temperature_nn_pred ELSE p.temperature_xgb_pred END AS prediction
-      FROM latest l JOIN preds p ON l.region = p.region AND l.datetime = p.datetime, champ c)
+        CASE WHEN c.champion = 'Neural Network' THEN n.p.temperature_nn_pred ELSE n.p.temperature_xgb_pred END AS prediction
+      FROM latest l LEFT JOIN near n ON l.region = n.region, champ c)
 SELECT region, datetime, actual, champion, {fx('prediction')} AS prediction, {fx('abs(prediction - actual)')} AS error,
-  CASE WHEN abs(prediction - actual) < 0.05 THEN 'excellent' WHEN abs(prediction - actual) < 0.5 THEN 'good'
-       ELSE 'needs_work' END AS error_band FROM j""")
+  CASE WHEN prediction IS NULL OR actual IS NULL THEN NULL WHEN abs(prediction - actual) < 0.05 THEN 'excellent'
+       WHEN abs(prediction - actual) < 0.5 THEN 'good' ELSE 'needs_work' END AS error_band FROM j""")
+CONTROL = """control AS (
+  SELECT chunk_key, CASE WHEN chunk_key IN (SELECT chunk_key FROM done) THEN 'done'
+                         WHEN chunk_key LIKE '%-02' THEN 'missing' ELSE 'planned' END AS status FROM plan)"""
+SQL["fetch_control"] = _w(f"{DAILY}, {ORDERS_PLAN}, {CONTROL}", "SELECT chunk_key, status, status = 'planned' AS next FROM control")
+SQL["fetch_coverage"] = _w(f"{DAILY}, {ORDERS_PLAN}, {CONTROL}", f"""SELECT n_planned, n_missing, n_done, n_total,
+  {fx('(n_missing + n_done) * 100.0 / n_total')} AS pct_settled FROM (
+  SELECT CAST(count_if(status = 'planned') AS BIGINT) AS n_planned, CAST(count_if(status = 'missing') AS BIGINT) AS n_missing,
+         CAST(count_if(status = 'done') AS BIGINT) AS n_done, count(*) AS n_total FROM control)""")
+SQL["residual_curve"] = _w(PREDICTIONS, f""", long AS (
+  SELECT 'xgb' AS model, temperature_actual - temperature_xgb_pred AS r FROM preds
+  UNION ALL SELECT 'nn', temperature_actual - temperature_nn_pred FROM preds),
+stats AS (SELECT model, count(r) AS n, min(r) AS lo, max(r) AS hi, stddev_samp(r) * pow(count(r), -0.2) AS bw FROM long GROUP BY model),
+grid AS (SELECT model, n, bw, lo - 3 * bw AS start, (hi - lo + 6 * bw) / 199 AS step FROM stats),
+dealt AS (
+  SELECT model, b, sum(w) AS w FROM (
+    SELECT l.model, least(floor((r - start) / step), 198) + k AS b,
+           CASE WHEN k = 0 THEN 1 - ((r - start) / step - least(floor((r - start) / step), 198))
+                ELSE (r - start) / step - least(floor((r - start) / step), 198) END AS w
+    FROM long l JOIN grid USING (model), (VALUES (0), (1)) t(k) WHERE r IS NOT NULL) GROUP BY model, b)
+SELECT d.model, CAST(p AS INTEGER) AS point, {fx('any_value(start + p * step)')} AS x,
+  {fx('sum(w * exp(-0.5 * pow((p - b) * step / bw, 2)) / (n * bw * sqrt(2 * pi())))')} AS density
+FROM dealt d JOIN grid USING (model), (SELECT unnest(range(200)) AS p) GROUP BY d.model, p""")
+SQL["request_rows_needed"] = _w(f"{HOURLY}, {REQ}", """SELECT 'recent' AS batch, region, count(*) AS n FROM hourly
+  WHERE datetime >= TIMESTAMP '2024-01-21 00:00:00'
+    OR (SELECT coalesce(bool_or(CAST(date AS TIMESTAMP) < TIMESTAMP '2024-01-21 00:00:00'), FALSE) FROM req WHERE date >= '2024-01-21') GROUP BY region
+  UNION ALL
+  SELECT 'old', region, count(*) FROM hourly WHERE datetime >= TIMESTAMP '2024-02-13 00:00:00'
+    OR (SELECT bool_or(CAST(date AS TIMESTAMP) < TIMESTAMP '2024-02-13 00:00:00') FROM req) GROUP BY region""")
+SQL["stream_late_rows"] = _w(PREDICTIONS, f"""SELECT strftime(datetime, '%Y-%m-%d') AS date,
+  {fx('avg(abs(temperature_actual - temperature_xgb_pred))')} AS xgb_mae, {fx('avg(abs(temperature_actual - temperature_nn_pred))')} AS nn_mae,
+  CAST(count_if(hour(datetime) = 7 AND datetime < TIMESTAMP '2024-01-15') AS BIGINT) AS n_late,
+  {fx("avg(CASE WHEN NOT (hour(datetime) = 7 AND datetime < TIMESTAMP '2024-01-15') THEN abs(temperature_actual - temperature_xgb_pred) END)")} AS xgb_mae_in_time
+FROM preds GROUP BY 1""")
 
 GRID_SQL = """scored AS (
   SELECT value AS temperature, """ + ", ".join(

@@ -539,10 +539,57 @@ def q_lookup(spark, sf_dir):
 
 @register("live_error")
 def q_live_error(spark, sf_dir):
-    """Latest observation per region vs the champion's prediction."""
+    """Latest observation per region vs the champion's prediction for its nearest hour.
+
+    Observations come five minutes after the archive's rows; one region has no archive."""
     preds = TB.predictions_from_events(spark, sf_dir)
     summary = RP.drift_summary(ST.daily_mae(preds))
-    return present(RP.live_error(TB.values_from_events(spark, sf_dir), preds, summary), ["prediction", "error"])
+    obs = TB.values_from_events(spark, sf_dir).withColumn("datetime", F.timestamp_add("MINUTE", F.lit(5), F.col("datetime")))
+    alone = obs.agg(F.max("datetime").alias("datetime"), F.lit("Atlantis").alias("region"), F.max("temperature").alias("temperature"))
+    return present(RP.live_error(obs.unionByName(alone), preds, summary), ["prediction", "error"])
+
+
+def _outcomes(spark, sf_dir):
+    """Outcomes as a fetch would append them: stored chunks twice, February chunks as missing even where rows came."""
+    root = _scratch(spark, "outcomes")
+    done = PL.done_chunks(TB.daily_from_orders(spark, sf_dir)).withColumn("status", F.lit("done"))
+    february = _plan(spark, sf_dir).where(F.col("chunk_key").endswith("-02")).select("chunk_key", F.lit("missing").alias("status"))
+    for part in (done.where("chunk_key < 'J'"), february, done, done.where("chunk_key < 'J'")):
+        SK.append_outcomes(part, f"{root}/outcomes")
+    return SK.read_outcomes(spark, f"{root}/outcomes")
+
+
+@register("fetch_control")
+def q_fetch_control(spark, sf_dir):
+    """State of every chunk from repeated and conflicting outcomes, and whether it is fetched next."""
+    plan = _plan(spark, sf_dir)
+    control = materialize(PL.control_table(plan, _outcomes(spark, sf_dir)))
+    todo = PL.to_fetch(plan, control).select("chunk_key", F.lit(True).alias("next"))
+    return control.join(todo, "chunk_key", "left").withColumn("next", F.coalesce("next", F.lit(False)))
+
+
+@register("fetch_coverage")
+def q_fetch_coverage(spark, sf_dir):
+    """Chunks by state."""
+    return present(PL.control_coverage(PL.control_table(_plan(spark, sf_dir), _outcomes(spark, sf_dir))), ["pct_settled"])
+
+
+@register("residual_curve")
+def q_residual_curve(spark, sf_dir):
+    """Gaussian density curve of both models' residuals on 200 points each."""
+    return present(ST.residual_curve(TB.predictions_from_events(spark, sf_dir), "temperature_actual", PREDS), ["x", "density"])
+
+
+@register("request_rows_needed")
+def q_request_rows_needed(spark, sf_dir):
+    """Rows read for a batch of requests by region: the tail for recent ones, everything for the others."""
+    h, req = TB.hourly_from_events(spark, sf_dir), TB.request_rows(spark, sf_dir)
+    out = None
+    for name, asked, as_of in (("recent", req.where("date >= '2024-01-21'"), "2024-01-28 00:00:00"),
+                               ("old", req, "2024-02-20 00:00:00")):
+        n = HR.for_requests(h, asked, as_of, days=7).groupBy("region").agg(F.count(F.lit(1)).alias("n")).withColumn("batch", F.lit(name))
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 # ------------------------------------------------------------------ leaderboards, metric tables
@@ -593,6 +640,7 @@ import uuid  # noqa: E402
 
 from .session import checkpoint_dir, materialize  # noqa: E402
 from .streaming import jobs as SJ  # noqa: E402
+from .streaming import versions as VS  # noqa: E402
 
 
 def _scratch(spark, name):
@@ -606,23 +654,31 @@ def _scratch(spark, name):
 def q_stream_latest(spark, sf_dir):
     """Latest observation per region from a file stream, snapshot table."""
     root = _scratch(spark, "latest")
-    obs = TB.stream_table(spark, sf_dir, "events").select(
+    obs = TB.table(spark, sf_dir, "events").select(
         F.col("event_type").alias("region"), F.col("ts").alias("timestamp"),
-        F.col("value").alias("temperature_2m"))
+        F.col("value").alias("temperature_2m"), F.col("event_id"))
+    # four files: the third brings rows older than those before it, the fourth repeats some
+    obs = TB.landed(obs, f"{root}/landing", ["event_id % 5 < 2", "event_id % 5 = 2", "event_id % 5 > 2", "event_id % 7 = 0"]).drop("event_id")
     SJ.run_latest_snapshot(obs, f"{root}/snapshot", f"{root}/_checkpoint").awaitTermination()
     return SJ.read_snapshot(spark, f"{root}/snapshot")
 
 
 @register("stream_upsert")
 def q_stream_upsert(spark, sf_dir):
-    """Lineitem arrivals merged into a hash-partitioned master, later arrival wins."""
+    """Lineitem arrivals of four landed files merged into a hash-partitioned master, later arrival wins.
+
+    The files follow the ship date, so keys of earlier files are corrected by later ones; the last
+    file arrives twice.  Buckets split as they pass 64 KB."""
     root = _scratch(spark, "upsert")
     key = ["l_orderkey", "l_linenumber"]
-    rows = TB.stream_table(spark, sf_dir, "lineitem").select(
+    rows = TB.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount")
-    SJ.run_upsert(rows, f"{root}/master", f"{root}/_checkpoint", key, ["l_shipdate", "l_partkey"],
-                  SJ.hash_bucket(key)).awaitTermination()
+    q = rows.select(F.expr("percentile_approx(l_shipdate, array(0.25, 0.5, 0.75))").alias("q")).first().q or [None] * 3
+    d = F.col("l_shipdate")
+    files = [d <= q[0], (d > q[0]) & (d <= q[1]), (d > q[1]) & (d <= q[2]), d > q[2], d > q[2]]
+    SJ.run_upsert(TB.landed(rows, f"{root}/landing", files), f"{root}/master", f"{root}/_checkpoint", key,
+                  ["l_shipdate", "l_partkey"], VS.HashBuckets(key, most=64 << 10)).awaitTermination()
     return SJ.read_master(spark, f"{root}/master")
 
 
@@ -636,11 +692,28 @@ def q_stream_daily_mae(spark, sf_dir):
     return present(SJ.read_latest_by(spark, f"{root}/daily", ["date"]), ["xgb_mae", "nn_mae"])
 
 
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Daily errors over three landed files; rows more than five days late are kept aside, counted, and
+    their days evaluated again with them."""
+    root = _scratch(spark, "late")
+    late, cut = "hour(datetime) = 7", "datetime < timestamp_ntz'2024-01-15'"
+    preds = TB.landed(TB.predictions_from_events(spark, sf_dir), f"{root}/landing",
+                      [f"{cut} AND NOT {late}", f"NOT ({cut})", f"{cut} AND {late}"])
+    SJ.run_daily_errors(preds, f"{root}/errors", f"{root}/_checkpoint", days=5).awaitTermination()
+    every = SJ.read_daily_errors(spark, f"{root}/errors", with_late=True)
+    in_time = SJ.read_daily_errors(spark, f"{root}/errors").select("date", F.col("xgb_mae").alias("xgb_mae_in_time"))
+    return present(every.join(in_time, "date"), ["xgb_mae", "nn_mae", "xgb_mae_in_time"])
+
+
 @register("stream_features")
 def q_stream_features(spark, sf_dir):
-    """R3 + R7: hourly rows upserted per batch, features refreshed incrementally."""
+    """R3 + R7: hourly rows of four landed files (the third late, the fourth repeated) upserted per batch,
+    features refreshed incrementally."""
     root = _scratch(spark, "features")
-    rows = TB.hourly_from_events(spark, sf_dir, events=TB.stream_table(spark, sf_dir, "events"))
+    h = TB.hourly_from_events(spark, sf_dir)
+    cut, late = "datetime < timestamp_ntz'2024-01-15'", "hour(datetime) = 7"
+    rows = TB.landed(h, f"{root}/landing", [f"{cut} AND NOT {late}", f"NOT ({cut}) AND NOT {late}", late, "hour(datetime) = 9"])
     SJ.run_features(rows, f"{root}/master", f"{root}/features", f"{root}/_checkpoint").awaitTermination()
     return present(SJ.read_features(spark, f"{root}/features"), ROLL_NAMES)
 

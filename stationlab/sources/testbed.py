@@ -45,6 +45,15 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(path)
 
 
+def landed(df: DataFrame, folder: str, parts: list) -> DataFrame:
+    """The rows of a test table landed file by file, in order, as a stream with one file a trigger.
+
+    ``parts`` are conditions; a row is in the file of each one it meets (rows that meet several arrive again)."""
+    for i, part in enumerate(parts):
+        df.where(part).coalesce(1).write.parquet(f"{folder}/f{i}")
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/f*")
+
+
 def hourly_from_events(spark: SparkSession, sf_dir: str, with_id: bool = False,
                        events: DataFrame | None = None) -> DataFrame:
     e = table(spark, sf_dir, "events") if events is None else events

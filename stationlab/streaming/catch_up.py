@@ -24,12 +24,15 @@ from . import jobs as SJ
 DEFAULT_LAST = "2024-12-31"
 
 
-def pending_days(spark: SparkSession, drift_path: str, today: str, after: str = DEFAULT_LAST) -> list[str]:
-    """Days after ``after`` up to yesterday that have no drift row (C2, A6); empty when caught up.
-    The list is calendar-sized (one entry per missed day), not data-sized."""
+def pending_days(spark: SparkSession, drift_path: str, today: str, default: str = DEFAULT_LAST) -> list[str]:
+    """Days up to yesterday that have no drift row (C2, A6): after the table's first day, or after
+    ``default`` where there is none yet; empty when caught up.  The list is calendar-sized (one entry
+    per missed day), not data-sized."""
+    drift = None if existing(spark, drift_path) is None else SK.read_drift(spark, drift_path).select("date")
+    after = (drift.agg(F.min("date")).first()[0] if drift is not None else None) or default
     plan = spark.range(1).select(F.explode(day_plan(after, today)).alias("d")).select(F.col("d").cast("string").alias("date"))
-    if existing(spark, drift_path) is not None:
-        plan = plan.join(SK.read_drift(spark, drift_path).select("date"), "date", "left_anti")
+    if drift is not None:
+        plan = plan.join(drift, "date", "left_anti")
     return sorted(r.date for r in plan.collect())
 
 

@@ -12,6 +12,7 @@ from stationlab.operators import features as FE
 from stationlab.operators import report as RP
 from stationlab.sources import testbed as TB
 from stationlab.streaming import jobs as SJ
+from stationlab.streaming import versions as VS
 
 
 def _sorted(df):
@@ -250,30 +251,123 @@ def test_streaming_reads_prune_day_partitions(spark, tmp_out):
     import datetime as dt
     root = os.path.join(tmp_out, uuid.uuid4().hex)
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), "A", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(96)]
-    up = SJ.upsert_batch(f"{root}/master", ["datetime", "region"], [], SJ.day_of("datetime"))
+    up = SJ.upsert_batch(f"{root}/master", ["datetime", "region"], [], VS.DayOf("datetime"))
     up(spark.createDataFrame(rows, _SCH), 0)
-
-    def files():
-        return {d: sorted(os.listdir(os.path.join(root, "master", d)))
-                for d in os.listdir(os.path.join(root, "master")) if d.startswith("_day=")}
-    before = files()
+    before = VS.live(spark, f"{root}/master")
     late = spark.createDataFrame(rows[50:52], _SCH)
-    up(late, 1)                                     # touches one day: only that folder is read and rewritten
-    after = files()
-    assert [d for d in before if before[d] != after[d]] == ["_day=2024-01-03"]
+    up(late, 1)                                     # touches one day: only that partition is read and written
+    after = VS.live(spark, f"{root}/master")
+    assert before.keys() == after.keys() == {f"2024-01-0{d}" for d in range(1, 5)}
+    assert [d for d in before if before[d] != after[d]] == ["2024-01-03"]
     assert SJ.read_master(spark, f"{root}/master").count() == 96
     recent = SJ.read_master(spark, f"{root}/master", dt.date(2024, 1, 3))
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
-    assert "PartitionFilters: [isnotnull(_day" in scan and "(_day" in scan and ">= 2024-01-03" in scan, scan
+    assert {f.split("_part=")[1][:10] for f in recent.inputFiles()} == {"2024-01-03", "2024-01-04"}
     assert recent.count() == 48
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_a_write_that_stops_before_its_commit_changes_nothing(spark, tmp_out, monkeypatch):
+    import datetime as dt
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(hours=i), "A", float(i % 7), 1.0, float(i % 3), 1.0, 1.0) for i in range(80)]
+    write = SJ.features_batch(f"{root}/m", f"{root}/f")
+    write(spark.createDataFrame(rows, _SCH), 0)
+    first = (_sorted(SJ.read_master(spark, f"{root}/m")), _sorted(SJ.read_features(spark, f"{root}/f")))
+    batch = spark.createDataFrame([(t0 + dt.timedelta(hours=30), "A", 99.0, 2.0, 2.0, 2.0, 2.0)], _SCH)
+    real, calls = VS._sizes, []
+
+    def stop_at(n):
+        def sizes(*args):
+            calls.append(1)
+            if len(calls) == n:
+                raise Stopped
+            return real(*args)
+        calls.clear()
+        monkeypatch.setattr(VS, "_sizes", sizes)
+    for n, expected in ((1, "master"), (2, "features")):    # after the new version is written, before its manifest
+        stop_at(n)
+        try:
+            write(batch, 1)
+        except Stopped:
+            pass
+        monkeypatch.setattr(VS, "_sizes", real)
+        features = _sorted(SJ.read_features(spark, f"{root}/f"))
+        assert features == first[1], expected
+        if n == 1:
+            assert _sorted(SJ.read_master(spark, f"{root}/m")) == first[0]
+    # a manifest cut short has no success mark and is not read
+    number = max(VS._numbers(spark, f"{root}/f"))
+    os.makedirs(f"{root}/f/manifest/{number + 1:020d}")
+    assert _sorted(SJ.read_features(spark, f"{root}/f")) == first[1]
+    write(batch, 1)                                         # replayed: whole
+    final = CL.upsert(spark.createDataFrame(rows, _SCH), batch)
+    want = FE.feature_table(final, method="window")
+    assert _sorted(SJ.read_features(spark, f"{root}/f").select(want.columns)) == _sorted(want)
+    assert _sorted(SJ.read_master(spark, f"{root}/m")) == _sorted(final)
+    gone = VS.vacuum(spark, f"{root}/m", keep=1)
+    assert gone and _sorted(SJ.read_master(spark, f"{root}/m")) == _sorted(final)
+    assert len(os.listdir(f"{root}/m/manifest")) == 1
+
+
+def test_buckets_split_as_they_grow_and_a_batch_writes_its_own_only(spark, tmp_out):
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    sch = "k long, seq long, v double"
+    part = VS.HashBuckets(["k"], most=2000, depth=1)
+    up = SJ.upsert_batch(f"{root}/m", ["k"], ["seq"], part)
+    for b in range(4):
+        up(spark.range(1500).selectExpr("id AS k", f"CAST({b} AS LONG) AS seq", f"CAST(xxhash64(id) % 1000 AS DOUBLE) + {b} AS v"), b)
+    parts = VS.live(spark, f"{root}/m")
+    assert len(parts) > 8 and sum(2.0 ** -p.depth for p in parts.values()) == 1.0       # the whole hash range, once
+    touched = spark.createDataFrame([(7, 9, 1.0), (8, 9, 1.0), (9000, 9, 2.0)], sch)
+    up(touched, 4)
+    after = VS.live(spark, f"{root}/m")
+    kept = [p for p in parts if after.get(p) == parts[p]]
+    assert len(parts) - len(kept) <= 3
+    got = {r.k: (r.seq, r.v) for r in SJ.read_master(spark, f"{root}/m").collect()}
+    assert len(got) == 1501 and got[7] == (9, 1.0) and got[9000] == (9, 2.0) and all(s == 3 for k, (s, _) in got.items() if k not in (7, 8, 9000))
+
+
+def test_a_directory_of_ten_thousand_buckets(spark):
+    depth = 14
+    parts = {p: VS.Part(p, "v", 100, d) for p, d in VS.first_buckets(depth).items()}
+    assert len(parts) == 16_384
+    keys = spark.range(500).select("id", VS.HashBuckets(["id"]).value(parts).alias("p"), F.xxhash64("id").alias("h")).collect()
+    touched = {r.p for r in keys}
+    assert 400 < len(touched) <= 500 and touched <= set(parts)
+    assert all(int(r.p) <= r.h < int(r.p) + (1 << (64 - depth)) for r in keys)
+    big = {p: VS.Part(p, "v", 1000 if p in touched else 100, depth) for p in parts}
+    grown = VS.grown(big, touched, most=300)
+    assert len(grown) == 16_384 + 3 * len(touched) and all(grown[p] == depth for p in parts if p not in touched)
+    assert sum(2.0 ** -d for d in grown.values()) == 1.0
+
+
+def test_late_rows_are_kept_counted_and_evaluated_again(spark, tmp_out):
+    import datetime as dt
+    root = os.path.join(tmp_out, uuid.uuid4().hex)
+    batches = [[(dt.datetime(2024, 6, 1, h), "A", 10.0, 11.0, 12.0) for h in range(3)],
+               [(dt.datetime(2024, 5, 25, 5), "A", 10.0, 13.0, 13.0), (dt.datetime(2024, 6, 1, 9), "A", 10.0, 14.0, 10.0),
+                (dt.datetime(2024, 5, 30, 5), "A", 10.0, 10.0, 10.0), (None, "A", 10.0, 10.0, 10.0)]]
+    write = SJ.daily_errors_batch(root, days=5)
+    for i, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, S.PREDICTIONS), i)
+    write(spark.createDataFrame(batches[1], S.PREDICTIONS), 1)          # replayed
+    late = SJ.read_late(spark, root).collect()
+    assert [(r.datetime, r._batch) for r in late] == [(dt.datetime(2024, 5, 25, 5), 1)]
+    got = {r.date: (r.xgb_mae, r.nn_mae, r.n_late) for r in SJ.read_daily_errors(spark, root).collect()}
+    assert got == {"2024-06-01": (1.5, 1.75, 0), "2024-05-30": (0.0, 0.0, 0), "2024-05-25": (None, None, 1), None: (0.0, 0.0, 0)}
+    again = {r.date: (r.xgb_mae, r.nn_mae) for r in SJ.read_daily_errors(spark, root, with_late=True).collect()}
+    assert again["2024-05-25"] == (3.0, 3.0) and again["2024-06-01"] == (1.5, 1.75)
+
+
 def test_upsert_keeps_rows_without_a_day(spark, tmp_out):
     import datetime as dt
     root = os.path.join(tmp_out, uuid.uuid4().hex)
     sch = "datetime timestamp_ntz, region string, temperature double"
-    up = SJ.upsert_batch(f"{root}/m", ["datetime", "region"], [], SJ.day_of("datetime"))
+    up = SJ.upsert_batch(f"{root}/m", ["datetime", "region"], [], VS.DayOf("datetime"))
     t = dt.datetime(2024, 1, 1)
     up(spark.createDataFrame([(None, "A", 1.0), (t, "A", 2.0)], sch), 0)
     up(spark.createDataFrame([(None, "B", 3.0), (t, "B", 4.0)], sch), 1)
