@@ -31,6 +31,7 @@ from stationlab.llm.common import fresh, keep, small, word_count
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST_TIMES = 2
+EACH = 10_000           # copies numbered at a time
 CELLS = 4096
 
 
@@ -71,7 +72,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: int = SHARE_PERCENT
 def _numbered(sizes: DataFrame) -> DataFrame:
     """Equal rows as one row with their number; draws are numbered within it."""
     groups = sizes.groupBy("doc_id", "source", "digest", "no_text", "size").agg(F.count("*").alias("n_same"))
-    return groups.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_same")))).drop("n_same")
+    # in two steps: no array grows with the number of a row's copies
+    parts = groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_same") - 1) / EACH))))
+    last = F.least(F.col("n_same"), (F.col("part") + 1) * EACH)
+    return parts.withColumn("copy", F.explode(F.sequence(F.col("part") * EACH + 1, last))).drop("n_same", "part")
 
 
 def _ranked(draws: DataFrame, targets: DataFrame) -> DataFrame:
@@ -144,10 +148,14 @@ def pareto_mix(docs: DataFrame, weights=WEIGHTS, share: int = SHARE_PERCENT, mos
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: int = SHARE_PERCENT, most: int = MOST_TIMES, text: str = "text",
                     source: str = "source", id_column: str = "doc_id") -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, all columns kept."""
+    """The mix itself: every row of ``docs`` as often as it is taken, all columns kept.
+
+    Rows equal in id, source and text share a group's draws; those that differ in other columns take
+    them in the order of a hash of all columns (as JSON), so no row is lost and reruns agree."""
     sizes = sizes_of(docs, text, source, id_column)
     targets = small(source_targets(sizes, weights, share, most))
-    per_group = (pareto_draws(sizes, targets).groupBy("doc_id", "source", "digest", "no_text")
+    drawn = pareto_draws(sizes, targets)
+    per_group = (drawn.groupBy("doc_id", "source", "digest", "no_text")
                  .agg(F.sum("copies").alias("copies"), F.count("*").alias("n_same")))
     names = {c: fresh(docs, c) for c in ("m_doc", "m_source", "m_digest", "m_none", "m_copies", "m_same", "m_each")}
     g = keep(per_group.select(*[F.col(a).alias(names[b]) for a, b in zip(
@@ -166,6 +174,23 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: int = SHARE_PERCENT
     several = g.filter(c["m_same"] > 1)
     if several.isEmpty():
         return single
-    # equal rows are drawn as a group: one of them stands for all
-    shared = docs.join(several, same, "left_semi").dropDuplicates([id_column, source, text])
-    return single.unionByName(repeated(shared, several))
+    each = ["m_doc", "m_source", "m_digest", "m_none"]
+    k, variant, number = [names[x] for x in each], fresh(docs, "m_variant"), fresh(docs, "m_number")
+    rows = docs.join(several, same).withColumn(variant, F.xxhash64(F.to_json(F.struct(*[F.col(f"`{x}`") for x in docs.columns]))))
+    kinds = rows.groupBy(*k, variant).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(*k).orderBy(variant).rowsBetween(Window.unboundedPreceding, 0)
+    kinds = kinds.withColumn("end", F.sum("n").over(upto))
+    parts = kinds.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / EACH))))
+    begin = F.col("end") - F.col("n") + F.col("part") * EACH
+    numbered = parts.withColumn(number, F.explode(F.sequence(begin + 1, F.least(F.col("end"), begin + EACH))))
+    mine = F.col(number) == F.col("copy")
+    for x, y in zip(each, ("doc_id", "source", "digest", "no_text"), strict=True):
+        mine = mine & F.col(names[x]).eqNullSafe(drawn[y])
+    taken = numbered.join(drawn, mine).groupBy(*k, variant).agg(F.sum("copies").alias("copies"))
+    t = {x: f"t_{i}" for i, x in enumerate([*k, variant])}
+    alike, copies = F.lit(True), fresh(docs, "m_taken")
+    for x, y in t.items():
+        alike = alike & F.col(x).eqNullSafe(F.col(y))
+    taken = taken.select(*[F.col(x).alias(y) for x, y in t.items()], F.col("copies").alias(copies))
+    one = rows.dropDuplicates([*k, variant]).join(taken, alike).filter(F.col(copies) > 0)       # rows of a kind are equal in all columns
+    return single.unionByName(one.withColumn(names["m_each"], F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns))

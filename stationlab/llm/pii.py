@@ -101,6 +101,47 @@ area 51 and route 66 are known
 """
 
 
+LOCAL_PART = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+DOTTED = re.compile(r"[0-9][0-9.]*")
+
+
+def email_matches(text: str):
+    """The matches of the e-mail pattern, from one @ to the next: linear in the text, whatever its unbroken runs."""
+    begin, at = 0, text.find("@")
+    while at >= 0:
+        start = begin + len(text[begin:at].rstrip(LOCAL_PART))
+        m = DOMAIN.match(text, at + 1) if start < at else None
+        begin = at + 1
+        if m:
+            yield start, m.end()
+            begin = m.end()
+        at = text.find("@", begin)
+
+
+def ip_matches(text: str):
+    """The matches of the ip pattern: four groups of digits in a row, looked for in runs of digits and dots."""
+    for run in DOTTED.finditer(text):
+        s = run.group()
+        if s.count(".") < 3:
+            continue
+        start, groups = run.start(), []
+        for part in s.split("."):
+            groups = [*groups, (start, start + len(part))] if part else []
+            start += len(part) + 1
+            if len(groups) == 4:
+                yield groups[0][0], groups[3][1]
+                groups = []
+
+
+def pattern_matches(kind: str, text: str):
+    if kind == "email":
+        return email_matches(text)
+    if kind == "ip":
+        return ip_matches(text)
+    return (m.span() for m in PATTERNS[kind].finditer(text))
+
+
 def base_spans(text: str) -> list:
     """(start, kind number, end) of the patterns' matches that pass their tests."""
     out = []
@@ -109,9 +150,9 @@ def base_spans(text: str) -> list:
     for k, kind in enumerate(KINDS):
         if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
             continue
-        for m in PATTERNS[kind].finditer(text):
-            s = m.group()
-            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p) > 255 for p in s.split(".")):
+        for start, end in pattern_matches(kind, text):
+            s = text[start:end]
+            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p.lstrip("0") or 0) > 255 for p in s.split(".")):
                 continue
             if kind in ("card", "phone"):
                 digits = [ord(c) - 48 for c in s if c in "0123456789"]
@@ -119,7 +160,7 @@ def base_spans(text: str) -> list:
                     continue
                 if kind == "phone" and not 10 <= len(digits) <= 15:
                     continue
-            out.append((m.start(), k, m.end()))
+            out.append((start, k, end))
     return sorted(out)
 
 

@@ -67,7 +67,7 @@ class ToxicModel:
 
     def prepare(self) -> None:
         get = self.weights.get
-        self.words = Memory(lambda w: sum(get(f, 0.0) for f in word_features(w)), 300_000)
+        self.words = Memory(lambda w: sum(get(f, 0.0) for f in word_features(w)))
 
     def sentence(self, words: list) -> float:
         return self.bias + sum(map(self.words.__getitem__, words))
@@ -91,7 +91,8 @@ class ToxicModel:
 
 
 def in_training(id_column: Column) -> Column:
-    return F.crc32(id_column.cast("string")) % 3 != 1
+    """Rows whose labels may be learned; a row without id has no label and is not held out."""
+    return F.coalesce(F.crc32(id_column.cast("string")) % 3 != 1, F.lit(True))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS,
