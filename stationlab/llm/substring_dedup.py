@@ -12,8 +12,8 @@ copies hold too.  Chunks are deduplicated by digest (104 bits and the length):
 * a join marks the chunks with such a digest (skewed digests are split by AQE),
 * the marked chunks of a document are merged into spans of words;
 * a span shorter than the report's least length is not dropped yet, for its chunks lie inside the passage:
-  its document, and the first and the last one that hold such a chunk, give all windows of the
-  least length around the chunk, and those found in two or more documents join the spans.
+  every document that holds such a chunk gives all windows of the least length around it, and those
+  found in two or more documents join the spans.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``; null, empty and short texts
 (under ``MIN_WORDS`` words) hold no chunk; rows with the same doc_id are one
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlab.llm.common import U64, WordHashes, column_bytes, column_list, keep, mix64, slices, small
+from stationlab.llm.common import U64, WordHashes, column_bytes, column_list, fresh, keep_table, mix64, slices, small
 
 MIN_WORDS = 12
 MAX_GAP = 64
@@ -184,13 +184,24 @@ def window_rows(docs: DataFrame, asked: DataFrame, text: str, id_column: str, mi
     return source.mapInArrow(run, "digest long, check long, doc long, start int")
 
 
+MOST_BYTES = 16 << 20        # of digests sent to all executors
+
+
+def bounded(asked: DataFrame) -> DataFrame:
+    """Asked documents with their digests: broadcast up to ``MOST_BYTES``, joined by id beyond."""
+    size = asked.agg(F.sum(F.size("names") * 8 + 40).alias("b")).first()["b"] or 0
+    return F.broadcast(asked) if size <= MOST_BYTES else asked
+
+
 def whole_spans(docs: DataFrame, text: str, id_column: str, min_words: int, report_words: int, later: bool = False) -> DataFrame:
     """doc, first, long (spans), starts (of windows to add to the spans; null where there are none)."""
-    found = keep(split_spans(marked_chunks(docs, text, id_column, min_words), report_words, later))
-    short = found.select("doc", F.explode("short").alias("c"))
-    asked = (short.select(F.explode(F.array("doc", "c.first", "c.last")).alias("id"), F.col("c.digest").alias("digest"))
-             .groupBy("id").agg(F.collect_set("digest").alias("names")))
-    rows = window_rows(docs, small(asked), text, id_column, min_words, report_words)
+    per_doc = keep_table(marked_chunks(docs, text, id_column, min_words))
+    found = keep_table(split_spans(per_doc, report_words, later))
+    short = small(found.select(F.explode("short").alias("c")).select("c.digest", "c.check").distinct())
+    holders = (per_doc.select(F.col("doc").alias("id"), F.explode("chunks").alias("c")).select("id", "c.digest", "c.check")
+               .join(short, ["digest", "check"]))
+    asked = bounded(keep_table(holders.groupBy("id").agg(F.collect_set("digest").alias("names"))))
+    rows = window_rows(docs, asked, text, id_column, min_words, report_words)
     shared = (rows.groupBy("digest", "check").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
               .filter(F.col("first_doc") < F.col("last_doc")).drop("last_doc"))
     more = rows.join(shared, ["digest", "check"])
@@ -240,17 +251,18 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
                     report_words: int = REPORT_WORDS) -> DataFrame:
     """``docs`` with the repeated spans cut out of every document but the one with the least doc_id of
     those that hold the passage; all columns kept, rows without doc_id as they are."""
+    r_doc, r_long, r_starts = (fresh(docs, c) for c in ("r_doc", "r_long", "r_starts"))
     later = (whole_spans(docs, text, id_column, min_words, report_words, later=True)
-             .select(F.col("doc").alias("__doc"), F.col("long").alias("__long"), F.col("starts").alias("__starts")))
-    joined = docs.join(later, F.col(id_column).cast("long") == F.col("__doc"), "left").drop("__doc")
+             .select(F.col("doc").alias(r_doc), F.col("long").alias(r_long), F.col("starts").alias(r_starts)))
+    joined = docs.join(later, docs[id_column].cast("long") == later[r_doc], "left").drop(r_doc)
 
     def cut(batches):
         for batch in batches:
             texts = column_bytes(batch, text)
-            for i, (long, starts) in enumerate(zip(column_list(batch, "__long"), column_list(batch, "__starts"), strict=True)):
+            for i, (long, starts) in enumerate(zip(column_list(batch, r_long), column_list(batch, r_starts), strict=True)):
                 if long or starts:
                     texts[i] = cut_words(texts[i], with_windows(long or [], starts, report_words))
-            names = [c for c in batch.schema.names if c not in ("__long", "__starts")]
+            names = [c for c in batch.schema.names if c not in (r_long, r_starts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x if x is None else x.decode() for x in texts], pa.string()) if c == text
                  else batch.column(batch.schema.get_field_index(c)) for c in names], names)
