@@ -47,7 +47,7 @@ class Odd(Exception):
 
 
 class PrefixTable:
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str):
         import regex
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -72,8 +72,8 @@ class PrefixTable:
                 self.tokens[raw[t]] = i
         self.starts = dict.fromkeys((t[:k] for t in self.tokens for k in range(1, len(t))), -1) | self.tokens
         self.cut = regex.compile(BYTE_PIECES).findall
-        self.pieces = Memory(self._piece, most)
-        self.parts = Memory(self._part, most)
+        self.pieces = Memory(self._piece)
+        self.parts = Memory(self._part)
         self.part = self.parts.__getitem__
         self.runs = regex.compile(r"\s{2,}(?=\S)")
         self.apart = re.compile(r"(?<=\S) (?=\S)")
@@ -123,7 +123,7 @@ class PrefixTable:
                 if j:
                     ok = pairs.get(key := before << 20 | t)
                     if ok is None:
-                        if len(pairs) > 2_000_000:
+                        if len(pairs) > 600_000:        # about 60 MB
                             pairs.clear()
                         ok = pairs[key] = not self._clash(before, t)
                     if not ok:
@@ -251,13 +251,34 @@ def token_totals(counted: DataFrame, vocab_column: str = "token_steps", limit: i
 
     def run(batches):
         for batch in batches:
-            made = column_list(batch, vocab_column)
-            totals = [int(np.frombuffer(s, STEP).sum()) for s in made]
-            kept = [longest_within(s, most) if n > most else len(s) // 2 for s, n in zip(made, totals, strict=True)]
-            n_bytes = [len(x) if x else 0 for x in column_bytes(batch, text)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n_bytes, pa.int64()), pa.array(totals, pa.int64()),
-                 pa.array([n > limit for n in totals], pa.bool_()), pa.array(kept, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit", "kept_chars"])
-
-    return counted.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, kept_chars long")
+            yield _totals(batch.column(batch.schema.get_field_index("doc_id")), column_bytes(batch, text),
+                          column_list(batch, vocab_column), limit, most)
+
+    return counted.mapInArrow(run, TOTALS)
+
+
+TOTALS = "doc_id long, n_bytes long, n_tokens long, over_limit boolean, kept_chars long"
+
+
+def _totals(doc_ids: pa.Array, texts: list, made: list, limit: int, most: int) -> pa.RecordBatch:
+    totals = [int(np.frombuffer(s, STEP).sum()) for s in made]
+    kept = [longest_within(s, most) if n > most else len(s) // 2 for s, n in zip(made, totals, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, pa.array([len(x) if x else 0 for x in texts], pa.int64()), pa.array(totals, pa.int64()),
+         pa.array([n > limit for n in totals], pa.bool_()), pa.array(kept, pa.int64())], [c.split()[0] for c in TOTALS.split(", ")])
+
+
+def count_tokens(docs: DataFrame, vocabulary: str | None = None, limit: int = 512, budget: int | None = None,
+                 text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """``token_totals`` of ``prefix_counts`` in one pass, where the steps themselves are not wanted."""
+    path, most = vocabulary or tokenizer_path(VOCABULARY), limit if budget is None else budget
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+    def run(batches):
+        table = shared_table(path)
+        for batch in batches:
+            for part in slices(batch):
+                texts = column_bytes(part, "text")
+                yield _totals(part.column(0), texts, [table.steps(x) for x in texts], limit, most)
+
+    return source.mapInArrow(run, TOTALS)

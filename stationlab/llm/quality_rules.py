@@ -116,13 +116,13 @@ def repeated_words(words: list, width: int = 3) -> int:
 class Fertility:
     """Tokens of words under a sentence-piece vocabulary with byte fallback."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str):
         import sentencepiece
         self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = self.lib.get_piece_size()
         self.is_byte = np.array([self.lib.is_byte(i) for i in range(self.size)])
         self.code, self.width = ("H", np.uint16) if self.size <= 1 << 16 else ("I", np.uint32)
-        self.words = Memory(lambda w: array(self.code, self.lib.encode(w.decode())).tobytes(), most)
+        self.words = Memory(lambda w: array(self.code, self.lib.encode(w.decode())).tobytes())
         self.get = self.words.__getitem__
 
     def measure(self, words: list) -> tuple:

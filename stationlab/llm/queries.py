@@ -33,8 +33,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = prefix_counts.prefix_counts(table(spark, sf_dir, "documents"), keep_columns=["doc_id"])
-    return prefix_counts.token_totals(counted)
+    return prefix_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import unicodedata
 from array import array
+from sys import getsizeof
 
 import numpy as np
 
@@ -20,20 +21,30 @@ import numpy as np
 WORD_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
 
+LONG_KEY = 64           # characters or bytes of the longest key that is remembered
+ENTRY_BYTES = 100       # about what an entry costs beside its key and value
+
+
 class Memory(dict):
-    """A dict that computes what it lacks and holds at most two generations of ``most`` entries."""
+    """A dict that computes what it lacks and holds two generations of at most ``most_bytes`` each.
+
+    Long keys are computed each time, so no text, however long its unbroken runs, fills it.
+    """
 
-    def __init__(self, compute, most: int):
+    def __init__(self, compute, most_bytes: int = 40 << 20):
         super().__init__()
-        self.compute, self.most, self.older = compute, most, {}
+        self.compute, self.most_bytes, self.older, self.bytes = compute, most_bytes, {}, 0
 
     def __missing__(self, key):
+        if len(key) > LONG_KEY:
+            return self.compute(key)
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.most:
-            self.older = dict(self)
+        if self.bytes >= self.most_bytes:
+            self.older, self.bytes = dict(self), 0
             self.clear()
+        self.bytes += ENTRY_BYTES + getsizeof(key) + getsizeof(value)
         self[key] = value
         return value
 
@@ -54,7 +65,7 @@ def byte_alphabet() -> list:
 class WordEncoder:
     """Ids of texts (as UTF-8 bytes) under a lower-casing word-end vocabulary file."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str):
         import os
 
         import regex
@@ -70,8 +81,8 @@ class WordEncoder:
         self.code = "H" if self.width.itemsize == 2 else "I"
         self.cut = regex.compile(WORD_PIECES).findall
         self.alphabet = byte_alphabet()
-        self.pieces = Memory(self._piece, most)
-        self.chunks = Memory(self._chunk, most)
+        self.pieces = Memory(self._piece)
+        self.chunks = Memory(self._chunk)
         self.get = self.chunks.__getitem__
 
     def whole(self, text: str) -> bytes:
