@@ -48,6 +48,21 @@ def test_more_starts_than_a_plan_carries_are_joined(spark, monkeypatch):
     assert sorted(map(tuple, H.assign_buckets(df, "region", "datetime", 50).select("datetime", "region", "temperature", H.BKT).collect())) == want
 
 
+def test_the_plan_does_not_grow_with_the_bucket_starts(spark):
+    df = _hot(spark)
+    few, many = (len(H.assign_buckets(df, "region", "datetime", n)._jdf.queryExecution().toString()) for n in (200, 3))
+    assert many < few + 1000        # before: every start several times over, in every text of the plan
+
+
+def test_bucket_search_tells_keys_apart_and_leaves_missing_ones(spark):
+    df = _hot(spark).unionByName(spark.createDataFrame([(None, "a", 1.0), (T0, None, 2.0)], "datetime timestamp_ntz, region string, temperature double"))
+    rows = H.assign_buckets(df, "region", "datetime", 50).collect()
+    assert len(rows) == 782
+    for r in rows:
+        missing = r.region is None or r.datetime is None
+        assert (r[H.BKT] is None) if missing else (r[H.BKT] <= r.datetime)
+
+
 def test_bucketed_windows_move_the_rows_twice(spark):
     h = TB.hourly_from_events(spark, SF_SMALL)
     old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
