@@ -408,3 +408,17 @@ def test_snapshot_survives_a_write_cut_short(spark, tmp_out):
     sink(spark.createDataFrame([("C", "3", 4.0)], sch), 2)
     sink(spark.createDataFrame([("C", "3", 4.0)], sch), 2)
     assert rows() == want + [("C", "3", 4.0)]
+
+
+def test_a_commit_writes_about_as_many_files_as_partitions(spark, tmp_out):
+    """Each task used to write a file for every partition it held rows of."""
+    import glob
+
+    from stationlab.streaming import versions as VS
+    df = spark.range(0, 4000, numPartitions=8).select("id", (F.col("id") % 20).cast("string").alias(VS.PART))
+    VS.commit(df.unionByName(df.limit(1).select("id", F.lit("a b=1:2").alias(VS.PART))), f"{tmp_out}/t", [])
+    assert len(glob.glob(f"{tmp_out}/t/data/*/*/*.parquet")) == 21
+    parts = VS.live(spark, f"{tmp_out}/t")
+    assert len(parts) == 21 and "a b=1:2" in parts and all(p.bytes > 0 for p in parts.values())
+    assert VS.read(spark, f"{tmp_out}/t").count() == 4001
+    assert VS.read(spark, f"{tmp_out}/t", lambda p: p == "a b=1:2").count() == 1
