@@ -255,6 +255,14 @@ def test_trees_split_by_spark_equal_trees_grown_in_a_task(spark):
     assert {m: n for m, (n, _) in a.items()} == {0: 300, 1: 300} and all(abs(a[m][1] - b[m][1]) < 1e-9 for m in a)
 
 
+def test_models_share_the_jobs_of_a_level(spark, monkeypatch):
+    blocks, edges = _blocks(_numbers(spark))
+    asked, cells = [], BO.Batch._cells
+    monkeypatch.setattr(BO.Batch, "_cells", lambda self, t, trees, nodes, *rest: asked.append({m for m, _ in nodes}) or cells(self, t, trees, nodes, *rest))
+    BO.train(blocks, edges, [BO.BoostSpec(1, depth, 0.3) for depth in (1, 2, 2)], local_rows=120)
+    assert asked == [{0, 1, 2}, {1, 2}]         # before: every model's levels one after the other
+
+
 def test_boosted_model_scores_saves_and_counts_its_splits(spark, tmp_out):
     df = _numbers(spark, 600)
     blocks, edges = _blocks(df)
