@@ -263,6 +263,30 @@ def test_models_share_the_jobs_of_a_level(spark, monkeypatch):
     assert asked == [{0, 1, 2}, {1, 2}]         # before: every model's levels one after the other
 
 
+def test_a_level_is_one_job_with_one_shuffle_of_sums(spark, monkeypatch):
+    blocks, edges = _blocks(_numbers(spark))
+    plans, cells = [], BO.Batch._cells
+    monkeypatch.setattr(BO.Batch, "_cells", lambda self, *a: plans.append(cells(self, *a)) or plans[-1])
+    BO.train(blocks, edges, [BO.BoostSpec(1, 2, 0.3)], local_rows=120)
+    # before: rows of single cells, shuffled once more for the splits, and the sums of every level kept
+    assert [p._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange") for p in plans] == [1, 1]
+    rows = plans[0].collect()
+    assert sorted((r.node, r.feature) for r in rows) == [(0, 0), (0, 1), (0, 2)] and len({r.n for r in rows}) == 1
+
+
+@pytest.mark.parametrize("spec", [BO.BoostSpec(max_depth=5), BO.BoostSpec(max_depth=4, min_child_weight=40, reg_alpha=2.5, reg_lambda=0.0)])
+def test_tree_from_sums_per_bin_is_the_sorted_one(spec, monkeypatch):
+    monkeypatch.setattr(BO, "SORTED_ROWS", 150)
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 60, (3000, 5)).astype(np.uint8)
+    codes[:, 3] = 7
+    g = rng.standard_normal(3000) + np.abs(codes[:, 1] - 20.0) / 9 - codes[:, 4] / 30
+    binned, plain = (f(codes, g, spec, spec.max_depth, np.array([0, 1, 3, 4])) for f in (BO.grow_binned, BO.grow))
+    assert _shape(binned) == _shape(plain) and BO.grow_binned(codes, g, spec, 0, np.arange(2)).rows == [3000]
+    a, b = (np.array(t.value)[BO.nodes_of(t, codes)] for t in (binned, plain))
+    assert np.abs(a - b).max() < 1e-9
+
+
 def test_boosted_model_scores_saves_and_counts_its_splits(spark, tmp_out):
     df = _numbers(spark, 600)
     blocks, edges = _blocks(df)
