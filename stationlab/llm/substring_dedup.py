@@ -90,6 +90,50 @@ def chunks_of(words: np.ndarray, min_words: int = MIN_WORDS) -> tuple:
     return starts, ends - starts, digests(words, starts, ends, BASE_1), digests(words, starts, ends, BASE_2)
 
 
+def laid(lists: list) -> tuple:
+    """(words, first places of the texts, text of every place) of many texts in one array.
+
+    One idle place after every text keeps its end apart from the next one's begin.
+    """
+    idle = np.zeros(1, U64)
+    sizes = np.array([len(words) + 1 for words in lists])
+    return np.concatenate([part for words in lists for part in (words, idle)]), np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+
+
+def chunks_of_texts(spread: np.ndarray, begins: np.ndarray, text_of: np.ndarray, min_words: int = MIN_WORDS, max_gap: int = MAX_GAP,
+                    bases: tuple = (BASE_1, BASE_2)) -> tuple:
+    """(places, lengths, digests by base) of the chunks of many texts that are ``laid`` out; as ``chunks_of`` for each."""
+    n = len(spread)
+    place = np.arange(n) - begins[text_of]
+    idle = np.zeros(n, bool)
+    idle[np.concatenate((begins[1:], [n])) - 1] = True
+    low = (spread & U64(63)).astype(np.uint8)
+    h = low.copy()
+    for j in range(1, min(GEAR_BITS, n)):
+        h[j:] += np.where(place[j:] >= j, low[:n - j] << np.uint8(j), np.uint8(0))
+    mark = idle.copy()
+    mark[begins] = True
+    mark[1:] |= ((h[:-1] & np.uint8(GEAR_MASK)) == 0) & ~idle[:-1]
+    cuts = np.flatnonzero(mark)
+    wide = np.flatnonzero(np.diff(cuts) > max_gap)          # from a text's end to the next begin it is one
+    if len(wide):
+        mark[np.concatenate([np.arange(cuts[i] + max_gap, cuts[i + 1], max_gap) for i in wide])] = True
+        cuts = np.flatnonzero(mark)
+    at = np.minimum(np.searchsorted(cuts, cuts + min_words), len(cuts) - 1)
+    starts, ends = cuts, cuts[at]
+    whole = (ends - starts >= min_words) & (text_of[starts] == text_of[ends])
+    starts, ends = starts[whole], ends[whole]
+    return (starts, ends - starts, *[digests(spread, starts, ends, base) for base in bases])
+
+
+def placed_rows(d1: np.ndarray, d2: np.ndarray, ids: list, at: np.ndarray, begins: np.ndarray, text_of: np.ndarray) -> pa.RecordBatch:
+    """digest, check, doc, start (in its text) of some places of texts that are ``laid`` out."""
+    text = text_of[at]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c) for c in (d1.astype(np.int64), d2.astype(np.int64), np.array(ids, np.int64)[text], (at - begins[text]).astype(np.int32))],
+        ["digest", "check", "doc", "start"])
+
+
 def chunk_rows(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per chunk: digest, check (more digest bits and the length), doc, start."""
     source = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text).alias("text")).filter(F.col("doc").isNotNull())
@@ -97,19 +141,18 @@ def chunk_rows(docs: DataFrame, text: str = "text", id_column: str = "doc_id", m
     def cut(batches):
         hashes = WordHashes()
         for batch in batches:
-            for part in slices(batch, most=4 << 20):
-                cols = [[], [], [], []]
+            for part in slices(batch, most=1 << 20):
+                ids, words = [], []
                 for doc, data in zip(column_list(part, "doc"), column_bytes(part, "text"), strict=True):
-                    words = data.split() if data else []
-                    if len(words) < min_words:
-                        continue
-                    starts, sizes, d1, d2 = chunks_of(hashes(words), min_words)
-                    cols[0].append(d1.astype(np.int64))
-                    cols[1].append((((d2 >> U64(24)) << U64(16)) | sizes.astype(U64)).astype(np.int64))
-                    cols[2].append(np.full(len(starts), doc, np.int64))
-                    cols[3].append(starts.astype(np.int32))
-                if cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["digest", "check", "doc", "start"])
+                    own = data.split() if data else []
+                    if len(own) >= min_words:
+                        ids.append(doc)
+                        words.append(hashes(own))
+                if ids:
+                    spread, begins, text_of = laid(words)
+                    at, sizes, d1, d2 = chunks_of_texts(spread, begins, text_of, min_words)
+                    check = ((d2 >> U64(24)) << U64(16)) | sizes.astype(U64)
+                    yield placed_rows(d1, check, ids, at, begins, text_of)
 
     return source.mapInArrow(cut, "digest long, check long, doc long, start int")
 
@@ -160,26 +203,33 @@ def window_rows(docs: DataFrame, asked: DataFrame, text: str, id_column: str, mi
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            for part in slices(batch, most=4 << 20):
-                cols = [[], [], [], []]
-                for doc, data, names in zip(column_list(part, "doc"), column_bytes(part, "text"), column_list(part, "names"), strict=True):
-                    words = data.split() if data else []
-                    if len(words) < report_words:
-                        continue
-                    h = hashes(words)
-                    starts, sizes, d1, _ = chunks_of(h, min_words)
-                    named = np.isin(d1.astype(np.int64), np.array(names, np.int64)) & (sizes < report_words)
-                    at = [np.arange(max(0, a + n - report_words), min(a, len(words) - report_words) + 1)
-                          for a, n in zip(starts[named].tolist(), sizes[named].tolist(), strict=True)]
-                    if not at:
-                        continue
-                    at = np.unique(np.concatenate(at))
-                    for i, base in enumerate((BASE_1, BASE_2)):
-                        cols[i].append(digests(h, at, at + report_words, base).astype(np.int64))
-                    cols[2].append(np.full(len(at), doc, np.int64))
-                    cols[3].append(at.astype(np.int32))
-                if cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["digest", "check", "doc", "start"])
+            for part in slices(batch, most=1 << 20):
+                ids, words, names = [], [], []
+                for doc, data, own in zip(column_list(part, "doc"), column_bytes(part, "text"), column_list(part, "names"), strict=True):
+                    split = data.split() if data else []
+                    if len(split) >= report_words:
+                        ids.append(doc)
+                        words.append(hashes(split))
+                        names.append(np.array(own, np.int64).view(U64))
+                if not ids:
+                    continue
+                spread, begins, text_of = laid(words)
+                at, sizes, d1 = chunks_of_texts(spread, begins, text_of, min_words, bases=(BASE_1,))
+                short = sizes < report_words
+                at, sizes, d1 = at[short], sizes[short], d1[short]
+                # a text's names count for its own chunks
+                salt = mix64(np.arange(1, len(ids) + 1).astype(U64))
+                named = np.isin(d1 ^ salt[text_of[at]], np.concatenate([own ^ k for own, k in zip(names, salt, strict=True)]))
+                at, sizes = at[named], sizes[named]
+                if not len(at):
+                    continue
+                first = begins[text_of[at]]
+                last = first + np.array([len(w) for w in words])[text_of[at]] - report_words
+                low, high = np.maximum(first, at + sizes - report_words), np.minimum(at, last)
+                count = high - low + 1
+                at = np.unique(np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum()))
+                d1, d2 = (digests(spread, at, at + report_words, base) for base in (BASE_1, BASE_2))
+                yield placed_rows(d1, d2, ids, at, begins, text_of)
 
     return source.mapInArrow(run, "digest long, check long, doc long, start int")
 

@@ -231,6 +231,20 @@ def test_digests_do_not_depend_on_the_place():
     assert np.diff(substring_dedup.cut_points(np.full(1000, words[0]))).max() <= substring_dedup.MAX_GAP
 
 
+def test_texts_cut_together_are_cut_as_one_by_one():
+    # before: every text was cut by calls of its own, which cost more than the work on short texts
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        texts = [rng.integers(0, 2 ** 63, n, dtype=np.uint64) if rng.random() < 0.8 else np.full(n, n, np.uint64) for n in rng.integers(0, 200, 5)]
+        spread, begins, text_of = substring_dedup.laid(texts)
+        least = int(rng.integers(1, 20))
+        at, *rest = substring_dedup.chunks_of_texts(spread, begins, text_of, least)
+        for i, text in enumerate(texts):
+            mine = text_of[at] == i
+            for a, b in zip(substring_dedup.chunks_of(text, least), [(at - begins[text_of[at]])[mine], *[c[mine] for c in rest]], strict=True):
+                assert np.array_equal(a, b)
+
+
 def test_passages_of_51_words_are_nearly_always_caught():
     rng, missed = np.random.default_rng(5), 0
     for _ in range(400):
