@@ -4,9 +4,10 @@ A document's set is its distinct word shingles (64-bit hashes); documents of equ
 sets are one class, so copies never meet in pairs.  The global order of all shingles
 (their hashes) is cut into fragments, and overlaps are counted fragment by fragment:
 
-1. Documents are hashed once, and keep their shingles of the first fragment.  There, a
-   shingle that only one class holds is missing from any partner.  A class of n shingles may miss n - ceil(t n) at most; classes that miss
-   more in this fragment alone are done.  (Rows: 1 / fragments of all shingles.)
+1. Shingles of the first fragment are dealt out once, by shingle, and stored nowhere else (texts
+   are hashed again instead).  There, a shingle that only one class holds is missing from any
+   partner.  A class of n shingles may miss n - ceil(t n) at most; classes that miss more in this
+   fragment alone are done.  (Rows: 1 / fragments of all shingles.)
 2. For the classes left, shingles of one class only are counted over all fragments,
    and each class's prefix, its rarest n - ceil(t n) + 1 shingles (frequency, then
    hash), links it to the least class that has the shingle in its prefix too.  Two
@@ -65,28 +66,27 @@ def least_partner_share(n, percent: int):
     return -(-n * percent // 100)
 
 
+def _texts(docs: DataFrame, text: str, id_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
+
+
 def document_classes(docs: DataFrame, k: int, percent: int, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, rid (hash of the text), cls, n (set size), n_first (of them in the first fragment) and,
-    unless its task has met the class before or the set is too small for a partner, these shingles (``first``)."""
-    fragments, least = fragments_for(percent), least_size(percent)
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
+    """Per row: doc_id, rid (hash of the text), cls, n (set size) and n_first (of them in the first fragment)."""
+    fragments = fragments_for(percent)
 
     def run(batches):
-        hashes, met = WordHashes(), Met()
+        hashes = WordHashes()
         for batch in batches:
             for part in slices(batch, most=4 << 20):
-                rows, lists = [], []
+                rows = []
                 for data in column_bytes(part, "text"):
                     s = shingle_set(data, hashes, k)
-                    cls, first = class_id(s) if len(s) else None, first_fragment(s, fragments)
-                    rows.append((cls, len(s), len(first)))
-                    lists.append(None if len(s) < least or met(cls) else first.astype(np.int64))
+                    rows.append((class_id(s) if len(s) else None, len(s), len(first_fragment(s, fragments))))
                 c = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *[pa.array(x, pa.int64()) for x in c], pa.array(lists, pa.list_(pa.int64()))],
-                    ["doc_id", "rid", "cls", "n", "n_first", "first"])
+                    [part.column(0), part.column(1), *[pa.array(x, pa.int64()) for x in c]], ["doc_id", "rid", "cls", "n", "n_first"])
 
-    return source.mapInArrow(run, "doc_id long, rid long, cls long, n long, n_first long, first array<long>")
+    return _texts(docs, text, id_column).mapInArrow(run, "doc_id long, rid long, cls long, n long, n_first long")
 
 
 class Met:
@@ -108,8 +108,8 @@ def least_size(percent: int) -> int:
     return -(-percent // (100 - percent)) if percent < 100 else 1 << 62
 
 
-def _shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(shingle, cls) of rows with a text."""
+def _shingles(texts: DataFrame, k: int, least: int = 1, fragments: int = 1) -> DataFrame:
+    """(cls, shingle) of the texts with ``least`` shingles or more: all of them, or those of the first of several fragments."""
     def run(batches):
         hashes, met = WordHashes(), Met()
         for batch in batches:
@@ -117,22 +117,27 @@ def _shingles(texts: DataFrame, k: int) -> DataFrame:
                 out, classes = [], []
                 for data in column_bytes(part, "text"):
                     s = shingle_set(data, hashes, k)
+                    if len(s) < least:
+                        continue
                     c = class_id(s)
                     if not met(c):          # copies met by this task say nothing new
-                        out.append(s.astype(np.int64))
-                        classes.append(np.full(len(s), c, np.int64))
+                        out.append((first_fragment(s, fragments) if fragments > 1 else s).astype(np.int64))
+                        classes.append(np.full(len(out[-1]), c, np.int64))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(classes))], ["shingle", "cls"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(classes)), pa.array(np.concatenate(out))], ["cls", "shingle"])
 
-    return texts.mapInArrow(run, "shingle long, cls long")
+    return texts.select("text").mapInArrow(run, "cls long, shingle long")
 
 
-def _survivors(rows: DataFrame, percent: int) -> DataFrame:
+def _survivors(texts: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
     """Classes that the first fragment does not rule out: cls, n, and a row (rid, doc_id) that holds the set."""
-    e = rows.filter("first IS NOT NULL").select("cls", F.explode("first").alias("shingle"))
-    several = e.groupBy("shingle").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("shingle")
-    shared = e.join(several, "shingle").groupBy("cls").agg(F.countDistinct("shingle").alias("n_shared"))
-    classes = (rows.filter(F.col("n") >= least_size(percent)).groupBy("cls")
+    least = max(1, least_size(percent))
+    of_shingle = Window.partitionBy("shingle")
+    # dealt by shingle once: holders are compared, and repeats of a class dropped, where the rows lie
+    e = _shingles(texts, k, least, fragments_for(percent)).repartition("shingle")
+    several = e.withColumn("lo", F.min("cls").over(of_shingle)).withColumn("hi", F.max("cls").over(of_shingle)).filter("lo < hi")
+    shared = several.select("shingle", "cls").distinct().groupBy("cls").agg(F.count("*").alias("n_shared"))
+    classes = (rows.filter(F.col("n") >= least).groupBy("cls")
                .agg(F.first("n").alias("n"), F.first("n_first").alias("n_first"), F.min(F.struct("rid", "doc_id")).alias("at")))
     may_miss = F.col("n") - F.ceil(F.col("n") * percent / 100)
     return (classes.join(shared, "cls", "left").filter(F.col("n_first") - F.coalesce("n_shared", F.lit(0)) <= may_miss)
@@ -142,23 +147,24 @@ def _survivors(rows: DataFrame, percent: int) -> DataFrame:
 def class_components(docs: DataFrame, rows: DataFrame, k: int, percent: int, text: str = "text", id_column: str = "doc_id",
                      block: int = BLOCK) -> DataFrame:
     """(cls, root, n_links) of the classes that may have a partner."""
-    left = small(_survivors(rows, percent))
-    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("rid"), F.col(text).alias("text"))
+    source = _texts(docs, text, id_column)
+    left = small(_survivors(source, rows, k, percent))
     texts = source.join(left.select("rid", "at_doc"), "rid").filter(F.col("doc_id").eqNullSafe(F.col("at_doc"))).select("text")
-    e = keep_table(_shingles(texts, k).distinct())
-    frequency = e.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = e.join(frequency, "shingle").join(left.select("cls", "n"), "cls")
     may_miss = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    of_class = Window.partitionBy("cls")
-    shared = keep_table(shared.withColumn("n_shared", F.count("*").over(of_class)).filter(F.col("n") - F.col("n_shared") <= may_miss)
-                  .withColumn("place", F.row_number().over(of_class.orderBy("df", "shingle"))))
-    prefix = shared.filter(F.col("place") <= may_miss + 1 - (F.col("n") - F.col("n_shared"))).select("shingle", "cls")
-    heads = prefix.groupBy("shingle").agg(F.min("cls").alias("head"), F.max("cls").alias("tail")).filter("head < tail")
-    links = prefix.join(heads, "shingle").select(F.col("head").alias("a"), F.col("cls").alias("b"))
-    clusters = components(links)
+    missed = F.col("n") - F.size("shingles")
+    of_shingle = Window.partitionBy("shingle")
+    # dealt by shingle once for the frequencies, then by class once; a class's shared shingles are one row, rarest first
+    shared = (_shingles(texts, k).repartition("shingle").distinct()
+              .withColumn("df", F.count("*").over(of_shingle)).filter("df > 1"))
+    sets = keep_table(shared.repartition("cls").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ranked"))
+                      .join(left.select("cls", "n"), "cls").select("cls", "n", F.col("ranked.shingle").alias("shingles"))
+                      .filter(missed <= may_miss))
+    prefix = sets.select("cls", F.explode(F.slice("shingles", F.lit(1), (may_miss + 1 - missed).cast("int"))).alias("shingle"))
+    heads = prefix.repartition("shingle").withColumn("a", F.min("cls").over(of_shingle))
+    clusters = components(heads.select("a", F.col("cls").alias("b")).filter("a < b"))
     sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    sets = shared.groupBy("cls", "n").agg(F.collect_list("shingle").alias("shingles"))
-    dealt = (sets.join(clusters, F.col("cls") == F.col("node")).join(sizes, "root")
+    placed = small(clusters.join(sizes, "root"))
+    dealt = (sets.join(placed, F.col("cls") == F.col("node"))
              .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "n", "shingles"))
@@ -257,7 +263,7 @@ def linked(table: pa.Table, percent: int) -> pa.Table:
 def _rows_with_roots(docs: DataFrame, k: int, percent: int, text: str, id_column: str, block: int) -> DataFrame:
     rows = keep_table(document_classes(docs, k, percent, text, id_column))
     found = small(class_components(docs, rows, k, percent, text, id_column, block))
-    return rows.drop("first", "n_first").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return rows.drop("n_first").join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90, text: str = "text", id_column: str = "doc_id",

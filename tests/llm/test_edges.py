@@ -1,6 +1,7 @@
 """Rows that differ in a few columns only, helper names, long unbroken runs, and substring dedup against brute force."""
 
 import collections
+import pathlib
 import re
 import resource
 
@@ -191,3 +192,20 @@ def test_rows_without_id_are_not_held_out(spark):
 def test_mix_of_few_rows(spark, n):
     docs = awkward(spark).limit(0) if not n else awkward(spark).where("doc_id = 2")
     assert mixing.mixed_documents(docs).count() <= 2 * n and mixing.mixed_documents(docs).columns == docs.columns
+
+
+def disk_bytes(spark):
+    """Bytes of the session's shuffle files and shared folder."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shared = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).parent
+    return sum(files.apply(i).length() for i in range(files.size())) + sum(f.stat().st_size for f in shared.rglob("*.parquet"))
+
+
+def test_first_fragment_is_dealt_out_once_and_not_stored(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10 ** 6, 400))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = disk_bytes(spark)
+    assert jaccard_join.one_of_each(docs, 5, 80).count() == 400
+    # a third of the shingles, 16 bytes a row and once only; a second deal or a stored list takes over 8 more
+    assert disk_bytes(spark) - before < 20 * 400 * 396 / 3
