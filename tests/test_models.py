@@ -287,6 +287,39 @@ def test_tree_from_sums_per_bin_is_the_sorted_one(spec, monkeypatch):
     assert np.abs(a - b).max() < 1e-9
 
 
+def test_a_model_that_one_task_can_hold_needs_no_job_a_level(spark, monkeypatch):
+    blocks, edges = _blocks(_numbers(spark, 70_000))
+    jobs = []
+    monkeypatch.setattr(BO.Batch, "_cells", lambda self, *a: pytest.fail("a job for one level"))        # before: over 65,536 rows
+    whole = BO.Batch._whole
+    monkeypatch.setattr(BO.Batch, "_whole", lambda self, *a: jobs.append(a) or whole(self, *a))
+    fitted = BO.train(blocks, edges, [BO.BoostSpec(3, 5, 0.3), BO.BoostSpec(2, 5, 0.3, subsample=0.5)])
+    assert [len(t) for t in fitted.trees] == [3, 2] and [t.rows[0] for t in fitted.trees[0]] == [70_000] * 3 and len(jobs) == 1
+    assert 34_000 < fitted.trees[1][0].rows[0] < 36_000
+    monkeypatch.setattr(BO, "WHOLE_ROUNDS", 1)
+    again = BO.train(blocks, edges, [BO.BoostSpec(3, 5, 0.3), BO.BoostSpec(2, 5, 0.3, subsample=0.5)])
+    assert [[_shape(t) for t in m] for m in again.trees] == [[_shape(t) for t in m] for m in fitted.trees]
+
+
+@pytest.mark.parametrize("held", [64 << 20, 1 << 18])
+def test_sums_of_the_larger_child_are_the_difference(held, monkeypatch):
+    """Wide nodes by sums per bin, narrow ones together by sorting; the trees are the sorted ones."""
+    monkeypatch.setattr(BO, "SORTED_ROWS", 1000)
+    monkeypatch.setattr(BO, "NARROW_ROWS", 60)
+    monkeypatch.setattr(BO, "HELD_BYTES", held)
+    rng = np.random.default_rng(7)
+    codes = rng.integers(0, 250, (6000, 6)).astype(np.uint8)
+    g = rng.standard_normal(6000) + np.abs(codes[:, 1] - 90.0) / 9 - codes[:, 4] * codes[:, 0] / 3000
+    spec, rows, seen, sums = BO.BoostSpec(max_depth=8), np.flatnonzero(rng.random(6000) < 0.8), [], BO.bin_sums
+    monkeypatch.setattr(BO, "bin_sums", lambda by, g, *a: seen.append(len(g)) or sums(by, g, *a))
+    tree = BO.grow_rows(np.ascontiguousarray(codes.T), g, spec, 8, np.arange(6), rows)
+    plain = BO.grow(codes[rows], g[rows], spec, 8, np.arange(6))
+    a, b = (np.array(t.value)[BO.nodes_of(t, codes[rows])] for t in (tree, plain))      # of splits that part these rows alike either may win
+    assert tree.rows[0] == len(rows) and np.abs(a - b).max() < 1e-9 and sorted(tree.rows) == sorted(plain.rows)
+    if held > 1 << 20:
+        assert max(seen[1:]) <= len(rows) // 2              # before: all rows at every level
+
+
 def test_boosted_model_scores_saves_and_counts_its_splits(spark, tmp_out):
     df = _numbers(spark, 600)
     blocks, edges = _blocks(df)
@@ -331,6 +364,30 @@ def test_networks_of_one_batch_keep_to_their_rows(spark):
     assert np.allclose(alone.models[0].weights, fitted.models[1].weights, atol=1e-6) and alone.epochs == fitted.epochs[1:2]
 
 
+def test_adam_step_is_the_plain_formula_and_keeps_no_denormal_numbers():
+    unpack, _, grad, local_adam = NN.kernels()
+    rng = np.random.default_rng(0)
+    x, y = rng.standard_normal((450, 4)).astype("<f4"), rng.standard_normal(450).astype("<f4")
+    shapes = NN._shapes(4, (8, 5))
+    w, mask = (a.astype("<f4") for a in NN.initial(shapes, 3))
+    zero = np.zeros_like(w)
+    got = local_adam(w, zero, zero, 0, shapes, x, y, 0.01, 1e-3, 200, mask, np.random.default_rng(1))
+    order, p, m, v = np.random.default_rng(1).permutation(450), w, zero, zero
+    for t in (1, 2, 3):                                     # the last batch has 50 rows
+        j = order[200 * t - 200:200 * t]
+        g = (grad(unpack(p, shapes), x[j], y[j])[0] + 1e-3 * p * mask) / len(j)
+        m, v = 0.9 * m + (1 - 0.9) * g, 0.999 * v + (1 - 0.999) * g * g
+        p = p - (0.01 / (1 - 0.9 ** t)) * m / (np.sqrt(v * (1 / (1 - 0.999 ** t))) + 1e-8)
+    assert got[3] == 3 and all(np.allclose(a, b, rtol=1e-6, atol=0) for a, b in zip(got, (p, m, v), strict=True)) and not zero.any()
+    x[:, 2] = 0.0                                           # a constant input: nothing but decay for its weights
+    state = (w, zero, zero, 0)
+    for epoch in range(400):
+        state = local_adam(*state, shapes, x, y, 0.01, 1e-3, 50, mask, np.random.default_rng(epoch))
+    tiny = np.finfo("<f4").tiny
+    for a in state[:3]:                                     # before: denormal numbers, and steps ten times as long
+        assert not ((a != 0) & (np.abs(a) < tiny)).any()
+
+
 def test_full_solver_does_not_depend_on_partitions(spark):
     df = ES.assemble(_linear(spark), ["a", "b"], "scaled")
     fits = [MlpRegressor(hidden=(6,), max_iter=15, solver="full").fit(df.repartition(n)).weights for n in (1, 5)]
