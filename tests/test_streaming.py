@@ -410,6 +410,29 @@ def test_snapshot_survives_a_write_cut_short(spark, tmp_out):
     assert rows() == want + [("C", "3", 4.0)]
 
 
+def test_buckets_are_merged_and_written_after_one_shuffle(spark, tmp_out, monkeypatch):
+    import glob
+
+    from stationlab.streaming import versions as VS
+    plans, commit = [], VS.commit
+
+    def noted(df, *args, **kwargs):
+        plans.append((df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1], kwargs.get("dealt")))
+        commit(df, *args, **kwargs)
+    monkeypatch.setattr(VS, "commit", noted)
+    up = SJ.upsert_batch(f"{tmp_out}/m", ["k"], ["seq"], VS.HashBuckets(["k"], most=2000, depth=1))
+    rows = spark.range(0, 3000, numPartitions=6).selectExpr("id % 1000 AS k", "id AS seq", "CAST(id AS STRING) AS v")
+    for b in range(3):
+        up(rows.unionByName(rows.selectExpr("CAST(NULL AS LONG) AS k", "seq", "v").limit(2)), b)
+    # before: dealt by key, then once more by bucket
+    assert [(p.count("Exchange"), dealt) for p, dealt in plans] == [(1, True)] * 3, plans
+    parts = VS.live(spark, f"{tmp_out}/m")
+    versions = {p.version for p in parts.values() if p.version}
+    assert len(parts) > 4 and all(len(glob.glob(f"{d}/*.parquet")) == 1 for v in versions for d in glob.glob(f"{tmp_out}/m/data/{v}/_part=*"))
+    got = SJ.read_master(spark, f"{tmp_out}/m")
+    assert got.count() == 1001 and got.where("k IS NOT NULL AND seq < 2000").count() == 0
+
+
 def test_a_commit_writes_about_as_many_files_as_partitions(spark, tmp_out):
     """Each task used to write a file for every partition it held rows of."""
     import glob
